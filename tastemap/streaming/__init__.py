@@ -1,0 +1,7 @@
+"""Streaming.
+
+The analytics reproduced here are batch only: there is no stream source,
+watermark, event-time window or late-data handling to carry over, so this
+package is intentionally empty. Batch operators accept any DataFrame, so a
+``foreachBatch`` sink can call them on micro-batches if ever needed.
+"""
