@@ -78,7 +78,7 @@ def metrics_long(model: str, ranking: DataFrame | None = None, error: DataFrame
     parts = []
     if ranking is not None:
         parts.append(ranking.select(F.lit(model).alias("model"), F.lit(status).alias("status"),
-                                    F.stack(3, F.lit("precision_at_k"), "precision_at_k",
+                                    F.stack(F.lit(3), F.lit("precision_at_k"), "precision_at_k",
                                             F.lit("recall_at_k"), "recall_at_k",
                                             F.lit("ndcg_at_k"), "ndcg_at_k").alias("metric", "value")))
     if error is not None:

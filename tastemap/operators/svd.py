@@ -24,6 +24,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.mllib.common import callMLlibFunc
@@ -57,7 +59,8 @@ class SvdResult:
 
 def svd_factors(pairs: DataFrame, users: DataFrame, items: DataFrame, k: int = DEFAULTS.svd_k,
                 use_sigma: bool = True, center: str | None = None,
-                max_driver_bytes: int = DEFAULTS.max_driver_factor_bytes) -> SvdResult:
+                max_driver_bytes: int = DEFAULTS.max_driver_factor_bytes,
+                gram_max_bytes: int = 128 << 20, rcond: float = 1e-9) -> SvdResult:
     """Fit a rank-k SVD on train ``pairs (user_id, item_id, rating)`` with
     dense indices ``users (user_id, u_idx)`` and ``items (item_id, i_idx)``."""
     spark = pairs.sparkSession
@@ -83,13 +86,27 @@ def svd_factors(pairs: DataFrame, users: DataFrame, items: DataFrame, k: int = D
                          F.col("rating").cast("double").alias("value"))
     jmat = callMLlibFunc("createCoordinateMatrix", entries, int(n_users), int(n_items))
     rows = CoordinateMatrix(jmat).toIndexedRowMatrix()
-    svd = rows.computeSVD(k_eff, computeU=True)
-    s = [float(x) for x in svd.s.toArray()]
-    if not s:
-        return SvdResult("skipped: matrix has rank 0", [])
-    u_rows = callMLlibFunc("getIndexedRows", svd.U._java_matrix)
-    u_rows = MLUtils.convertVectorColumnsToML(u_rows, "vector")
-    U = u_rows.select(F.col("index").alias("u_idx"), vector_to_array("vector").alias("u"))
+    # the solver passes over the rows more than once: keep them (memory,
+    # spilling to disk); a lost block is rebuilt from the entries
+    jrows = rows._java_matrix_wrapper._java_model.rows()
+    jvm = spark.sparkContext._jvm
+    jrows.persist(jvm.org.apache.spark.storage.StorageLevel.MEMORY_AND_DISK())
+    try:
+        if n_items * n_items * 8 <= gram_max_bytes:
+            s, U = _svd_via_gramian(spark, rows, idx, k_eff)
+        else:
+            svd = rows.computeSVD(k_eff, computeU=True)
+            s = [float(x) for x in svd.s.toArray()]
+            u_rows = callMLlibFunc("getIndexedRows", svd.U._java_matrix_wrapper._java_model)
+            u_rows = MLUtils.convertVectorColumnsToML(u_rows, "vector")
+            U = u_rows.select(F.col("index").alias("u_idx"), vector_to_array("vector").alias("u"))
+        if not s:
+            return SvdResult("skipped: matrix has rank 0", [])
+        # U is written to the checkpoint directory: later joins read it
+        # without re-running the solver's lineage
+        U = U.checkpoint(eager=True)
+    finally:
+        jrows.unpersist(False)
 
     # V = A^T U diag(1/s), summed per item on the executors
     inv_s = F.array(*[F.lit(1.0 / x) for x in s])
@@ -106,6 +123,30 @@ def svd_factors(pairs: DataFrame, users: DataFrame, items: DataFrame, k: int = D
     return SvdResult("ok", s, uf, V, means, len(s))
 
 
+def _svd_via_gramian(spark, rows, idx: DataFrame, k: int, rcond: float = 1e-9):
+    """Small catalogues: A^T A (items x items, size checked by the caller)
+    in one distributed pass, its top-k eigenpairs locally, then
+    U = A V diag(1/s) on the executors. Same factorisation as the
+    iterative solver (MLlib picks this route itself for small n)."""
+    gram = rows.computeGramianMatrix().toArray()
+    w, vecs = np.linalg.eigh(gram)
+    order = np.argsort(w)[::-1][:k]
+    w, vecs = np.clip(w[order], 0.0, None), vecs[:, order]
+    sv = np.sqrt(w)
+    keep = sv > rcond * (sv[0] if sv.size else 0.0)
+    sv, vecs = sv[keep], vecs[:, keep]
+    if sv.size == 0:
+        return [], None
+    # V has items x k entries, the bound checked before the fit
+    v_rows = [(int(i), [float(x) for x in vecs[i] / sv]) for i in range(vecs.shape[0])]
+    vdf = spark.createDataFrame(v_rows, "i_idx bigint, w array<double>")
+    contrib = (idx.select("u_idx", "i_idx", "rating").join(vdf, "i_idx", "inner")
+               .select("u_idx", "rating", array_to_vector("w").alias("w")))
+    U = (contrib.groupBy("u_idx").agg(Summarizer.sum(F.col("w"), F.col("rating")).alias("u"))
+         .select(F.col("u_idx").cast("bigint"), vector_to_array("u").alias("u")))
+    return [float(x) for x in sv], U
+
+
 def predict_with_factors(pairs: DataFrame, user_factors: DataFrame, item_factors: DataFrame,
                          user_means: DataFrame | None = None) -> DataFrame:
     """Pairs joined to both factor tables; pairs without factors drop out."""

@@ -19,7 +19,9 @@ from tastemap.functions.exprs import round_score
 from tastemap.operators import metrics as M
 from tastemap.operators import popular, profile, ratings as R, split as S
 from tastemap.operators.ranking import top_k
-from tastemap.plans.sql import ranking_sql, with_ctes
+from tastemap.operators import als as ALS, features as FE, recommend as REC, svd as SVD
+from tastemap.functions.exprs import clip
+from tastemap.plans.sql import metric_rows_sql, ranking_sql, with_ctes
 from tastemap.sources import fixtures as FX
 from tastemap.sources import sinks, tables
 from tastemap.session import scratch_path
@@ -364,4 +366,373 @@ def q_recs_nested(spark, sf):
                        F.size("items").cast("bigint").alias("n"))
 
 
-FLAGSHIP = "topk_per_user"
+
+# ---------------------------------------------------------------- factors, neighbours, kNN
+
+def factor_bases(spark, sf):
+    train, test = split(spark, sf)
+    vf = FX.item_factors(spark, sf)
+    uf = REC.user_factors_from_ratings(train, vf)
+    return train, test, uf, vf
+
+
+@register("item_neighbors", with_ctes(
+    "SELECT item_id, neighbor_id, score, CAST(rank AS BIGINT) AS rank FROM neighbors", "neighbors"))
+def q_item_neighbors(spark, sf):
+    nb = REC.item_neighbors(FX.item_factors(spark, sf), DEFAULTS.knn_neighbors)
+    return nb.select("item_id", "neighbor_id", "score", "rank")
+
+
+def knn_bases(spark, sf):
+    train, test = split(spark, sf)
+    nb = REC.item_neighbors(FX.item_factors(spark, sf), DEFAULTS.knn_neighbors)
+    return train, test, nb
+
+
+@register("unseen_candidates", with_ctes("SELECT DISTINCT user_id, item_id FROM cands", "cands"))
+def q_unseen_candidates(spark, sf):
+    train, _, nb = knn_bases(spark, sf)
+    return REC.knn_candidates(train, nb).distinct()
+
+
+@register("knn_votes", with_ctes("SELECT user_id, item_id, votes FROM votes", "votes"))
+def q_knn_votes(spark, sf):
+    train, _, nb = knn_bases(spark, sf)
+    return REC.knn_votes(train, nb)
+
+
+def knn_lists(spark, sf):
+    train, test, nb = knn_bases(spark, sf)
+    users = test.select("user_id").distinct()
+    return REC.knn_recommend(REC.knn_votes(train, nb), users, DEFAULTS.top_k), train, test, users
+
+
+@register("knn_recommend", with_ctes("SELECT user_id, item_id, votes, CAST(rank AS BIGINT) AS rank FROM knn", "knn"))
+def q_knn_recommend(spark, sf):
+    return knn_lists(spark, sf)[0]
+
+
+@register("score_pairs", with_ctes("""SELECT c.user_id, c.item_id, round(list_inner_product(u.factor, f.factor), 6) AS score
+FROM (SELECT DISTINCT user_id, item_id FROM cands) c JOIN ufac u USING (user_id) JOIN factors f USING (item_id)""",
+                                   "cands", "ufac"))
+def q_score_pairs(spark, sf):
+    """Scores of the kNN candidate pairs under the factor model: a given
+    pair set is scored, never all user x item pairs."""
+    train, _, uf, vf = factor_bases(spark, sf)
+    nb = REC.item_neighbors(vf, DEFAULTS.knn_neighbors)
+    cand = REC.knn_candidates(train, nb).distinct()
+    sc = SVD.predict_with_factors(cand, uf.drop("n_seen"), vf)
+    return sc.select("user_id", "item_id", r6("prediction").alias("score"))
+
+
+_PRED_SQL = """SELECT t.user_id, t.item_id, t.rating, list_inner_product(u.factor, f.factor) AS prediction
+FROM test t JOIN ufac u USING (user_id) JOIN factors f USING (item_id)"""
+
+
+def factor_predictions(spark, sf):
+    _, test, uf, vf = factor_bases(spark, sf)
+    return SVD.predict_with_factors(test, uf.drop("n_seen"), vf)
+
+
+@register("predict_pairs", with_ctes(
+    f"SELECT user_id, item_id, rating, round(prediction, 6) AS prediction FROM ({_PRED_SQL}) p", "test", "ufac"))
+def q_predict_pairs(spark, sf):
+    p = factor_predictions(spark, sf)
+    return p.select("user_id", "item_id", "rating", r6("prediction").alias("prediction"))
+
+
+@register("clip_predictions", with_ctes(
+    f"""SELECT user_id, item_id, rating, round(least(5.0, greatest(1.0, prediction)), 6) AS prediction
+FROM ({_PRED_SQL}) p""", "test", "ufac"))
+def q_clip_predictions(spark, sf):
+    p = factor_predictions(spark, sf)
+    return p.select("user_id", "item_id", "rating", r6(clip("prediction", 1.0, 5.0)).alias("prediction"))
+
+
+@register("rmse", with_ctes(f"""SELECT round(sqrt(avg(pow(rating - least(5.0, greatest(1.0, prediction)), 2))), 6) AS rmse,
+  count(*) AS n_scored FROM ({_PRED_SQL}) p""", "test", "ufac"))
+def q_rmse(spark, sf):
+    e = M.rmse(factor_predictions(spark, sf), clip_to=(1.0, 5.0))
+    return e.select(r6("rmse").alias("rmse"), "n_scored")
+
+
+def factor_lists(spark, sf):
+    train, test, uf, vf = factor_bases(spark, sf)
+    users = test.select("user_id").distinct()
+    return REC.factor_recommend(uf, vf, train, DEFAULTS.top_k, users=users), train, test
+
+
+@register("factor_recommend", with_ctes("""SELECT user_id, item_id, score, CAST(rank AS BIGINT) AS rank FROM (
+  SELECT u.user_id, f.item_id, round(list_inner_product(u.factor, f.factor), 9) AS score,
+         row_number() OVER (PARTITION BY u.user_id
+           ORDER BY round(list_inner_product(u.factor, f.factor), 9) DESC, f.item_id) AS rank
+  FROM ufac u JOIN tusers USING (user_id) CROSS JOIN factors f
+  WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.user_id = u.user_id AND t.item_id = f.item_id)) s
+WHERE rank <= 10""", "ufac", "tusers"))
+def q_factor_recommend(spark, sf):
+    lists, _, _ = factor_lists(spark, sf)
+    return lists.select("user_id", "item_id", "score", "rank")
+
+
+_FLISTS = """flists AS (
+  SELECT user_id, item_id, rank FROM (
+    SELECT u.user_id, f.item_id,
+           row_number() OVER (PARTITION BY u.user_id
+             ORDER BY round(list_inner_product(u.factor, f.factor), 9) DESC, f.item_id) AS rank
+    FROM ufac u JOIN tusers USING (user_id) CROSS JOIN factors f
+    WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.user_id = u.user_id AND t.item_id = f.item_id)) s
+  WHERE rank <= 10)"""
+
+
+@register("metrics_long", with_ctes(
+    f"""SELECT model, metric, round(value, 6) AS value, 'ok' AS status FROM (
+{metric_rows_sql('popular', 'ppu')}
+UNION ALL {metric_rows_sql('knn', 'kpu')}
+UNION ALL {metric_rows_sql('factor', 'fpu')}
+UNION ALL SELECT 'factor', 'rmse', sqrt(avg(pow(rating - least(5.0, greatest(1.0, prediction)), 2))) FROM ({_PRED_SQL}) p) m""",
+    "lists", "knn", "truth", "idcg", "ufac", "tusers",
+    extra=",\n".join([_FLISTS, ranking_sql("lists", 10, prefix="p"),
+                      ranking_sql("knn", 10, list_users="SELECT user_id FROM tusers", prefix="k"),
+                      ranking_sql("flists", 10, prefix="f")])))
+def q_metrics_long(spark, sf):
+    k = DEFAULTS.top_k
+    train, test = split(spark, sf)
+    truth = M.truth_sets(test)
+    users = test.select("user_id").distinct()
+    pop = popular.popular_unseen(train, users, k)
+    vf = FX.item_factors(spark, sf)
+    nb = REC.item_neighbors(vf, DEFAULTS.knn_neighbors)
+    knn = REC.knn_recommend(REC.knn_votes(train, nb), users, k)
+    uf = REC.user_factors_from_ratings(train, vf)
+    fl = REC.factor_recommend(uf, vf, train, k, users=users)
+    err = M.rmse(SVD.predict_with_factors(test, uf.drop("n_seen"), vf), clip_to=(1.0, 5.0))
+    long = (M.metrics_long("popular", M.ranking_metrics(pop, truth, k))
+            .unionByName(M.metrics_long("knn", M.ranking_metrics(knn, truth, k, list_users=users)))
+            .unionByName(M.metrics_long("factor", M.ranking_metrics(fl, truth, k), err)))
+    path = scratch_path(spark, "metrics")
+    sinks.write_metrics(long, path)
+    back = spark.read.schema("model string, metric string, value double, status string").json(path)
+    return back.select("model", "metric", r6("value").alias("value"), "status")
+
+
+# ---------------------------------------------------------------- features
+
+def enriched(spark, sf):
+    c = clean(spark, sf)
+    return R.enrich_items(R.enrich_stats(c), FX.items(spark, sf))
+
+
+TOP_N = 10  # categories kept at the test scale (25 brands)
+
+
+@register("top_categories", with_ctes("""SELECT authors, n_ratings FROM (
+  SELECT authors, count(*) AS n_ratings FROM enriched GROUP BY authors
+  ORDER BY n_ratings DESC, authors ASC NULLS FIRST LIMIT 10) t
+WHERE authors IS NOT NULL AND authors <> ''""", "enriched"))
+def q_top_categories(spark, sf):
+    return FE.top_categories(enriched(spark, sf), "authors", TOP_N)
+
+
+_TOPCAT = """topcat AS (SELECT authors FROM (
+  SELECT authors, count(*) AS n_ratings FROM enriched GROUP BY authors
+  ORDER BY n_ratings DESC, authors ASC NULLS FIRST LIMIT 10) t WHERE authors IS NOT NULL AND authors <> ''),
+collapsed AS (SELECT e.*, CASE WHEN e.authors IS NULL THEN 'unknown'
+                              WHEN e.authors IN (SELECT authors FROM topcat) THEN e.authors ELSE 'other' END AS authors_top
+              FROM enriched e)"""
+
+
+def collapsed(spark, sf):
+    e = enriched(spark, sf)
+    return FE.collapse_categories(e, FE.top_categories(e, "authors", TOP_N))
+
+
+@register("collapse_categories", with_ctes(
+    "SELECT user_id, item_id, rating, authors_top FROM collapsed", "enriched", extra=_TOPCAT))
+def q_collapse_categories(spark, sf):
+    return collapsed(spark, sf).select("user_id", "item_id", "rating", "authors_top")
+
+
+@register("index_categories", with_ctes("""SELECT authors_top,
+  CAST(row_number() OVER (ORDER BY count(*) DESC, authors_top) - 1 AS DOUBLE) AS authors_top_idx
+FROM collapsed GROUP BY authors_top""", "enriched", extra=_TOPCAT))
+def q_index_categories(spark, sf):
+    from pyspark.ml.feature import StringIndexer
+    c = collapsed(spark, sf)
+    model = StringIndexer(inputCol="authors_top", outputCol="authors_top_idx", handleInvalid="keep",
+                          stringOrderType="frequencyDesc").fit(c)
+    return model.transform(c.select("authors_top").distinct())
+
+
+_IMP_SQL = """med AS (SELECT quantile_disc(original_publication_year, 0.5) AS my,
+                        quantile_disc(average_rating, 0.5) AS ma FROM enriched2),
+imputed AS (SELECT e.*, coalesce(original_publication_year, my) AS original_publication_year_imp,
+                   coalesce(average_rating, ma) AS average_rating_imp FROM enriched2 e, med)"""
+
+_ENRICHED2 = """enriched2 AS (
+  SELECT c.user_id, c.item_id, c.rating, s.item_rating_count, s.item_rating_mean, u.user_rating_count,
+         u.user_rating_mean, i.authors, i.original_publication_year, i.average_rating
+  FROM clean c LEFT JOIN istats s USING (item_id) LEFT JOIN ustats u USING (user_id) LEFT JOIN items i USING (item_id))"""
+
+
+def imputed(spark, sf):
+    e = enriched(spark, sf)
+    out, _ = FE.impute_median(e, FE.NUMERIC_CANDIDATES)
+    return out
+
+
+@register("impute_median", with_ctes("""SELECT user_id, item_id, rating, original_publication_year_imp,
+  round(average_rating_imp, 6) AS average_rating_imp FROM imputed""", "istats", "ustats", "items",
+                                     extra=",\n".join([_ENRICHED2, _IMP_SQL])))
+def q_impute_median(spark, sf):
+    i = imputed(spark, sf)
+    return i.select("user_id", "item_id", "rating", "original_publication_year_imp",
+                    r6("average_rating_imp").alias("average_rating_imp"))
+
+
+_SCALED = [c + "_imp" for c in FE.NUMERIC_CANDIDATES]
+
+
+@register("scale_features", with_ctes("SELECT user_id, item_id, rating, " + ", ".join(
+    f"round(CASE WHEN s_{c} > 0 THEN {c} / s_{c} ELSE 0.0 END, 6) AS {c}_scaled" for c in _SCALED)
+    + " FROM imputed, (SELECT " + ", ".join(f"stddev_samp({c}) AS s_{c}" for c in _SCALED) + " FROM imputed) sd",
+    "istats", "ustats", "items", extra=",\n".join([_ENRICHED2, _IMP_SQL.replace(
+        "coalesce(average_rating, ma) AS average_rating_imp",
+        "coalesce(average_rating, ma) AS average_rating_imp, item_rating_count AS item_rating_count_imp, "
+        "item_rating_mean AS item_rating_mean_imp, user_rating_count AS user_rating_count_imp, "
+        "user_rating_mean AS user_rating_mean_imp")])))
+def q_scale_features(spark, sf):
+    from pyspark.ml.feature import StandardScaler, VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+    i = imputed(spark, sf)
+    va = VectorAssembler(inputCols=_SCALED, outputCol="v", handleInvalid="keep")
+    sc = StandardScaler(inputCol="v", outputCol="s", withStd=True, withMean=False)
+    a = va.transform(i)
+    out = sc.fit(a).transform(a).withColumn("s", vector_to_array("s"))
+    return out.select("user_id", "item_id", "rating",
+                      *[r6(F.col("s")[j]).alias(c + "_scaled") for j, c in enumerate(_SCALED)])
+
+
+def feature_table(spark, sf, n_top=TOP_N):
+    return FE.build_features(enriched(spark, sf), n_top=n_top)
+
+
+@register("one_hot")
+def q_one_hot(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+    f = feature_table(spark, sf)
+    arr = vector_to_array("authors_top_ohe")
+    return f.select("user_id", "item_id", "rating", "authors_top", "authors_top_idx",
+                    F.size(arr).cast("bigint").alias("ohe_size"),
+                    F.array_position(arr, 1.0).cast("bigint").alias("ohe_hot_position"))
+
+
+@register("assemble_features")
+def q_assemble_features(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+    f = feature_table(spark, sf)
+    return f.select("user_id", "item_id", "rating", vector_to_array("features_assembled").alias("features_assembled"))
+
+
+@register("feature_table")
+def q_feature_table(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+    f = feature_table(spark, sf)
+    return f.select("user_id", "item_id", "rating", vector_to_array("features").alias("features"))
+
+
+@register("feature_table_roundtrip")
+def q_feature_table_roundtrip(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+    path = scratch_path(spark, "features") + ".parquet"
+    sinks.write_table(feature_table(spark, sf).select("user_id", "item_id", "rating", "features"), path)
+    back = spark.read.parquet(path)
+    return back.select("user_id", "item_id", "rating", vector_to_array("features").alias("features"))
+
+
+# ---------------------------------------------------------------- ALS
+
+def als_model(spark, sf, params=None):
+    train, test = split(spark, sf)
+    return ALS.fit(train, params or ALS.AlsParams()), train, test
+
+
+@register("als_predict")
+def q_als_predict(spark, sf):
+    model, _, test = als_model(spark, sf)
+    return ALS.predict(model, test).select("user_id", "item_id", "rating", "prediction")
+
+
+@register("als_recommend")
+def q_als_recommend(spark, sf):
+    model, train, test = als_model(spark, sf)
+    return ALS.recommend(model, test.select("user_id").distinct(), DEFAULTS.top_k, seen=train)
+
+
+@register("als_recs_nested")
+def q_als_recs_nested(spark, sf):
+    model, _, test = als_model(spark, sf)
+    recs = model.recommendForUserSubset(test.select("user_id").distinct(), DEFAULTS.top_k)
+    path = scratch_path(spark, "als-recs") + ".parquet"
+    sinks.write_table(recs, path)
+    back = spark.read.parquet(path)
+    return back.select("user_id", F.size("recommendations").cast("bigint").alias("n"),
+                       F.transform("recommendations", lambda r: r["item_id"].cast("bigint")).alias("items"))
+
+
+@register("als_save_load")
+def q_als_save_load(spark, sf):
+    model, _, test = als_model(spark, sf)
+    path = scratch_path(spark, "als-model")
+    ALS.save(model, path)
+    return ALS.predict(ALS.load(path), test).select("user_id", "item_id", "rating", "prediction")
+
+
+@register("als_cv_grid")
+def q_als_cv_grid(spark, sf):
+    train, _ = split(spark, sf)
+    _, table = ALS.cross_validate(train, small=True, parallelism=2)
+    return table
+
+
+# ---------------------------------------------------------------- SVD
+
+def svd_model(spark, sf, use_sigma=True):
+    c = clean(spark, sf)
+    train, test = S.holdout_per_user(c)
+    users = R.dense_index(c, "user_id", "u_idx")
+    items = R.dense_index(c, "item_id", "i_idx")
+    res = SVD.svd_factors(R.dedup_pairs(train).select("user_id", "item_id", "rating"), users, items,
+                          DEFAULTS.svd_k, use_sigma=use_sigma)
+    return res, train, test
+
+
+@register("svd_singular_values")
+def q_svd_singular_values(spark, sf):
+    res, _, _ = svd_model(spark, sf)
+    return spark.createDataFrame([(i, v) for i, v in enumerate(res.singular_values)], "idx int, value double")
+
+
+@register("svd_factors")
+def q_svd_factors(spark, sf):
+    from tastemap.functions.exprs import array_norm
+    res, _, _ = svd_model(spark, sf)
+    return res.item_factors.select("item_id", F.size("factor").cast("bigint").alias("dims"),
+                                   r6(array_norm("factor")).alias("norm"))
+
+
+@register("item_factors_roundtrip")
+def q_item_factors_roundtrip(spark, sf):
+    res, _, _ = svd_model(spark, sf)
+    path = scratch_path(spark, "svd-factors") + ".parquet"
+    sinks.write_item_factors(res.item_factors, path)
+    return tables.scan_item_factors(spark, path)
+
+
+@register("svd_recommend")
+def q_svd_recommend(spark, sf):
+    res, train, test = svd_model(spark, sf)
+    return REC.factor_recommend(res.user_factors, res.item_factors, train, DEFAULTS.top_k,
+                                users=test.select("user_id").distinct())
+
+
+FLAGSHIP = "knn_recommend"

@@ -117,14 +117,22 @@ def with_ctes(body: str, *names: str, extra: str | None = None) -> str:
     return "WITH " + ",\n".join(parts) + "\n" + body
 
 
-def ranking_sql(lists_cte: str, k: int = 10, list_users: str | None = None) -> str:
-    """Per-user ranking metrics over a ``lists`` CTE and ``truth``; returns
-    the text of a CTE named ``pu``."""
+def ranking_sql(lists_cte: str, k: int = 10, list_users: str | None = None, prefix: str = "") -> str:
+    """Per-user ranking metrics over a lists CTE and ``truth``; returns the
+    text of CTEs ending in one named ``<prefix>pu``."""
+    p = prefix
     lu = list_users or f"SELECT DISTINCT user_id FROM {lists_cte}"
-    return f"""lu AS ({lu}),
-nrel AS (SELECT user_id, count(*) AS n_relevant FROM truth GROUP BY user_id),
-hits AS (SELECT l.user_id, count(*) AS hits, sum(1.0 / log2(l.rank + 1)) AS dcg
+    return f"""{p}lu AS ({lu}),
+{p}nrel AS (SELECT user_id, count(*) AS n_relevant FROM truth GROUP BY user_id),
+{p}hits AS (SELECT l.user_id, count(*) AS hits, sum(1.0 / log2(l.rank + 1)) AS dcg
          FROM {lists_cte} l JOIN truth t USING (user_id, item_id) WHERE l.rank <= {k} GROUP BY l.user_id),
-pu AS (SELECT lu.user_id, coalesce(h.hits, 0) AS hits, n.n_relevant, coalesce(h.dcg, 0.0) AS dcg, g.idcg
-       FROM lu JOIN nrel n USING (user_id) LEFT JOIN hits h USING (user_id)
+{p}pu AS (SELECT lu.user_id, coalesce(h.hits, 0) AS hits, n.n_relevant, coalesce(h.dcg, 0.0) AS dcg, g.idcg
+       FROM {p}lu lu JOIN {p}nrel n USING (user_id) LEFT JOIN {p}hits h USING (user_id)
        JOIN idcg g ON g.n = least(n.n_relevant, {k}))"""
+
+
+def metric_rows_sql(model: str, pu: str, k: int = 10) -> str:
+    """(model, metric, value) rows of the three ranking metrics of a ``pu`` CTE."""
+    return f"""SELECT '{model}' AS model, 'precision_at_k' AS metric, coalesce(avg(hits / {float(k)}), 0.0) AS value FROM {pu}
+UNION ALL SELECT '{model}', 'recall_at_k', coalesce(avg(hits / n_relevant), 0.0) FROM {pu}
+UNION ALL SELECT '{model}', 'ndcg_at_k', coalesce(avg(CASE WHEN idcg > 0 THEN dcg / idcg ELSE 0.0 END), 0.0) FROM {pu}"""
