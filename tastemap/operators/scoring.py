@@ -37,15 +37,17 @@ OUT_SCHEMA = T.StructType([
 
 # Upper bound of score cells held at once by one task (x 8 bytes).
 _CELLS = 1 << 23
+# Score cells per task: sets the number of scoring tasks.
+_TASK_CELLS = 1 << 25
 
 
-def _block_plan(items: DataFrame, max_bytes: int) -> tuple[int, int]:
-    """(number of blocks, rank). One small aggregate; then block sizes are
-    counted and the count of blocks raised until every block fits."""
+def _block_plan(items: DataFrame, max_bytes: int) -> tuple[int, int, int]:
+    """(number of blocks, rank, items). One small aggregate; then block sizes
+    are counted and the count of blocks raised until every block fits."""
     st = items.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("factor")).alias("r")).first()
     n, rank = int(st["n"] or 0), int(st["r"] or 0)
     if n == 0:
-        return 0, rank
+        return 0, rank, 0
     per_item = 8 * (rank + 1)
     blocks = max(1, math.ceil(n * per_item / max_bytes))
     while blocks > 1:
@@ -54,7 +56,7 @@ def _block_plan(items: DataFrame, max_bytes: int) -> tuple[int, int]:
         if largest * per_item <= max_bytes:
             break
         blocks *= 2
-    return blocks, rank
+    return blocks, rank, n
 
 
 def _topk_rows(scores: np.ndarray, item_ids: np.ndarray, keep: np.ndarray):
@@ -109,9 +111,21 @@ def factor_topk(queries: DataFrame, items: DataFrame, k: int, extra: str | None
     items = items.select(F.col("item_id").cast("bigint"), F.col("factor").cast("array<double>"))
     q = queries.select(F.col("query_id").cast("bigint"), F.col("factor").cast("array<double>"),
                        (F.col(extra) if extra else F.lit(0)).cast("bigint").alias("extra"))
-    blocks, rank = _block_plan(items, max_block_bytes)
+    blocks, rank, n_items = _block_plan(items, max_block_bytes)
     if blocks == 0:
         return spark.createDataFrame([], OUT_SCHEMA)
+    # The work is |queries| x |items| score cells, while the query table is
+    # small in bytes (AQE would merge it into one task). Spread it by
+    # cost: about _TASK_CELLS cells per task per block; hashing on the key
+    # with an explicit count keeps the layout repeatable and unmerged.
+    # The query vectors are written once (checkpoint) so that counting them
+    # and scoring them do not run their lineage twice.
+    q = q.checkpoint(eager=True)
+    n_q = q.count()
+    per_block = max(1, math.ceil(n_items / blocks))
+    sc = spark.sparkContext
+    n_tasks = max(1, min(16 * sc.defaultParallelism, math.ceil(n_q * per_block / _TASK_CELLS)))
+    q = q.repartition(n_tasks, "query_id")
     parts = []
     for b in range(blocks):
         blk = items if blocks == 1 else items.filter(
@@ -122,7 +136,7 @@ def factor_topk(queries: DataFrame, items: DataFrame, k: int, extra: str | None
             continue
         ids = pdf["item_id"].to_numpy(dtype=np.int64)
         mat = np.vstack(pdf["factor"].to_numpy()).astype(np.float64)
-        bc = spark.sparkContext.broadcast((ids, mat))
+        bc = sc.broadcast((ids, mat))
         parts.append(q.mapInPandas(_score_fn(bc, k), OUT_SCHEMA))
     if not parts:
         return spark.createDataFrame([], OUT_SCHEMA)

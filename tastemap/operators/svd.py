@@ -22,6 +22,7 @@ back in predictions.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,7 +30,7 @@ import numpy as np
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.mllib.common import callMLlibFunc
-from pyspark.mllib.linalg.distributed import CoordinateMatrix
+from pyspark.mllib.linalg.distributed import CoordinateMatrix, IndexedRowMatrix
 from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +39,10 @@ from tastemap.config import DEFAULTS
 from tastemap.functions.exprs import dot
 
 
+_ENTRY_BYTES = 24          # one (index, value) entry of a sparse row, with overhead
+_PART_BYTES = 64 << 20     # target size of a cached row partition
+
+
 def sparse_rows(pairs: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
     """One row per user index: entries sorted by item index.
     ``pairs`` must hold one rating per (user, item) (see ``dedup_pairs``)."""
@@ -84,13 +89,22 @@ def svd_factors(pairs: DataFrame, users: DataFrame, items: DataFrame, k: int = D
         raise ValueError("center must be None or 'user'")
     entries = idx.select(F.col("u_idx").cast("bigint").alias("i"), F.col("i_idx").cast("bigint").alias("j"),
                          F.col("rating").cast("double").alias("value"))
+    nnz = entries.count()
     jmat = callMLlibFunc("createCoordinateMatrix", entries, int(n_users), int(n_items))
-    rows = CoordinateMatrix(jmat).toIndexedRowMatrix()
-    # the solver passes over the rows more than once: keep them (memory,
-    # spilling to disk); a lost block is rebuilt from the entries
-    jrows = rows._java_matrix_wrapper._java_model.rows()
-    jvm = spark.sparkContext._jvm
+    grouped = CoordinateMatrix(jmat).toIndexedRowMatrix()
+    # The solver makes one pass over the rows per iteration, so the rows are
+    # kept (memory, spilling to disk; a lost block is rebuilt from the
+    # entries) and sized by volume, ~64 MB of entries per partition: each
+    # pass then costs tasks in proportion to the data, not to the cluster.
+    sc = spark.sparkContext
+    jvm = sc._jvm
+    parts = max(1, min(sc.defaultParallelism, math.ceil(nnz * _ENTRY_BYTES / _PART_BYTES)))
+    jrows = grouped._java_matrix_wrapper._java_model.rows()
+    if parts < jrows.getNumPartitions():
+        jrows = jrows.coalesce(parts, False, jvm.scala.Option.empty(), None)
     jrows.persist(jvm.org.apache.spark.storage.StorageLevel.MEMORY_AND_DISK())
+    rows = IndexedRowMatrix(jvm.org.apache.spark.mllib.linalg.distributed.IndexedRowMatrix(
+        jrows, int(n_users), int(n_items)))
     try:
         if n_items * n_items * 8 <= gram_max_bytes:
             s, U = _svd_via_gramian(spark, rows, idx, k_eff)
@@ -116,7 +130,8 @@ def svd_factors(pairs: DataFrame, users: DataFrame, items: DataFrame, k: int = D
     vs = contrib.groupBy("i_idx").agg(Summarizer.sum(F.col("u"), F.col("rating")).alias("vs"))
     V = (vs.select("i_idx", vector_to_array("vs").alias("vs"))
          .select("i_idx", F.zip_with("vs", inv_s, lambda a, b: a * b).alias("factor"))
-         .join(items, "i_idx", "inner").select("item_id", "factor"))
+         .join(items, "i_idx", "inner").select("item_id", "factor")
+         .checkpoint(eager=True))  # read by every consumer: computed once
     uf = U.join(users, "u_idx", "inner")
     ufac = F.zip_with("u", sig, lambda a, b: a * b) if use_sigma else F.col("u")
     uf = uf.select("user_id", ufac.alias("factor"))

@@ -735,4 +735,34 @@ def q_svd_recommend(spark, sf):
                                 users=test.select("user_id").distinct())
 
 
+
+# ---------------------------------------------------------------- end to end
+
+@register("pipeline_metrics")
+def q_pipeline_metrics(spark, sf):
+    """ALS, SVD and item-kNN on the hold-out split, one metrics table."""
+    from tastemap.plans import pipeline as PL
+    res = PL.run(spark, FX.ratings(spark, sf), FX.items(spark, sf), PL.PipelineConfig())
+    return res.metrics.select("model", "metric", r6("value").alias("value"), "status")
+
+
+# ---------------------------------------------------------------- second ratings source
+
+@register("interactions_profile", with_ctes("""SELECT count(*) AS n_pairs, count(DISTINCT user_id) AS n_users,
+  count(DISTINCT item_id) AS n_items, round(avg(rating), 6) AS rating_mean, sum(n_ratings) AS n_ratings FROM (
+  SELECT user_id, item_id, avg(rating) AS rating, count(*) AS n_ratings FROM (
+    SELECT user_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS item_id,
+           CASE event_type WHEN 'error' THEN 1.0 WHEN 'view' THEN 2.0 WHEN 'click' THEN 3.0
+                           WHEN 'signup' THEN 4.0 WHEN 'purchase' THEN 5.0 END AS rating
+    FROM events) e
+  WHERE user_id IS NOT NULL AND item_id IS NOT NULL AND rating IS NOT NULL
+  GROUP BY user_id, item_id) p"""))
+def q_interactions_profile(spark, sf):
+    """events as ratings, de-duplicated per pair by the mean (dense, many repeats)."""
+    pairs = R.clean_ratings(FX.interactions(spark, sf), dedup="pair")
+    return pairs.agg(F.count(F.lit(1)).alias("n_pairs"), F.countDistinct("user_id").alias("n_users"),
+                     F.countDistinct("item_id").alias("n_items"), r6(F.avg("rating")).alias("rating_mean"),
+                     F.sum("n_ratings").alias("n_ratings"))
+
+
 FLAGSHIP = "knn_recommend"
