@@ -125,9 +125,11 @@ def svd_factors(pairs: DataFrame, users: DataFrame, items: DataFrame, k: int = D
     # V = A^T U diag(1/s), summed per item on the executors
     inv_s = F.array(*[F.lit(1.0 / x) for x in s])
     sig = F.array(*[F.lit(x) for x in s])
+    # ratings may be negative (centred), so they scale the vectors instead
+    # of acting as sample weights
     contrib = (idx.select("u_idx", "i_idx", "rating").join(U, "u_idx", "inner")
-               .select("i_idx", "rating", array_to_vector("u").alias("u")))
-    vs = contrib.groupBy("i_idx").agg(Summarizer.sum(F.col("u"), F.col("rating")).alias("vs"))
+               .select("i_idx", array_to_vector(F.transform("u", lambda x: x * F.col("rating"))).alias("u")))
+    vs = contrib.groupBy("i_idx").agg(Summarizer.sum(F.col("u")).alias("vs"))
     V = (vs.select("i_idx", vector_to_array("vs").alias("vs"))
          .select("i_idx", F.zip_with("vs", inv_s, lambda a, b: a * b).alias("factor"))
          .join(items, "i_idx", "inner").select("item_id", "factor")
@@ -156,8 +158,8 @@ def _svd_via_gramian(spark, rows, idx: DataFrame, k: int, rcond: float = 1e-9):
     v_rows = [(int(i), [float(x) for x in vecs[i] / sv]) for i in range(vecs.shape[0])]
     vdf = spark.createDataFrame(v_rows, "i_idx bigint, w array<double>")
     contrib = (idx.select("u_idx", "i_idx", "rating").join(vdf, "i_idx", "inner")
-               .select("u_idx", "rating", array_to_vector("w").alias("w")))
-    U = (contrib.groupBy("u_idx").agg(Summarizer.sum(F.col("w"), F.col("rating")).alias("u"))
+               .select("u_idx", array_to_vector(F.transform("w", lambda x: x * F.col("rating"))).alias("w")))
+    U = (contrib.groupBy("u_idx").agg(Summarizer.sum(F.col("w")).alias("u"))
          .select(F.col("u_idx").cast("bigint"), vector_to_array("u").alias("u")))
     return [float(x) for x in sv], U
 
