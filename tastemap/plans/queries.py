@@ -495,8 +495,18 @@ UNION ALL SELECT 'factor', 'rmse', sqrt(avg(pow(rating - least(5.0, greatest(1.0
                       ranking_sql("knn", 10, list_users="SELECT user_id FROM tusers", prefix="k"),
                       ranking_sql("flists", 10, prefix="f")])))
 def q_metrics_long(spark, sf):
+    path = scratch_path(spark, "metrics")
+    sinks.write_metrics(model_metrics(spark, sf), path)
+    back = spark.read.schema("model string, metric string, value double, status string").json(path)
+    return back.select("model", "metric", r6("value").alias("value"), "status")
+
+
+def model_metrics(spark, sf) -> DataFrame:
+    """Metrics of three list sources on one hold-out split: most popular,
+    item-kNN on the embedding neighbours and factor scoring."""
+    from tastemap.plans.pipeline import prepare
     k = DEFAULTS.top_k
-    train, test = split(spark, sf)
+    _, train, test = prepare(FX.ratings(spark, sf))  # split written once, read by all models
     truth = M.truth_sets(test)
     users = test.select("user_id").distinct()
     pop = popular.popular_unseen(train, users, k)
@@ -506,13 +516,29 @@ def q_metrics_long(spark, sf):
     uf = REC.user_factors_from_ratings(train, vf)
     fl = REC.factor_recommend(uf, vf, train, k, users=users)
     err = M.rmse(SVD.predict_with_factors(test, uf.drop("n_seen"), vf), clip_to=(1.0, 5.0))
-    long = (M.metrics_long("popular", M.ranking_metrics(pop, truth, k))
+    return (M.metrics_long("popular", M.ranking_metrics(pop, truth, k))
             .unionByName(M.metrics_long("knn", M.ranking_metrics(knn, truth, k, list_users=users)))
             .unionByName(M.metrics_long("factor", M.ranking_metrics(fl, truth, k), err)))
-    path = scratch_path(spark, "metrics")
-    sinks.write_metrics(long, path)
-    back = spark.read.schema("model string, metric string, value double, status string").json(path)
-    return back.select("model", "metric", r6("value").alias("value"), "status")
+
+
+@register("model_comparison", with_ctes(
+    f"""SELECT model, round(max(CASE WHEN metric = 'rmse' THEN value END), 6) AS rmse,
+  round(max(CASE WHEN metric = 'precision_at_k' THEN value END), 6) AS precision_at_k,
+  round(max(CASE WHEN metric = 'recall_at_k' THEN value END), 6) AS recall_at_k,
+  round(max(CASE WHEN metric = 'ndcg_at_k' THEN value END), 6) AS ndcg_at_k FROM (
+{metric_rows_sql('popular', 'ppu')}
+UNION ALL {metric_rows_sql('knn', 'kpu')}
+UNION ALL {metric_rows_sql('factor', 'fpu')}
+UNION ALL SELECT 'factor', 'rmse', sqrt(avg(pow(rating - least(5.0, greatest(1.0, prediction)), 2))) FROM ({_PRED_SQL}) p) m
+GROUP BY model""",
+    "lists", "knn", "truth", "idcg", "ufac", "tusers",
+    extra=",\n".join([_FLISTS, ranking_sql("lists", 10, prefix="p"),
+                      ranking_sql("knn", 10, list_users="SELECT user_id FROM tusers", prefix="k"),
+                      ranking_sql("flists", 10, prefix="f")])))
+def q_model_comparison(spark, sf):
+    """Wide comparison table, one row per model."""
+    wide = M.compare_models(model_metrics(spark, sf))
+    return wide.select("model", *[r6(c).alias(c) for c in ("rmse", "precision_at_k", "recall_at_k", "ndcg_at_k")])
 
 
 # ---------------------------------------------------------------- features
