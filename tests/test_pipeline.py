@@ -108,3 +108,13 @@ def test_als_lists_without_exclusion(spark):
     sinks.write_lists(recs, path)
     back = spark.read.parquet(path)
     assert back.filter(F.size("items") > 5).count() == 0
+
+
+def test_median_with_hot_value(spark):
+    # one value holds a third of the rows: the sort must still split it
+    df = spark.range(0, 30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7.0)).otherwise((F.col("id") % 1000).cast("double")).alias("x"))
+    df = df.unionByName(spark.createDataFrame([(None,)], "x double"))
+    _, med = FE.impute_median(df, ["x"])
+    vals = sorted(r[0] for r in df.dropna().collect())
+    assert med["x"] == vals[(len(vals) - 1) // 2]
