@@ -32,8 +32,13 @@ def clean_ratings(df: DataFrame, lo: float = DEFAULTS.rating_min, hi: float = DE
         F.col("user_id").try_cast(id_type).alias("user_id"),
         F.col("item_id").try_cast(id_type).alias("item_id"),
         F.col("rating").try_cast("double").alias("rating"),
-    ).na.drop()
-    out = out.filter(F.col("rating").between(lo, hi))
+    )
+    # explicit predicates rather than na.drop(): the optimizer knows them as
+    # not-null constraints, so two uses of the cleaned table plan the same
+    # subtree and the second reuses the first one's exchange
+    out = out.filter(F.col("user_id").isNotNull() & F.col("item_id").isNotNull()
+                     & F.col("rating").isNotNull() & ~F.isnan("rating")
+                     & F.col("rating").between(lo, hi))
     if dedup == "triple":
         return out.dropDuplicates(TRIPLE)
     if dedup == "pair":

@@ -18,10 +18,12 @@ smaller item id, so the result does not depend on the summation order.
 from __future__ import annotations
 
 import math
+import sys
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +31,11 @@ from pyspark.sql import types as T
 from tastemap.config import DEFAULTS
 from tastemap.functions.exprs import SCORE_DECIMALS
 
+# The scoring functions run in Python workers. They are shipped by value,
+# so executors need numpy and pandas but not this package on their path
+# (``--py-files`` is still the way to ship the rest of the library).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 OUT_SCHEMA = T.StructType([
     T.StructField("query_id", T.LongType()),
     T.StructField("item_id", T.LongType()),
