@@ -91,10 +91,11 @@ def run(spark: SparkSession, ratings_raw: DataFrame, items: DataFrame | None = N
         try:
             if cfg.cross_validate:
                 model, _ = ALS.cross_validate(train, small=cfg.small_grid)
+                fitted = ALS.AlsFit(model)
             else:
-                model = ALS.fit(train, cfg.als)
-            err = M.rmse(ALS.predict(model, test), clip_to=cfg.clip)
-            recs = ALS.recommend(model, users, cfg.k, seen=seen)
+                fitted = ALS.fit_any_ids(train, cfg.als)
+            err = M.rmse(ALS.predict_any(fitted, test), clip_to=cfg.clip)
+            recs = ALS.recommend_any(fitted, users, cfg.k, seen=seen)
             lists["ALS"] = recs
             parts.append(M.metrics_long("ALS", M.ranking_metrics(recs, truth, cfg.k), err))
         except Exception as exc:  # one model failing must not stop the others

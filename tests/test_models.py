@@ -80,3 +80,19 @@ def test_als_rejects_wide_ids(spark):
     df = spark.createDataFrame([(2**40, 1, 3.0)], "user_id bigint, item_id bigint, rating double")
     with pytest.raises(ValueError):
         ALS.fit(df)
+
+
+def test_als_wide_ids_are_indexed(spark):
+    df, _ = planted(spark, 60, 30)
+    wide = df.select((F.col("user_id") + F.lit(2**40)).alias("user_id"),
+                     (F.col("item_id") + F.lit(2**35)).alias("item_id"), "rating")
+    f = ALS.fit_any_ids(wide, ALS.AlsParams(rank=3, iters=5))
+    assert f.indexed
+    preds = ALS.predict_any(f, wide)
+    assert preds.count() == wide.count()
+    assert preds.filter(F.col("user_id") < 2**40).count() == 0
+    recs = ALS.recommend_any(f, wide.select("user_id").distinct(), 3, seen=wide)
+    assert recs.join(wide, ["user_id", "item_id"]).count() == 0
+    assert recs.filter(F.col("item_id") < 2**35).count() == 0
+    narrow = ALS.fit_any_ids(df, ALS.AlsParams(rank=3, iters=5))
+    assert not narrow.indexed
