@@ -51,10 +51,13 @@ _TASK_CELLS = 1 << 25
 def _block_plan(items: DataFrame, max_bytes: int) -> tuple[int, int, int]:
     """(number of blocks, rank, items). One small aggregate; then block sizes
     are counted and the count of blocks raised until every block fits."""
-    st = items.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("factor")).alias("r")).first()
+    st = items.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("factor")).alias("r"),
+                   F.min(F.size("factor")).alias("r0")).first()
     n, rank = int(st["n"] or 0), int(st["r"] or 0)
     if n == 0:
         return 0, rank, 0
+    if st["r0"] != rank:
+        raise ValueError(f"item factors have lengths {st['r0']}..{rank}; all must be equal")
     per_item = 8 * (rank + 1)
     blocks = max(1, math.ceil(n * per_item / max_bytes))
     while blocks > 1:
