@@ -775,7 +775,7 @@ def q_pipeline_metrics(spark, sf):
 # ---------------------------------------------------------------- second ratings source
 
 @register("interactions_profile", with_ctes("""SELECT count(*) AS n_pairs, count(DISTINCT user_id) AS n_users,
-  count(DISTINCT item_id) AS n_items, round(avg(rating), 6) AS rating_mean, sum(n_ratings) AS n_ratings FROM (
+  count(DISTINCT item_id) AS n_items, round(avg(rating), 6) AS rating_mean, CAST(sum(n_ratings) AS BIGINT) AS n_ratings FROM (
   SELECT user_id, item_id, avg(rating) AS rating, count(*) AS n_ratings FROM (
     SELECT user_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS item_id,
            CASE event_type WHEN 'error' THEN 1.0 WHEN 'view' THEN 2.0 WHEN 'click' THEN 3.0
