@@ -96,3 +96,18 @@ def test_als_wide_ids_are_indexed(spark):
     assert recs.filter(F.col("item_id") < 2**35).count() == 0
     narrow = ALS.fit_any_ids(df, ALS.AlsParams(rank=3, iters=5))
     assert not narrow.indexed
+
+
+def test_registered_model_queries_invariants(spark):
+    import __spark_entry__ as E
+    from conftest import SF_SMALL
+    from tastemap.plans.queries import split
+    q = E.queries()
+    train, test = split(spark, SF_SMALL)
+    svd = q["svd_recommend"](spark, SF_SMALL)
+    assert svd.join(train, ["user_id", "item_id"]).count() == 0
+    assert svd.groupBy("user_id").agg(F.max("rank").alias("m")).filter("m > 10").count() == 0
+    grid = q["als_cv_grid"](spark, SF_SMALL).collect()
+    assert len(grid) == 2 and all(r["rmse"] > 0 for r in grid)
+    sv = [r["value"] for r in q["svd_singular_values"](spark, SF_SMALL).orderBy("idx").collect()]
+    assert sv == sorted(sv, reverse=True) and sv[-1] > 0

@@ -81,3 +81,11 @@ def test_popular_unseen_brute_force(spark):
         want = [i for i in order if i not in seen][:5]
         g = got[got.user_id == u].sort_values("rank").item_id.tolist()
         assert g == want, u
+
+
+def test_factor_lists_independent_of_layout(spark):
+    vf, _ = _factors(spark, 80, 4, 11)
+    uf, _ = _factors(spark, 25, 4, 12, col="user_id")
+    a = REC.factor_recommend(uf.repartition(2), vf.repartition(3), None, 6).collect()
+    b = REC.factor_recommend(uf.repartition(5), vf.repartition(1), None, 6).collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
