@@ -65,9 +65,15 @@ class SvdResult:
 def svd_factors(pairs: DataFrame, users: DataFrame, items: DataFrame, k: int = DEFAULTS.svd_k,
                 use_sigma: bool = True, center: str | None = None,
                 max_driver_bytes: int = DEFAULTS.max_driver_factor_bytes,
-                gram_max_bytes: int = 128 << 20, rcond: float = 1e-9) -> SvdResult:
+                gram_max_bytes: int = 128 << 20, rcond: float = 1e-9, method: str = "auto") -> SvdResult:
     """Fit a rank-k SVD on train ``pairs (user_id, item_id, rating)`` with
-    dense indices ``users (user_id, u_idx)`` and ``items (item_id, i_idx)``."""
+    dense indices ``users (user_id, u_idx)`` and ``items (item_id, i_idx)``.
+
+    ``method``: "auto" (Gramian when items^2 x 8 bytes <= ``gram_max_bytes``,
+    else ARPACK; both exact), "gramian", "arpack", or "randomized" (few
+    passes, approximate; see :mod:`tastemap.operators.svd_randomized`)."""
+    if method not in ("auto", "gramian", "arpack", "randomized"):
+        raise ValueError(f"unknown method {method!r}")
     spark = pairs.sparkSession
     counts = users.agg(F.count(F.lit(1)).alias("n"))
     n_users = counts.first()["n"]
@@ -80,6 +86,12 @@ def svd_factors(pairs: DataFrame, users: DataFrame, items: DataFrame, k: int = D
     if n_items * k_eff * 8 > max_driver_bytes:
         return SvdResult(f"skipped: V would need {n_items * k_eff * 8} bytes on the driver", [])
 
+    if method == "randomized":
+        from tastemap.operators.svd_randomized import randomized_svd
+        if center is not None:
+            raise ValueError("center is not supported with method='randomized'")
+        return randomized_svd(pairs, k_eff, use_sigma=use_sigma)
+
     idx = pairs.join(users, "user_id", "inner").join(items, "item_id", "inner")
     means = None
     if center == "user":
@@ -106,7 +118,10 @@ def svd_factors(pairs: DataFrame, users: DataFrame, items: DataFrame, k: int = D
     rows = IndexedRowMatrix(jvm.org.apache.spark.mllib.linalg.distributed.IndexedRowMatrix(
         jrows, int(n_users), int(n_items)))
     try:
-        if n_items * n_items * 8 <= gram_max_bytes:
+        gram = method == "gramian" or (method == "auto" and n_items * n_items * 8 <= gram_max_bytes)
+        if gram and n_items * n_items * 8 > max_driver_bytes:
+            return SvdResult("skipped: Gramian would exceed the driver bound", [])
+        if gram:
             s, U = _svd_via_gramian(spark, rows, idx, k_eff)
         else:
             svd = rows.computeSVD(k_eff, computeU=True)

@@ -1,0 +1,125 @@
+"""Randomized truncated SVD in a few passes (Halko, Martinsson and Tropp,
+"Finding structure with randomness", SIAM Review 2011).
+
+For rating tables so large that the iterative solver's hundreds of passes
+are too many: 2q + 2 passes over the rating entries, where q is the
+number of power iterations. The result is an approximation whose quality
+depends on how fast the singular values decay (exact for a matrix of rank
+at most k + oversample); the default route in :mod:`tastemap.operators.svd`
+stays exact.
+
+Every product with the rating matrix is a join of the entries with a
+factor table plus a vector sum per key (map-side partial aggregation).
+Orthonormalisation uses the l x l Gram matrix (MLlib, tree aggregate) and
+a multiply by a small matrix, so the driver holds only l x l matrices.
+Intermediate factor tables are checkpointed: the lineage does not grow
+with the iterations and lost blocks are not recomputed from the start.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.mllib.common import callMLlibFunc
+from pyspark.mllib.linalg import DenseMatrix
+from pyspark.mllib.linalg.distributed import IndexedRowMatrix
+from pyspark.mllib.util import MLUtils
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tastemap.config import DEFAULTS
+
+
+def _irm(df: DataFrame, key: str, width: int) -> IndexedRowMatrix:
+    v = df.select(F.col(key).cast("bigint").alias("index"), array_to_vector("v").alias("vector"))
+    v = MLUtils.convertVectorColumnsFromML(v, "vector")
+    return IndexedRowMatrix(v, 0, width)
+
+
+def _rows(irm: IndexedRowMatrix, key: str) -> DataFrame:
+    r = callMLlibFunc("getIndexedRows", irm._java_matrix_wrapper._java_model)
+    r = MLUtils.convertVectorColumnsToML(r, "vector")
+    return r.select(F.col("index").alias(key), vector_to_array("vector").alias("v"))
+
+
+def _times_small(df: DataFrame, key: str, m: np.ndarray) -> DataFrame:
+    """Rows of ``df`` (width m.shape[0]) times a small dense matrix."""
+    dm = DenseMatrix(m.shape[0], m.shape[1], m.flatten(order="F").tolist())
+    return _rows(_irm(df, key, m.shape[0]).multiply(dm), key)
+
+
+def _gram(df: DataFrame, key: str, width: int) -> np.ndarray:
+    return _irm(df, key, width).computeGramianMatrix().toArray()
+
+
+def _orthonormalize(df: DataFrame, key: str, width: int, rtol: float = 1e-10) -> tuple[DataFrame, int]:
+    """Orthonormal basis of the column space of a tall table ``(key, v)``:
+    Q = Y W diag(1/sqrt(lambda)) from the eigenpairs of Y^T Y, twice for
+    accuracy; directions with negligible weight are dropped."""
+    for _ in range(2):
+        g = _gram(df, key, width)
+        w, vecs = np.linalg.eigh(g)
+        order = np.argsort(w)[::-1]
+        w, vecs = w[order], vecs[:, order]
+        keep = w > rtol * max(w[0], 0.0) if w.size else np.zeros(0, bool)
+        if not keep.any():
+            return df, 0
+        m = vecs[:, keep] / np.sqrt(w[keep])
+        df = _times_small(df, key, m).checkpoint(eager=True)
+        width = int(keep.sum())
+    return df, width
+
+
+def _a_times(entries: DataFrame, right: DataFrame, out_key: str, in_key: str) -> DataFrame:
+    """Rating matrix (or its transpose) times a factor table ``(in_key, v)``:
+    one join and one vector sum per ``out_key``."""
+    j = (entries.join(right.withColumnRenamed("v", "_r"), in_key, "inner")
+         .select(out_key, array_to_vector(F.transform("_r", lambda x: x * F.col("rating"))).alias("w")))
+    s = j.groupBy(out_key).agg(Summarizer.sum(F.col("w")).alias("s"))
+    return s.select(out_key, vector_to_array("s").alias("v"))
+
+
+def _test_matrix(entries: DataFrame, width: int, seed: int) -> DataFrame:
+    """Random +-1 matrix, one row per item, from a hash of (item, column, seed):
+    repeatable whatever the layout."""
+    items = entries.select("item_id").distinct()
+    cols = F.sequence(F.lit(0), F.lit(width - 1))
+    sign = lambda j: F.when(F.xxhash64(F.col("item_id"), j, F.lit(seed)) % 2 == 0, F.lit(1.0)).otherwise(F.lit(-1.0))
+    return items.select("item_id", F.transform(cols, sign).alias("v"))
+
+
+def randomized_svd(pairs: DataFrame, k: int = DEFAULTS.svd_k, oversample: int = 10, power_iters: int = 2,
+                   seed: int = DEFAULTS.seed, use_sigma: bool = True):
+    """Rank-k factors of ``pairs (user_id, item_id, rating)`` (one row per pair).
+    Returns an :class:`tastemap.operators.svd.SvdResult`."""
+    from tastemap.operators.svd import SvdResult
+
+    entries = pairs.select(F.col("user_id").cast("bigint"), F.col("item_id").cast("bigint"),
+                           F.col("rating").cast("double")).checkpoint(eager=True)
+    width = k + oversample
+    y = _a_times(entries, _test_matrix(entries, width, seed), "user_id", "item_id")
+    q, width = _orthonormalize(y, "user_id", width)
+    for _ in range(power_iters):
+        if width == 0:
+            break
+        z, width = _orthonormalize(_a_times(entries, q, "item_id", "user_id"), "item_id", width)
+        if width == 0:
+            break
+        q, width = _orthonormalize(_a_times(entries, z, "user_id", "item_id"), "user_id", width)
+    if width == 0:
+        return SvdResult("skipped: matrix has rank 0", [])
+    c = _a_times(entries, q, "item_id", "user_id").checkpoint(eager=True)   # A^T Q = B^T
+    w, vecs = np.linalg.eigh(_gram(c, "item_id", width))                    # B B^T
+    order = np.argsort(w)[::-1][:k]
+    w, vecs = np.clip(w[order], 0.0, None), vecs[:, order]
+    sv = np.sqrt(w)
+    keep = sv > 1e-9 * (sv[0] if sv.size else 0.0)
+    sv, vecs = sv[keep], vecs[:, keep]
+    if sv.size == 0:
+        return SvdResult("skipped: matrix has rank 0", [])
+    u = _times_small(q, "user_id", vecs * sv if use_sigma else vecs)
+    v = _times_small(c, "item_id", vecs / sv)
+    u = u.select("user_id", F.col("v").alias("factor")).checkpoint(eager=True)
+    v = v.select("item_id", F.col("v").alias("factor")).checkpoint(eager=True)
+    return SvdResult("ok", [float(x) for x in sv], u, v, None, int(sv.size))

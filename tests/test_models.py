@@ -111,3 +111,14 @@ def test_registered_model_queries_invariants(spark):
     assert len(grid) == 2 and all(r["rmse"] > 0 for r in grid)
     sv = [r["value"] for r in q["svd_singular_values"](spark, SF_SMALL).orderBy("idx").collect()]
     assert sv == sorted(sv, reverse=True) and sv[-1] > 0
+
+
+def test_randomized_svd_on_low_rank(spark):
+    from tastemap.operators.svd_randomized import randomized_svd
+    df, M = planted(spark, 50, 30, full=True)
+    res = randomized_svd(df, k=4, oversample=6, power_iters=2)
+    assert res.status == "ok" and res.k == 4
+    want = np.linalg.svd(M, compute_uv=False)[:4]
+    assert np.allclose(res.singular_values, want, rtol=1e-6)
+    pred = SVD.predict_with_factors(df, res.user_factors, res.item_factors).toPandas()
+    assert np.sqrt(((pred.rating - pred.prediction) ** 2).mean()) < 1e-6
