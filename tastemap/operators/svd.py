@@ -145,9 +145,13 @@ def svd_factors(pairs: DataFrame, users: DataFrame, items: DataFrame, k: int = D
     contrib = (idx.select("u_idx", "i_idx", "rating").join(U, "u_idx", "inner")
                .select("i_idx", array_to_vector(F.transform("u", lambda x: x * F.col("rating"))).alias("u")))
     vs = contrib.groupBy("i_idx").agg(Summarizer.sum(F.col("u")).alias("vs"))
+    # every indexed item gets a row of V; an item without training ratings
+    # has a zero row (it scores 0, as a column of zeros in A would)
+    zeros = F.array_repeat(F.lit(0.0), len(s))
     V = (vs.select("i_idx", vector_to_array("vs").alias("vs"))
          .select("i_idx", F.zip_with("vs", inv_s, lambda a, b: a * b).alias("factor"))
-         .join(items, "i_idx", "inner").select("item_id", "factor")
+         .join(items, "i_idx", "right")
+         .select("item_id", F.coalesce(F.col("factor"), zeros).alias("factor"))
          .checkpoint(eager=True))  # read by every consumer: computed once
     uf = U.join(users, "u_idx", "inner")
     ufac = F.zip_with("u", sig, lambda a, b: a * b) if use_sigma else F.col("u")
