@@ -89,3 +89,15 @@ def test_factor_lists_independent_of_layout(spark):
     a = REC.factor_recommend(uf.repartition(2), vf.repartition(3), None, 6).collect()
     b = REC.factor_recommend(uf.repartition(5), vf.repartition(1), None, 6).collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_heavy_user_sees_most_items(spark):
+    vf, V = _factors(spark, 120, 4, 21)
+    uf, U = _factors(spark, 6, 4, 22, col="user_id")
+    seen = {0: set(range(110)), 1: {3}, 2: set()}
+    seen_df = spark.createDataFrame([(u, i) for u, s in seen.items() for i in s], "user_id bigint, item_id bigint")
+    got = REC.factor_recommend(uf, vf, seen_df, 15).toPandas()
+    want = _brute(U, V, 15, seen)
+    for u in range(6):
+        assert got[got.user_id == u].sort_values("rank").item_id.tolist() == want[u], u
+    assert len(want[0]) == 10  # only ten unseen items are left for the heavy user
