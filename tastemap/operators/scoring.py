@@ -120,7 +120,8 @@ def factor_topk(queries: DataFrame, items: DataFrame, k: int, extra: str | None
     spark = queries.sparkSession
     items = items.select(F.col("item_id").cast("bigint"), F.col("factor").cast("array<double>"))
     q = queries.select(F.col("query_id").cast("bigint"), F.col("factor").cast("array<double>"),
-                       (F.col(extra) if extra else F.lit(0)).cast("bigint").alias("extra"))
+                       F.coalesce(F.col(extra).cast("bigint") if extra else F.lit(0), F.lit(0)).cast("bigint")
+                       .alias("extra"))
     blocks, rank, n_items = _block_plan(items, max_block_bytes)
     if blocks == 0:
         return spark.createDataFrame([], OUT_SCHEMA)
