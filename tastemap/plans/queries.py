@@ -95,7 +95,11 @@ def q_csv_to_parquet(spark, sf):
     return R.clean_ratings(staged, dedup="none")
 
 
-@register("stage_raw_tables")
+@register("stage_raw_tables", with_ctes("""SELECT 'ratings' AS table_name, true AS staged, count(*) AS n_rows FROM ratings
+UNION ALL SELECT 'books', true, (SELECT count(*) FROM part)
+UNION ALL SELECT 'book_tags', false, CAST(NULL AS BIGINT)
+UNION ALL SELECT 'tags', false, CAST(NULL AS BIGINT)
+UNION ALL SELECT 'to_read', false, CAST(NULL AS BIGINT)""", "ratings"))
 def q_stage_raw_tables(spark, sf):
     base = scratch_path(spark, "raw")
     FX.ratings(spark, sf).write.option("header", "true").csv(f"{base}/ratings.csv")
@@ -642,8 +646,16 @@ def feature_table(spark, sf, n_top=TOP_N):
     return FE.build_features(enriched(spark, sf), n_top=n_top)
 
 
-@register("one_hot")
+@register("one_hot", with_ctes("""SELECT c.user_id, c.item_id, c.rating, c.authors_top, l.authors_top_idx,
+  CAST(n.n_labels + 1 AS BIGINT) AS ohe_size, CAST(l.authors_top_idx + 1 AS BIGINT) AS ohe_hot_position
+FROM collapsed c JOIN lab l USING (authors_top), (SELECT count(*) AS n_labels FROM lab) n""", "enriched",
+                              extra=_TOPCAT + """,
+lab AS (SELECT authors_top,
+               CAST(row_number() OVER (ORDER BY count(*) DESC, authors_top) - 1 AS DOUBLE) AS authors_top_idx
+        FROM collapsed GROUP BY authors_top)"""))
 def q_one_hot(spark, sf):
+    """One-hot with handleInvalid="keep": the vector has one slot more than
+    there are labels (the invalid slot; the last slot is dropped)."""
     from pyspark.ml.functions import vector_to_array
     f = feature_table(spark, sf)
     arr = vector_to_array("authors_top_ohe")
