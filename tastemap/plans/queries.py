@@ -664,27 +664,59 @@ def q_one_hot(spark, sf):
                     F.array_position(arr, 1.0).cast("bigint").alias("ohe_hot_position"))
 
 
-@register("assemble_features")
-def q_assemble_features(spark, sf):
+_IMP_ALL_SQL = _IMP_SQL.replace(
+    "coalesce(average_rating, ma) AS average_rating_imp",
+    "coalesce(average_rating, ma) AS average_rating_imp, item_rating_count AS item_rating_count_imp, "
+    "item_rating_mean AS item_rating_mean_imp, user_rating_count AS user_rating_count_imp, "
+    "user_rating_mean AS user_rating_mean_imp")
+
+# Feature rows in SQL: imputed numerics, collapsed category, one-hot slot.
+_FEATURE_ROWS_SQL = ",\n".join([_ENRICHED2, _IMP_ALL_SQL, _TOPCAT, """fe AS (
+  SELECT i.*, CASE WHEN i.authors IS NULL THEN 'unknown'
+                   WHEN i.authors IN (SELECT authors FROM topcat) THEN i.authors ELSE 'other' END AS authors_top
+  FROM imputed i),
+lab AS (SELECT authors_top, count(*) AS cnt FROM fe GROUP BY authors_top),
+nlab AS (SELECT count(*) AS n_labels FROM lab),
+sd AS (SELECT count(*) AS n, """ + ", ".join(f"stddev_samp({c}) AS s_{c}" for c in _SCALED) + """ FROM fe),
+labsd AS (SELECT authors_top, sqrt((cnt - cnt * cnt / n) / (n - 1)) AS s_lab FROM lab, sd)"""])
+
+_NUM_SUM = " + ".join(_SCALED)
+_SCALED_SUM = " + ".join(f"(CASE WHEN s_{c} > 0 THEN {c} / s_{c} ELSE 0.0 END)" for c in _SCALED)
+
+
+def _vector_summary(df, col):
     from pyspark.ml.functions import vector_to_array
-    f = feature_table(spark, sf)
-    return f.select("user_id", "item_id", "rating", vector_to_array("features_assembled").alias("features_assembled"))
+    arr = vector_to_array(col)
+    return df.select("user_id", "item_id", "rating", F.size(arr).cast("bigint").alias("n_features"),
+                     r6(F.aggregate(arr, F.lit(0.0), lambda a, x: a + x)).alias("feature_sum"))
+
+
+@register("assemble_features", with_ctes(f"""SELECT user_id, item_id, rating,
+  CAST(6 + n_labels + 1 AS BIGINT) AS n_features, round({_NUM_SUM} + 1.0, 6) AS feature_sum
+FROM fe, nlab""", "enriched", "istats", "ustats", "items", extra=_FEATURE_ROWS_SQL))
+def q_assemble_features(spark, sf):
+    """Assembled vector (numerics then one-hot): width and sum per row."""
+    return _vector_summary(feature_table(spark, sf), "features_assembled")
+
 
+_FEATURE_TABLE_SQL = with_ctes(f"""SELECT user_id, item_id, rating,
+  CAST(6 + n_labels + 1 AS BIGINT) AS n_features,
+  round({_SCALED_SUM} + (CASE WHEN s_lab > 0 THEN 1.0 / s_lab ELSE 0.0 END), 6) AS feature_sum
+FROM fe JOIN labsd USING (authors_top), sd, nlab""", "enriched", "istats", "ustats", "items", extra=_FEATURE_ROWS_SQL)
 
-@register("feature_table")
+
+@register("feature_table", _FEATURE_TABLE_SQL)
 def q_feature_table(spark, sf):
-    from pyspark.ml.functions import vector_to_array
-    f = feature_table(spark, sf)
-    return f.select("user_id", "item_id", "rating", vector_to_array("features").alias("features"))
+    """Scaled feature vector: width and sum per row (each slot divided by its
+    sample standard deviation, 0 where that is 0)."""
+    return _vector_summary(feature_table(spark, sf), "features")
 
 
-@register("feature_table_roundtrip")
+@register("feature_table_roundtrip", _FEATURE_TABLE_SQL)
 def q_feature_table_roundtrip(spark, sf):
-    from pyspark.ml.functions import vector_to_array
     path = scratch_path(spark, "features") + ".parquet"
     sinks.write_table(feature_table(spark, sf).select("user_id", "item_id", "rating", "features"), path)
-    back = spark.read.parquet(path)
-    return back.select("user_id", "item_id", "rating", vector_to_array("features").alias("features"))
+    return _vector_summary(spark.read.parquet(path), "features")
 
 
 # ---------------------------------------------------------------- ALS
