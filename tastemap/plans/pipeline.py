@@ -5,13 +5,15 @@ metrics. Each model runs in its own ``try``: a failure or a skip becomes a
 status row and the other models go on.
 
 The cleaned and split ratings feed every model, so they are written once
-to the checkpoint directory (reliable checkpoint: lineage is cut and a
-lost executor does not force the de-duplication shuffle to run again).
+to the checkpoint directory (lineage is cut, and a lost executor does not
+force the de-duplication shuffle to run again); optionally as a table
+bucketed by user, so per-user work downstream reads it without a shuffle.
 """
 
 from __future__ import annotations
 
 import logging
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +27,7 @@ from tastemap.operators import ratings as R
 from tastemap.operators import recommend as REC
 from tastemap.operators import split as S
 from tastemap.operators import svd as SVD
-from tastemap.session import ensure_checkpoint_dir
+from tastemap.session import ensure_checkpoint_dir, scratch_path
 from tastemap.sources import sinks
 
 log = logging.getLogger(__name__)
@@ -47,6 +49,7 @@ class PipelineConfig:
     models: tuple = ("ALS", "SVD", "kNN")
     output_uri: str | None = None     # metrics JSON, lists and factors under this URI
     features: bool = False            # also build and write the feature table
+    bucket_split: bool = False        # write the split bucketed by user (large clusters)
 
 
 @dataclass
@@ -57,8 +60,30 @@ class PipelineResult:
     test: DataFrame
 
 
-def prepare(ratings_raw: DataFrame, split: str = "holdout") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(clean, train, test); the flagged table is checkpointed once."""
+def write_bucketed(df: DataFrame, key: str, name: str, buckets: int | None = None) -> DataFrame:
+    """Write ``df`` as an external table bucketed and sorted by ``key`` under
+    the shared checkpoint directory, and read it back. Like a checkpoint it
+    cuts the lineage and survives executor loss; unlike a checkpoint the
+    read keeps the hash layout, so later aggregates and joins on ``key``
+    (or on ``key`` plus more columns) need no shuffle."""
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"tastemap_{name}_{uuid.uuid4().hex[:12]}"
+    (df.write.bucketBy(buckets, key).sortBy(key)
+     .option("path", scratch_path(spark, table)).saveAsTable(table))
+    return spark.table(table)
+
+
+def prepare(ratings_raw: DataFrame, split: str = "holdout", bucket: bool = False,
+            buckets: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(clean, train, test) from one flagged table written once.
+
+    Default: a reliable checkpoint. ``bucket=True`` writes it bucketed by
+    user instead, so the per-user steps downstream (seen counts, pair
+    de-duplication, neighbour expansion, truth, metrics joins) read it
+    without a shuffle. Measured at sf0.1 the bucketed write costs more than
+    it saves (9.9 s against 2.4 s, and 16 small partitions), so it is for
+    large clusters where shuffling the training table dominates."""
     clean = R.clean_ratings(ratings_raw)
     if split == "holdout":
         flagged = S.holdout_flagged(clean)
@@ -66,7 +91,8 @@ def prepare(ratings_raw: DataFrame, split: str = "holdout") -> tuple[DataFrame,
         flagged = S.hash_split(clean).withColumn("is_test", ~F.col("is_train")).drop("is_train")
     else:
         raise ValueError("split must be holdout or random")
-    flagged = flagged.checkpoint(eager=True)
+    flagged = (write_bucketed(flagged, "user_id", "split", buckets) if bucket
+               else flagged.checkpoint(eager=True))
     base = ["user_id", "item_id", "rating"]
     return (flagged.select(*base), flagged.filter(~F.col("is_test")).select(*base),
             flagged.filter(F.col("is_test")).select(*base))
@@ -75,7 +101,7 @@ def prepare(ratings_raw: DataFrame, split: str = "holdout") -> tuple[DataFrame,
 def run(spark: SparkSession, ratings_raw: DataFrame, items: DataFrame | None = None,
         cfg: PipelineConfig = PipelineConfig()) -> PipelineResult:
     ensure_checkpoint_dir(spark)
-    clean, train, test = prepare(ratings_raw, cfg.split)
+    clean, train, test = prepare(ratings_raw, cfg.split, bucket=cfg.bucket_split)
     truth = M.truth_sets(test)
     users = test.select("user_id").distinct()
     parts: list[DataFrame] = []

@@ -118,3 +118,15 @@ def test_median_with_hot_value(spark):
     _, med = FE.impute_median(df, ["x"])
     vals = sorted(r[0] for r in df.dropna().collect())
     assert med["x"] == vals[(len(vals) - 1) // 2]
+
+
+def test_bucketed_split_same_rows_and_no_user_shuffle(spark):
+    import contextlib, io
+    a = PL.prepare(FX.ratings(spark, SF_SMALL))
+    b = PL.prepare(FX.ratings(spark, SF_SMALL), bucket=True, buckets=4)
+    for x, y in zip(a, b):
+        assert sorted(map(tuple, x.collect())) == sorted(map(tuple, y.collect()))
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        b[1].groupBy("user_id", "item_id").count().explain()
+    assert "Exchange hashpartitioning" not in buf.getvalue()
