@@ -130,3 +130,13 @@ def test_bucketed_split_same_rows_and_no_user_shuffle(spark):
     with contextlib.redirect_stdout(buf):
         b[1].groupBy("user_id", "item_id").count().explain()
     assert "Exchange hashpartitioning" not in buf.getvalue()
+
+
+def test_pipeline_single_user(spark):
+    rows = [("7", str(i), str(1 + i % 5)) for i in range(6)]
+    df = spark.createDataFrame(rows, "user_id string, item_id string, rating string")
+    res = PL.run(spark, df, None, PL.PipelineConfig(als=ALS.AlsParams(rank=2, iters=2), svd_k=3))
+    got = {(r["model"], r["status"].split(":")[0]) for r in res.metrics.collect()}
+    assert ("SVD", "skipped") in got and ("kNN", "skipped") in got
+    assert any(m == "ALS" for m, _ in got)
+    assert res.test.count() == 1 and res.train.count() == 5
