@@ -68,21 +68,30 @@ def item_neighbors(item_factors: DataFrame, n: int = DEFAULTS.knn_neighbors) ->
     return top_k(cand, "item_id", [F.col("score").desc(), F.col("neighbor_id").asc()], n)
 
 
-def knn_candidates(train: DataFrame, neighbors: DataFrame, min_rating: float | None = None) -> DataFrame:
-    """Neighbour expansion of liked items minus the user's items (J10, J7):
-    one row per (user, liked item, neighbour)."""
+def knn_expansion(train: DataFrame, neighbors: DataFrame, min_rating: float | None = None) -> DataFrame:
+    """Neighbour expansion of liked items (J10): one row per (user, liked
+    item, neighbour), as ``(user_id, item_id)`` with the neighbour as item."""
     liked_src = train if min_rating is None else train.filter(F.col("rating") >= min_rating)
     liked = liked_src.select("user_id", "item_id").distinct()
+    return (liked.join(neighbors.select("item_id", "neighbor_id"), "item_id", "inner")
+            .select("user_id", F.col("neighbor_id").alias("item_id")))
+
+
+def knn_candidates(train: DataFrame, neighbors: DataFrame, min_rating: float | None = None) -> DataFrame:
+    """Expansion minus the user's own items (J7), one row per expansion."""
     seen = train.select("user_id", "item_id").distinct()
-    exp = (liked.join(neighbors.select("item_id", "neighbor_id"), "item_id", "inner")
-           .select("user_id", F.col("neighbor_id").alias("item_id")))
-    return exp.join(seen, ["user_id", "item_id"], "left_anti")
+    return knn_expansion(train, neighbors, min_rating).join(seen, ["user_id", "item_id"], "left_anti")
 
 
 def knn_votes(train: DataFrame, neighbors: DataFrame, min_rating: float | None = None) -> DataFrame:
-    """``(user_id, item_id, votes)`` (A10)."""
-    return (knn_candidates(train, neighbors, min_rating)
-            .groupBy("user_id", "item_id").agg(F.count(F.lit(1)).alias("votes")))
+    """``(user_id, item_id, votes)`` (A10). Votes are counted before seen
+    items are removed: the partial aggregate shrinks the expansion (up to
+    N rows per training row) before its shuffle, and the anti-join then
+    runs on the same (user, item) partitioning."""
+    seen = train.select("user_id", "item_id").distinct()
+    votes = (knn_expansion(train, neighbors, min_rating)
+             .groupBy("user_id", "item_id").agg(F.count(F.lit(1)).alias("votes")))
+    return votes.join(seen, ["user_id", "item_id"], "left_anti")
 
 
 def knn_recommend(votes: DataFrame, users: DataFrame | None = None, k: int = DEFAULTS.top_k) -> DataFrame:

@@ -396,7 +396,7 @@ def knn_bases(spark, sf):
 @register("unseen_candidates", with_ctes("SELECT DISTINCT user_id, item_id FROM cands", "cands"))
 def q_unseen_candidates(spark, sf):
     train, _, nb = knn_bases(spark, sf)
-    return REC.knn_candidates(train, nb).distinct()
+    return REC.knn_votes(train, nb).select("user_id", "item_id")
 
 
 @register("knn_votes", with_ctes("SELECT user_id, item_id, votes FROM votes", "votes"))
@@ -424,7 +424,7 @@ def q_score_pairs(spark, sf):
     pair set is scored, never all user x item pairs."""
     train, _, uf, vf = factor_bases(spark, sf)
     nb = REC.item_neighbors(vf, DEFAULTS.knn_neighbors)
-    cand = REC.knn_candidates(train, nb).distinct()
+    cand = REC.knn_votes(train, nb).select("user_id", "item_id")
     sc = SVD.predict_with_factors(cand, uf.drop("n_seen"), vf)
     return sc.select("user_id", "item_id", r6("prediction").alias("score"))
 
