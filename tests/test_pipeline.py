@@ -140,3 +140,18 @@ def test_pipeline_single_user(spark):
     assert ("SVD", "skipped") in got and ("kNN", "skipped") in got
     assert any(m == "ALS" for m, _ in got)
     assert res.test.count() == 1 and res.train.count() == 5
+
+
+def test_cli_end_to_end_with_reference_column_names(spark):
+    from tastemap.plans import cli
+    data = scratch_path(spark, "cli-data")
+    r = FX.ratings(spark, SF_SMALL).withColumnRenamed("item_id", "book_id")
+    r.select("book_id", "user_id", "rating").write.option("header", "true").csv(f"{data}/ratings.csv")
+    FX.items(spark, SF_SMALL).withColumnRenamed("item_id", "book_id").write.option("header", "true") \
+        .csv(f"{data}/books.csv")
+    out = scratch_path(spark, "cli-out")
+    res = cli.main(["--data", data, "--out", out, "--svd-method", "auto"], spark=spark)
+    assert res.metrics.filter("status = 'ok'").count() >= 8
+    assert spark.read.parquet(f"{data}/ratings.parquet").count() == r.count()
+    assert spark.read.parquet(f"{out}/features.parquet").count() > 0
+    assert spark.read.json(f"{out}/metrics").count() == res.metrics.count()
