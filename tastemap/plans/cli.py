@@ -1,6 +1,6 @@
 """Command-line run for ``spark-submit`` (the reference's main program).
 
-    spark-submit --py-files tastemap.zip -m tastemap.plans.cli \\
+    spark-submit --py-files tastemap.zip tastemap/plans/cli.py \\
         --data s3a://bucket/data --out s3a://bucket/out [--cv] [--small-grid]
 
 Steps: stage the raw CSV tables of ``--data`` as Parquet where no Parquet
