@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import logging
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,6 +51,7 @@ class PipelineConfig:
     output_uri: str | None = None     # metrics JSON, lists and factors under this URI
     features: bool = False            # also build and write the feature table
     bucket_split: bool = False        # write the split bucketed by user (large clusters)
+    parallel_models: bool = True      # ALS and SVD/kNN as concurrent jobs
 
 
 @dataclass
@@ -114,7 +116,10 @@ def run(spark: SparkSession, ratings_raw: DataFrame, items: DataFrame | None = N
             sinks.write_table(feats.select("user_id", "item_id", "rating", "features"),
                               f"{cfg.output_uri}/features.parquet")
 
-    if "ALS" in cfg.models:
+    def als_branch():
+        out, lists_ = [], {}
+        if "ALS" not in cfg.models:
+            return out, lists_
         try:
             if cfg.cross_validate:
                 model, _ = ALS.cross_validate(train, small=cfg.small_grid)
@@ -123,47 +128,63 @@ def run(spark: SparkSession, ratings_raw: DataFrame, items: DataFrame | None = N
                 fitted = ALS.fit_any_ids(train, cfg.als)
             err = M.rmse(ALS.predict_any(fitted, test), clip_to=cfg.clip)
             recs = ALS.recommend_any(fitted, users, cfg.k, seen=seen)
-            lists["ALS"] = recs
-            parts.append(M.metrics_long("ALS", M.ranking_metrics(recs, truth, cfg.k), err))
+            lists_["ALS"] = recs
+            out.append(M.metrics_long("ALS", M.ranking_metrics(recs, truth, cfg.k), err))
         except Exception as exc:  # one model failing must not stop the others
             log.exception("ALS failed")
-            parts.append(M.status_row(spark, "ALS", "error", str(exc)))
-
-    item_factors = None
-    if "SVD" in cfg.models or "kNN" in cfg.models:
-        try:
-            uidx = R.dense_index(clean, "user_id", "u_idx")
-            iidx = R.dense_index(clean, "item_id", "i_idx")
-            res = SVD.svd_factors(R.dedup_pairs(train).select("user_id", "item_id", "rating"), uidx, iidx,
-                                  cfg.svd_k, use_sigma=cfg.use_sigma, method=cfg.svd_method)
-            if res.status != "ok":
-                parts.append(M.status_row(spark, "SVD", "skipped", res.status))
-            else:
-                item_factors = res.item_factors
-                if cfg.output_uri:
-                    sinks.write_item_factors(item_factors, f"{cfg.output_uri}/svd_item_factors.parquet")
-                if "SVD" in cfg.models:
-                    recs = REC.factor_recommend(res.user_factors, item_factors, seen, cfg.k, users=users)
-                    lists["SVD"] = recs
-                    pred = SVD.predict_with_factors(test, res.user_factors, item_factors, res.user_means)
-                    err = M.rmse(pred, clip_to=cfg.clip)
-                    parts.append(M.metrics_long("SVD", M.ranking_metrics(recs, truth, cfg.k), err))
-        except Exception as exc:
-            log.exception("SVD failed")
-            parts.append(M.status_row(spark, "SVD", "error", str(exc)))
-
-    if "kNN" in cfg.models:
-        try:
-            if item_factors is None:
-                parts.append(M.status_row(spark, "kNN", "skipped", "no item factors"))
-            else:
-                nb = REC.item_neighbors(item_factors, cfg.neighbors)
-                recs = REC.knn_recommend(REC.knn_votes(train, nb), users, cfg.k)
-                lists["kNN"] = recs
-                parts.append(M.metrics_long("kNN", M.ranking_metrics(recs, truth, cfg.k, list_users=users)))
-        except Exception as exc:
-            log.exception("kNN failed")
-            parts.append(M.status_row(spark, "kNN", "error", str(exc)))
+            out.append(M.status_row(spark, "ALS", "error", str(exc)))
+        return out, lists_
+
+    def svd_knn_branch():
+        out, lists_ = [], {}
+        item_factors = None
+        if "SVD" in cfg.models or "kNN" in cfg.models:
+            try:
+                uidx = R.dense_index(clean, "user_id", "u_idx")
+                iidx = R.dense_index(clean, "item_id", "i_idx")
+                res = SVD.svd_factors(R.dedup_pairs(train).select("user_id", "item_id", "rating"), uidx, iidx,
+                                      cfg.svd_k, use_sigma=cfg.use_sigma, method=cfg.svd_method)
+                if res.status != "ok":
+                    out.append(M.status_row(spark, "SVD", "skipped", res.status))
+                else:
+                    item_factors = res.item_factors
+                    if cfg.output_uri:
+                        sinks.write_item_factors(item_factors, f"{cfg.output_uri}/svd_item_factors.parquet")
+                    if "SVD" in cfg.models:
+                        recs = REC.factor_recommend(res.user_factors, item_factors, seen, cfg.k, users=users)
+                        lists_["SVD"] = recs
+                        pred = SVD.predict_with_factors(test, res.user_factors, item_factors, res.user_means)
+                        err = M.rmse(pred, clip_to=cfg.clip)
+                        out.append(M.metrics_long("SVD", M.ranking_metrics(recs, truth, cfg.k), err))
+            except Exception as exc:
+                log.exception("SVD failed")
+                out.append(M.status_row(spark, "SVD", "error", str(exc)))
+        if "kNN" in cfg.models:
+            try:
+                if item_factors is None:
+                    out.append(M.status_row(spark, "kNN", "skipped", "no item factors"))
+                else:
+                    nb = REC.item_neighbors(item_factors, cfg.neighbors)
+                    recs = REC.knn_recommend(REC.knn_votes(train, nb), users, cfg.k)
+                    lists_["kNN"] = recs
+                    out.append(M.metrics_long("kNN", M.ranking_metrics(recs, truth, cfg.k, list_users=users)))
+            except Exception as exc:
+                log.exception("kNN failed")
+                out.append(M.status_row(spark, "kNN", "error", str(exc)))
+        return out, lists_
+
+    # The two branches share only the written split. Run them as concurrent
+    # Spark jobs from two driver threads: the iterative SVD solver submits
+    # small sequential jobs and leaves most executor cores idle, which the
+    # ALS fit can use.
+    if cfg.parallel_models:
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            results = [f.result() for f in [pool.submit(als_branch), pool.submit(svd_knn_branch)]]
+    else:
+        results = [als_branch(), svd_knn_branch()]
+    for out, lists_ in results:
+        parts.extend(out)
+        lists.update(lists_)
 
     metrics = parts[0]
     for p in parts[1:]:
