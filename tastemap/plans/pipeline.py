@@ -127,7 +127,7 @@ def run(spark: SparkSession, ratings_raw: DataFrame, items: DataFrame | None = N
             else:
                 fitted = ALS.fit_any_ids(train, cfg.als)
             err = M.rmse(ALS.predict_any(fitted, test), clip_to=cfg.clip)
-            recs = ALS.recommend_any(fitted, users, cfg.k, seen=seen)
+            recs = ALS.recommend_any(fitted, users, cfg.k, seen=seen).checkpoint(eager=True)
             lists_["ALS"] = recs
             out.append(M.metrics_long("ALS", M.ranking_metrics(recs, truth, cfg.k), err))
         except Exception as exc:  # one model failing must not stop the others
@@ -151,7 +151,8 @@ def run(spark: SparkSession, ratings_raw: DataFrame, items: DataFrame | None = N
                     if cfg.output_uri:
                         sinks.write_item_factors(item_factors, f"{cfg.output_uri}/svd_item_factors.parquet")
                     if "SVD" in cfg.models:
-                        recs = REC.factor_recommend(res.user_factors, item_factors, seen, cfg.k, users=users)
+                        recs = REC.factor_recommend(res.user_factors, item_factors, seen, cfg.k,
+                                                    users=users).checkpoint(eager=True)
                         lists_["SVD"] = recs
                         pred = SVD.predict_with_factors(test, res.user_factors, item_factors, res.user_means)
                         err = M.rmse(pred, clip_to=cfg.clip)
@@ -165,7 +166,7 @@ def run(spark: SparkSession, ratings_raw: DataFrame, items: DataFrame | None = N
                     out.append(M.status_row(spark, "kNN", "skipped", "no item factors"))
                 else:
                     nb = REC.item_neighbors(item_factors, cfg.neighbors)
-                    recs = REC.knn_recommend(REC.knn_votes(train, nb), users, cfg.k)
+                    recs = REC.knn_recommend(REC.knn_votes(train, nb), users, cfg.k).checkpoint(eager=True)
                     lists_["kNN"] = recs
                     out.append(M.metrics_long("kNN", M.ranking_metrics(recs, truth, cfg.k, list_users=users)))
             except Exception as exc:
@@ -186,11 +187,14 @@ def run(spark: SparkSession, ratings_raw: DataFrame, items: DataFrame | None = N
         parts.extend(out)
         lists.update(lists_)
 
+    if not parts:
+        raise ValueError("no model selected: models must name ALS, SVD or kNN")
     metrics = parts[0]
     for p in parts[1:]:
         metrics = metrics.unionByName(p)
     if cfg.output_uri:
         sinks.write_metrics(metrics, f"{cfg.output_uri}/metrics")
+        metrics = spark.read.schema(metrics.schema).json(f"{cfg.output_uri}/metrics")
         for name, l in lists.items():
             sinks.write_lists(l, f"{cfg.output_uri}/recommendations/{name.lower()}")
     return PipelineResult(metrics, lists, train, test)

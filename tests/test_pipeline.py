@@ -155,3 +155,8 @@ def test_cli_end_to_end_with_reference_column_names(spark):
     assert spark.read.parquet(f"{data}/ratings.parquet").count() == r.count()
     assert spark.read.parquet(f"{out}/features.parquet").count() > 0
     assert spark.read.json(f"{out}/metrics").count() == res.metrics.count()
+
+
+def test_pipeline_without_models_is_an_error(spark):
+    with pytest.raises(ValueError):
+        PL.run(spark, FX.ratings(spark, SF_SMALL), None, PL.PipelineConfig(models=()))
