@@ -178,9 +178,21 @@ def run(spark: SparkSession, ratings_raw: DataFrame, items: DataFrame | None = N
     # Spark jobs from two driver threads: the iterative SVD solver submits
     # small sequential jobs and leaves most executor cores idle, which the
     # ALS fit can use.
+    def in_pool(name, fn):
+        # each branch's jobs go to their own scheduler pool; with
+        # spark.scheduler.mode=FAIR the pools share executors evenly
+        def run_branch():
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"tastemap-{name}")
+            try:
+                return fn()
+            finally:
+                spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+        return run_branch
+
     if cfg.parallel_models:
         with ThreadPoolExecutor(max_workers=2) as pool:
-            results = [f.result() for f in [pool.submit(als_branch), pool.submit(svd_knn_branch)]]
+            futures = [pool.submit(in_pool("als", als_branch)), pool.submit(in_pool("svd", svd_knn_branch))]
+            results = [f.result() for f in futures]
     else:
         results = [als_branch(), svd_knn_branch()]
     for out, lists_ in results:
