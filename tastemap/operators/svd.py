@@ -65,7 +65,8 @@ class SvdResult:
 def svd_factors(pairs: DataFrame, users: DataFrame, items: DataFrame, k: int = DEFAULTS.svd_k,
                 use_sigma: bool = True, center: str | None = None,
                 max_driver_bytes: int = DEFAULTS.max_driver_factor_bytes,
-                gram_max_bytes: int = 128 << 20, rcond: float = 1e-9, method: str = "auto") -> SvdResult:
+                gram_max_bytes: int = 128 << 20, rcond: float = 1e-9, method: str = "auto",
+                power_iters: int = 2) -> SvdResult:
     """Fit a rank-k SVD on train ``pairs (user_id, item_id, rating)`` with
     dense indices ``users (user_id, u_idx)`` and ``items (item_id, i_idx)``.
 
@@ -90,7 +91,7 @@ def svd_factors(pairs: DataFrame, users: DataFrame, items: DataFrame, k: int = D
         from tastemap.operators.svd_randomized import randomized_svd
         if center is not None:
             raise ValueError("center is not supported with method='randomized'")
-        return randomized_svd(pairs, k_eff, use_sigma=use_sigma)
+        return randomized_svd(pairs, k_eff, power_iters=power_iters, use_sigma=use_sigma)
 
     idx = pairs.join(users, "user_id", "inner").join(items, "item_id", "inner")
     means = None
