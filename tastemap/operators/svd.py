@@ -123,9 +123,9 @@ def svd_factors(pairs: DataFrame, users: DataFrame, items: DataFrame, k: int = D
         if gram and n_items * n_items * 8 > max_driver_bytes:
             return SvdResult("skipped: Gramian would exceed the driver bound", [])
         if gram:
-            s, U = _svd_via_gramian(spark, rows, idx, k_eff)
+            s, U = _svd_via_gramian(spark, rows, idx, k_eff, rcond)
         else:
-            svd = rows.computeSVD(k_eff, computeU=True)
+            svd = rows.computeSVD(k_eff, computeU=True, rCond=rcond)
             s = [float(x) for x in svd.s.toArray()]
             u_rows = callMLlibFunc("getIndexedRows", svd.U._java_matrix_wrapper._java_model)
             u_rows = MLUtils.convertVectorColumnsToML(u_rows, "vector")
