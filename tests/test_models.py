@@ -122,3 +122,13 @@ def test_randomized_svd_on_low_rank(spark):
     assert np.allclose(res.singular_values, want, rtol=1e-6)
     pred = SVD.predict_with_factors(df, res.user_factors, res.item_factors).toPandas()
     assert np.sqrt(((pred.rating - pred.prediction) ** 2).mean()) < 1e-6
+
+
+def test_cross_validation_is_seeded(spark):
+    df, _ = planted(spark, 60, 30)
+    _, a = ALS.cross_validate(df, small=True, parallelism=2, seed=7)
+    _, b = ALS.cross_validate(df, small=True, parallelism=2, seed=7)
+    ra = sorted(map(tuple, a.collect()))
+    rb = sorted(map(tuple, b.collect()))
+    assert [r[:3] for r in ra] == [(20, 0.1, 6), (40, 0.1, 6)]
+    assert all(x[3] == pytest.approx(y[3], rel=1e-9) for x, y in zip(ra, rb))
