@@ -95,6 +95,16 @@ def q_csv_to_parquet(spark, sf):
     return R.clean_ratings(staged, dedup="none")
 
 
+@register("source_preference", with_ctes("SELECT user_id, item_id, rating FROM ratings", "ratings"))
+def q_source_preference(spark, sf):
+    """The Parquet copy when it exists, else the CSV; here only the CSV
+    exists, so the second candidate is read."""
+    base = scratch_path(spark, "pref")
+    FX.ratings(spark, sf).write.option("header", "true").csv(f"{base}/ratings.csv")
+    df = tables.scan_ratings_any(spark, [f"{base}/ratings.parquet", f"{base}/ratings.csv"])
+    return R.clean_ratings(df, dedup="none")
+
+
 @register("stage_raw_tables", with_ctes("""SELECT 'ratings' AS table_name, true AS staged, count(*) AS n_rows FROM ratings
 UNION ALL SELECT 'books', true, (SELECT count(*) FROM part)
 UNION ALL SELECT 'book_tags', false, CAST(NULL AS BIGINT)
