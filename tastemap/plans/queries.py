@@ -845,4 +845,28 @@ def q_interactions_profile(spark, sf):
                      F.sum("n_ratings").alias("n_ratings"))
 
 
+_IPAIRS = """ipairs AS (
+  SELECT user_id, item_id, avg(rating) AS rating FROM (
+    SELECT user_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS item_id,
+           CASE event_type WHEN 'error' THEN 1.0 WHEN 'view' THEN 2.0 WHEN 'click' THEN 3.0
+                           WHEN 'signup' THEN 4.0 WHEN 'purchase' THEN 5.0 END AS rating
+    FROM events) e
+  WHERE user_id IS NOT NULL AND item_id IS NOT NULL AND rating IS NOT NULL
+  GROUP BY user_id, item_id)"""
+
+
+@register("interactions_holdout", with_ctes("""SELECT user_id, item_id, round(rating, 6) AS rating FROM (
+  SELECT user_id, item_id, rating,
+         row_number() OVER (PARTITION BY user_id
+           ORDER BY md5(concat_ws('|', user_id, item_id, 42)), item_id, rating) AS rn,
+         count(*) OVER (PARTITION BY user_id) AS n
+  FROM ipairs) s WHERE n >= 2 AND rn = 1""", extra=_IPAIRS))
+def q_interactions_holdout(spark, sf):
+    """Leave-one-out on the events source after pair de-duplication (mean
+    rating per user and item), the modelling input of the second source."""
+    pairs = R.clean_ratings(FX.interactions(spark, sf), dedup="pair").select("user_id", "item_id", "rating")
+    _, test = S.holdout_per_user(pairs)
+    return test.select("user_id", "item_id", r6("rating").alias("rating"))
+
+
 FLAGSHIP = "knn_recommend"
