@@ -818,8 +818,8 @@ def q_svd_recommend(spark, sf):
 
 # ---------------------------------------------------------------- end to end
 
-@register("pipeline_metrics")
-def q_pipeline_metrics(spark, sf):
+@register("end_to_end_metrics")
+def q_end_to_end_metrics(spark, sf):
     """ALS, SVD and item-kNN on the hold-out split, one metrics table."""
     from tastemap.plans import pipeline as PL
     res = PL.run(spark, FX.ratings(spark, sf), FX.items(spark, sf), PL.PipelineConfig())

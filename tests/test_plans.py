@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF_SMALL
 
-HEAVY = {"pipeline_metrics", "als_cv_grid", "svd_singular_values", "svd_factors", "item_factors_roundtrip",
+HEAVY = {"end_to_end_metrics", "als_cv_grid", "svd_singular_values", "svd_factors", "item_factors_roundtrip",
          "svd_recommend", "als_predict", "als_recommend", "als_recs_nested", "als_save_load", "stage_raw_tables",
          "model_comparison", "metrics_long"}
 
