@@ -101,3 +101,14 @@ def test_heavy_user_sees_most_items(spark):
     for u in range(6):
         assert got[got.user_id == u].sort_values("rank").item_id.tolist() == want[u], u
     assert len(want[0]) == 10  # only ten unseen items are left for the heavy user
+
+
+def test_popular_and_metrics_on_empty_inputs(spark):
+    from tastemap.operators import metrics as M
+    empty = spark.createDataFrame([], "user_id bigint, item_id bigint, rating double")
+    users = spark.createDataFrame([(1,), (2,)], "user_id bigint")
+    assert popular_unseen(empty, users, 5).count() == 0
+    lists = spark.createDataFrame([], "user_id bigint, item_id bigint, rank bigint")
+    truth = spark.createDataFrame([(1, 3)], "user_id bigint, item_id bigint")
+    m = M.ranking_metrics(lists, truth, 10, list_users=users).first()
+    assert m["users"] == 1 and m["precision_at_k"] == 0.0 and m["ndcg_at_k"] == 0.0
