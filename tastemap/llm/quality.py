@@ -31,7 +31,7 @@ FENCE = 3.0
 MIN_GROUP = 100
 # measure: (slack, lower side too)
 SLACK = {"symbol_ratio": (0.05, False), "repeat_ratio": (0.25, False),
-         "dup_ratio": (0.25, False), "word_length": (0.75, True)}
+         "dup_ratio": (0.5, False), "word_length": (0.75, True)}
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 

@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, minhash, quality
+from . import bpe, contain, minhash, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": bpe.op1,
     "op3_minhash_dedup": minhash.op3,
+    "op7_decontaminate": contain.op7,
     "op8_quality_rules": quality.op8,
 }
 
 ORACLE: dict[str, str] = {
+    "op7_decontaminate": contain.OP7_SQL,
     "op8_quality_rules": quality.OP8_SQL,
 }
