@@ -30,7 +30,7 @@ import pyarrow.compute  # noqa: F401
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .frames import table
+from .frames import arrow_map, table
 
 # fixed values: the pre-token pattern of the byte-level vocabularies
 # (letters and digits are tried first and never given back: the same matches, found sooner)
@@ -231,8 +231,7 @@ def encode(docs: DataFrame, tokenizer: bytes, id_col: str = "doc_id", text_col:
                      pa.array(count), pa.array(sha)], names=[id_col, "ids", "n_tokens", "ids_sha256"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(
-        run, f"`{id_col}` {kind}, ids array<int>, n_tokens long, ids_sha256 string")
+    return arrow_map(docs.select(F.col(id_col), F.col(text_col).cast("string")), run, f"`{id_col}` {kind}, ids array<int>, n_tokens long, ids_sha256 string")
 
 
 def decode(encoded: DataFrame, tokenizer: bytes, ids_col: str = "ids", text_col: str = "text") -> DataFrame:
@@ -254,7 +253,7 @@ def decode(encoded: DataFrame, tokenizer: bytes, ids_col: str = "ids", text_col:
                     [batch.column(c).slice(i, j - i) for c in range(len(rest))] + [pa.array(texts, pa.string())],
                     names=[*rest, text_col])
 
-    return encoded.select(*rest, ids_col).mapInArrow(run, schema)
+    return arrow_map(encoded.select(*rest, ids_col), run, schema)
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import textkit as tk
-from .frames import saved, table
+from .frames import arrow_map, saved, table
 
 K = 5
 PERCENT = 80
@@ -60,7 +60,7 @@ def item_sets(items: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame
                     names=["item_id", "grams"])
 
     src = items.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-    return src.mapInArrow(run, "item_id long, grams array<long>").filter(F.size("grams") > 0)
+    return arrow_map(src, run, "item_id long, grams array<long>").filter(F.size("grams") > 0)
 
 
 class Index:
@@ -140,7 +140,7 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
         rows = sets.filter(F.pmod(F.xxhash64("grams"), F.lit(n_blocks)) == b).collect()
         if rows:
             shared = spark.sparkContext.broadcast(([r[0] for r in rows], [np.array(r[1], np.int64).view(np.uint64) for r in rows]))
-            parts.append(src.mapInArrow(_search(shared, k, percent, [id_col, item_col, "n_item", "n_common"]), schema))
+            parts.append(arrow_map(src, _search(shared, k, percent, [id_col, item_col, "n_item", "n_common"]), schema))
     return reduce(DataFrame.unionAll, parts)
 
 

@@ -2,10 +2,38 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
 
+_PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package's sources to the executors, once per application."""
+    sc = spark.sparkContext
+    if getattr(sc, "_package_shipped", False):
+        return
+    path = os.path.join(tempfile.mkdtemp(), os.path.basename(_PACKAGE) + ".zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for top, _, names in os.walk(_PACKAGE):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(top, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(_PACKAGE)))
+    sc.addPyFile(path)
+    sc._package_shipped = True
+
+
+def arrow_map(df: DataFrame, fn, schema) -> DataFrame:
+    """``mapInArrow`` with this package available to the tasks."""
+    ship(df.sparkSession)
+    return df.mapInArrow(fn, schema)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
