@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, contain, minhash, quality, secrets
+from . import bpe, contain, minhash, pii, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": bpe.op1,
     "op3_minhash_dedup": minhash.op3,
+    "op5_pii": pii.op5,
     "op7_decontaminate": contain.op7,
     "op8_quality_rules": quality.op8,
     "op10_secrets": secrets.op10,
