@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, contain, langid, minhash, pii, quality, secrets
+from . import bpe, contain, langid, lmscore, minhash, pii, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": bpe.op1,
     "op3_minhash_dedup": minhash.op3,
+    "op4_lm_score": lmscore.op4,
     "op5_pii": pii.op5,
     "op6_language_id": langid.op6,
     "op7_decontaminate": contain.op7,
