@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, contain, langid, lmscore, minhash, pii, quality, secrets
+from . import bpe, contain, langid, lmscore, minhash, pii, quality, secrets, wordpiece
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": bpe.op1,
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_language_id": langid.op6,
     "op7_decontaminate": contain.op7,
     "op8_quality_rules": quality.op8,
+    "op9_token_counts": wordpiece.op9,
     "op10_secrets": secrets.op10,
 }
 
