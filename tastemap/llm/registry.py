@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, contain, langid, lmscore, minhash, pii, quality, secrets, wordpiece
+from . import bpe, chat, contain, langid, lmscore, minhash, pii, quality, secrets, wordpiece
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": bpe.op1,
+    "op2_chat_format": chat.op2,
     "op3_minhash_dedup": minhash.op3,
     "op4_lm_score": lmscore.op4,
     "op5_pii": pii.op5,
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op2_chat_format": chat.OP2_SQL,
     "op7_decontaminate": contain.OP7_SQL,
     "op8_quality_rules": quality.OP8_SQL,
 }
