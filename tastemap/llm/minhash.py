@@ -19,9 +19,12 @@ of ``R_LONG`` gather very similar texts first.
 smallest id goes on. In each band bucket every member is compared with the
 bucket's smallest and largest id (a star, linear in the bucket). The verified
 links are contracted to components. What is left are pairs whose members share a
-bucket but not a component; every one of them is compared, except those whose
-sketches agree in fewer coordinates than a pair at the threshold would by six
-standard deviations. Every link is confirmed on the full sets.
+bucket but not a component. Of these, the members outside their bucket's largest
+component are paired with all others that share one of the shingles that are rarest
+among such documents (two sets at the threshold share one of their rarest
+fifth, early enough to leave room for the overlap) and whose sketches do not agree in
+fewer coordinates than a pair at the threshold would by six standard deviations. Every
+link is confirmed on the full sets.
 
 Defined results: rows with a null id are returned with a null component and
 ``kept`` true; rows sharing an id are one node of the graph; extra columns are ignored.
@@ -31,10 +34,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from . import textkit as tk
-from .frames import components, saved, table
+from .frames import arrow_map, components, saved, table
 
 T = 240
 R, B = 6, 40
@@ -128,7 +131,7 @@ def sketch_table(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFra
                     names=["id", "n", "s1", "s2", "keys", "planes"])
 
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(run, "id long, n long, s1 long, s2 long, keys array<long>, planes array<long>")
+    return arrow_map(src, run, "id long, n long, s1 long, s2 long, keys array<long>, planes array<long>")
 
 
 def set_table(docs: DataFrame, id_col: str, text_col: str, k: int, ids: DataFrame) -> DataFrame:
@@ -142,7 +145,7 @@ def set_table(docs: DataFrame, id_col: str, text_col: str, k: int, ids: DataFram
                     names=["id", "grams"])
 
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return src.join(ids, "id", "left_semi").mapInArrow(run, "id long, grams array<long>")
+    return arrow_map(src.join(ids, "id", "left_semi"), run, "id long, grams array<long>")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -176,15 +179,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "key", "id", F.coalesce("c", "id").alias("c"))
     parts = short.groupBy("key", "c").agg(F.count("*").alias("m"))
     mixed = parts.groupBy("key").agg(F.max(F.struct("m", "c"))["c"].alias("main"), F.count("*").alias("parts"))
+    open_ = short.join(mixed.filter("parts > 1").select("key", "main"), "key").groupBy("id", "c").agg(
+        F.max(F.col("c") != F.col("main")).alias("outside"))
     low = reps.select("id", "n", "planes").dropDuplicates(["id"])
-    open_ = saved(short.join(mixed.filter("parts > 1").select("key", "main"), "key").join(low, "id"), "open")
-    x = open_.filter("c <> main").alias("x")
-    y = open_.alias("y")
+    rare = _rarest(saved(open_.join(low, "id").join(sets, "id"), "open"), percent)
+    x, y = rare.filter("outside").alias("x"), rare.alias("y")
     differ = sum((F.bit_count(_any_differs(w)) for w in range(PLANE_WORDS)), F.lit(0))
-    pairs = x.join(y, F.col("x.key") == F.col("y.key")).filter(
+    pairs = x.join(y, F.col("x.g") == F.col("y.g")).filter(
         (F.col("x.c") != F.col("y.c"))
-        & ((F.col("y.c") == F.col("y.main")) | (F.col("x.id") < F.col("y.id")))
+        & (~F.col("y.outside") | (F.col("x.id") < F.col("y.id")))
         & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
+        # at their first common shingle no more than it and what follows can be shared
+        & ((F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place")) + 1) * (100 + percent)
+           >= (F.col("x.n") + F.col("y.n")) * percent)
         & (differ <= threshold_disagreements(percent)))
     rest = pairs.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
     later = verified(rest, sets, percent)
@@ -204,6 +211,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             F.col("id") == F.coalesce("component", "id")).alias("kept"))
 
 
+def _rarest(docs: DataFrame, percent: int) -> DataFrame:
+    """``docs`` (with full sets ``grams``) as one row (g, place) for each of its rarest shingles.
+
+    Two sets at the threshold share a shingle among the n - ceil(n * threshold) + 1
+    rarest of either, so pairs that share none of these need no comparison.
+    """
+    grams = docs.select("id", F.explode("grams").alias("g"))
+    ranked = grams.join(grams.groupBy("g").agg(F.count("*").alias("df")), "g").withColumn(
+        "place", F.row_number().over(W.partitionBy("id").orderBy("df", "g")))
+    n = F.col("n")
+    most = n - F.ceil(n * percent / 100) + 1
+    return ranked.join(docs.drop("grams"), "id").filter(F.col("place") <= most).drop("df")
+
+
 def _any_differs(w: int):
     out = None
     for p in range(BIT_PLANES):
