@@ -209,8 +209,8 @@ def _parts(size: np.ndarray, most: int):
         i = j
 
 
-def encode(docs: DataFrame, tokenizer: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col``, ``ids`` (array<int>), ``n_tokens`` and ``ids_sha256`` (of the ids as
+def encode(docs: DataFrame, tokenizer: bytes, carry: tuple[str, ...] | list[str] = ("doc_id",), text_col: str = "text") -> DataFrame:
+    """The columns ``carry``, ``ids`` (array<int>), ``n_tokens`` and ``ids_sha256`` (of the ids as
     little-endian unsigned 32-bit integers) of every whole text."""
     sc = docs.sparkSession.sparkContext
     shared = sc.broadcast(tokenizer)
@@ -218,7 +218,7 @@ def encode(docs: DataFrame, tokenizer: bytes, id_col: str = "doc_id", text_col:
     def run(batches):
         tok = _tokenizer(shared.value)
         for batch in batches:
-            texts = batch.column(1).fill_null("")
+            texts = batch.column(len(carry)).fill_null("")
             size = np.array(pa.compute.utf8_length(texts), np.int64)
             for i, j in _parts(size, BLOCK_CHARS):
                 ids, count = tok.encode(texts.slice(i, j - i).to_pylist())
@@ -226,19 +226,22 @@ def encode(docs: DataFrame, tokenizer: bytes, id_col: str = "doc_id", text_col:
                 end = np.append(0, np.cumsum(count))
                 sha = [hashlib.sha256(ids[a:b].tobytes()).hexdigest() for a, b in zip(end[:-1], end[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, j - i),
-                     pa.ListArray.from_arrays(pa.array(end.astype(np.int32)), pa.array(ids.astype(np.int32))),
-                     pa.array(count), pa.array(sha)], names=[id_col, "ids", "n_tokens", "ids_sha256"])
+                    [batch.column(c).slice(i, j - i) for c in range(len(carry))]
+                    + [pa.ListArray.from_arrays(pa.array(end.astype(np.int32)), pa.array(ids.astype(np.int32))),
+                       pa.array(count), pa.array(sha)], names=[*carry, "ids", "n_tokens", "ids_sha256"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return arrow_map(docs.select(F.col(id_col), F.col(text_col).cast("string")), run, f"`{id_col}` {kind}, ids array<int>, n_tokens long, ids_sha256 string")
+    source = docs.select(*carry, F.col(text_col).cast("string").alias("_text"))
+    empty = F.lit(None)
+    schema = source.select(*carry, empty.cast("array<int>").alias("ids"), empty.cast("long").alias("n_tokens"),
+                           empty.cast("string").alias("ids_sha256")).schema
+    return arrow_map(source, run, schema)
 
 
-def decode(encoded: DataFrame, tokenizer: bytes, ids_col: str = "ids", text_col: str = "text") -> DataFrame:
-    """``encoded`` with ``ids_col`` replaced by the decoded ``text_col``."""
+def decode(encoded: DataFrame, tokenizer: bytes, ids_col: str = "ids", text_col: str = "text", keep_ids: bool = False) -> DataFrame:
+    """``encoded`` with the decoded ``text_col``, in place of ``ids_col`` or beside it."""
     shared = encoded.sparkSession.sparkContext.broadcast(tokenizer)
-    rest = [c for c in encoded.columns if c != ids_col]
-    schema = encoded.select(*rest, F.lit("").alias(text_col)).schema
+    rest = [c for c in encoded.columns if keep_ids or c != ids_col]
+    schema = encoded.select(*rest, F.lit(None).cast("string").alias(text_col)).schema
 
     def run(batches):
         tok = _tokenizer(shared.value)
@@ -253,7 +256,7 @@ def decode(encoded: DataFrame, tokenizer: bytes, ids_col: str = "ids", text_col:
                     [batch.column(c).slice(i, j - i) for c in range(len(rest))] + [pa.array(texts, pa.string())],
                     names=[*rest, text_col])
 
-    return arrow_map(encoded.select(*rest, ids_col), run, schema)
+    return arrow_map(encoded.select(*rest, F.col(ids_col).alias("_ids")), run, schema)
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
