@@ -1,21 +1,72 @@
-"""Corpus cleaning pipeline: stages over `documents`, each written and read again."""
+"""Corpus cleaning pipeline: stages over `documents`, each written and read again.
+
+Each stage is called with the table its predecessor left and applies one operator of
+``tastemap.llm`` to all of it. Rows are told apart by id and text where ids may be null
+or repeated, so a decision about one row never falls on another.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
+from tastemap.llm import bpe, contain, minhash, pii, quality
 from tastemap.llm.frames import saved, table
-from tastemap.llm.minhash import near_duplicates
+
+KEY = "_row_key"
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``KEY``: the id and a hash of the text."""
+    ident = F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))
+    return docs.withColumn(KEY, F.concat_ws(":", ident, F.xxhash64("text").cast("string"), F.length("text").cast("string")))
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go; null and empty texts are among them."""
+    keyed = _keyed(docs)
+    bad = quality.judge(keyed, KEY).filter("not kept").select(KEY).distinct()
+    return keyed.join(bad, KEY, "left_anti").select(docs.columns)
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays."""
-    gone = near_duplicates(docs).filter("not kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti")
+    """Of each group of near-duplicates (shingles of five words, similarity 0.8) the smallest id
+    stays, and of rows that share an id one; rows without an id are never linked and stay."""
+    found = saved(minhash.near_duplicates(docs).select("doc_id", "kept"), "near-duplicates")
+    out = docs.join(found.filter("not kept").select("doc_id").distinct(), "doc_id", "left_anti")
+    repeated = saved(found.filter("kept and doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated")
+    if not repeated.isEmpty():
+        order = [F.col(c).cast("string") for c in docs.columns]
+        again = out.join(repeated, "doc_id", "left_semi").withColumn(KEY, F.row_number().over(W.partitionBy("doc_id").orderBy(*order)))
+        out = out.join(repeated, "doc_id", "left_anti").unionByName(again.filter(F.col(KEY) == 1).drop(KEY))
+    return out.select(docs.columns)
+
+
+def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold at least 80 % of the five-word shingles of a benchmark item go."""
+    keyed = _keyed(docs)
+    bad = contain.leaks(keyed, table(spark, sf_dir, "benchmark"), KEY).select(KEY).distinct()
+    return keyed.join(bad, KEY, "left_anti").select(docs.columns)
+
+
+def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced by its kind in angle brackets; ``n_chars`` follows the text."""
+    out = pii.redact(docs, pii.train(docs))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")))
+    return out.select(docs.columns)
+
+
+def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each text, and the text decoded from them (a null text becomes empty)."""
+    tokenizer = bpe.default_tokenizer()
+    carry = [c for c in docs.columns if c not in ("text", "ids", "n_tokens", "ids_sha256")]
+    return bpe.decode(bpe.encode(docs, tokenizer, carry), tokenizer, keep_ids=True)
 
 
-STAGES = [("near_dedup", dedup_stage)]
+STAGES = [("quality_rules", quality_stage), ("near_dedup", dedup_stage), ("decontaminate", decontaminate_stage),
+          ("pii", pii_stage), ("bpe", bpe_stage)]
 
+# a trained tagger and a tokenizer are no SQL; tests/llm compares the run with a brute-force version
 ORACLE_SQL = None
 
 
