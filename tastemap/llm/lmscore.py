@@ -116,7 +116,8 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     class_n, class_v = np.zeros(gru.RARE), np.zeros(gru.RARE)
     for c, n, v in by:
         class_n[c], class_v[c] = n, v
-    rows = counts.orderBy(F.desc("n"), "word").limit(COMMON).collect()
+    rows = counts.filter(F.col("word") != END).orderBy(F.desc("n"), "word").limit(COMMON).collect()
+    rows += counts.filter(F.col("word") == END).collect()
     return Vocabulary([tuple(r) for r in rows], int(total[0] or 0), int(total[1]), class_n, class_v)
 
 

@@ -7,7 +7,8 @@ the base spans and adds what looks alike. Every label it knows holds a digit or
 ``REACH`` characters around each digit and ``@``; text farther away holds no such span by
 definition. All windows of a document are decoded and then reconciled over the
 whole document: pieces of one kind that overlap are joined, better scored spans
-win over those they overlap, and base spans win over all.
+win over those they overlap, and base spans win over all. An added span must have what
+its kind cannot lack (an ``@`` and a dot, or digits enough and no letter).
 
 The tagger is fitted on a sample of at most ``SAMPLE`` windows (half with and half
 without a span), chosen by a hash of the id and place, so the sample does not depend
@@ -192,7 +193,14 @@ def window_spans(path: np.ndarray, sure: np.ndarray):
     return out
 
 
-def reconcile(found: list[tuple[int, int, int, float]], base) -> list[tuple[int, int, int]]:
+def plausible(kind: int, piece: str) -> bool:
+    """Whether a piece has what every value of its kind has: an ``@`` and a dot, or digits enough and no letter."""
+    if kind == 0:
+        return "@" in piece and "." in piece
+    return sum(map(str.isdigit, piece)) >= (0, 4, 12, 7)[kind] and not any(map(str.isalpha, piece))
+
+
+def reconcile(found: list[tuple[int, int, int, float]], base, text: str) -> list[tuple[int, int, int]]:
     """Spans (start, end, kind, score) of all windows of a document to (start, kind, end) beside ``base``."""
     joined: list[list] = []
     for s, e, k, p in sorted(found, key=lambda x: (x[2], x[0], x[1])):
@@ -204,7 +212,7 @@ def reconcile(found: list[tuple[int, int, int, float]], base) -> list[tuple[int,
     taken = [(s, e) for s, _, e in base]
     out = []
     for s, e, k, p in sorted(joined, key=lambda x: (-x[3], x[0], x[2])):
-        if p >= MIN_SCORE and all(e <= a or b <= s for a, b in taken):
+        if p >= MIN_SCORE and plausible(k, text[s:e]) and all(e <= a or b <= s for a, b in taken):
             taken.append((s, e))
             out.append((s, k, e))
     return out
@@ -229,7 +237,7 @@ def spans_of(texts: list[str], model: Tagger | None):
             end = min(int(p[w]) + b, len(codes[r]))
             if end > p[w] + a:
                 found[r].append((int(p[w]) + a, end, k, score))
-    return base, [sorted(b + reconcile(f, b)) if f else b for b, f in zip(base, found)]
+    return base, [sorted(b + reconcile(f, b, t)) if f else b for b, f, t in zip(base, found, texts)]
 
 
 def _scan(batch_texts, model):
