@@ -29,7 +29,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import textkit as tk
-from .frames import arrow_map, table
+from .frames import arrow_map, saved, table
 from .tagger import Tagger
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -162,9 +162,13 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
                                               pa.array(tag, pa.binary())], names=["key", "has", "code", "tag"])
 
     src = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-    windows = arrow_map(src, run, "key long, has boolean, code binary, tag binary")
-    ranked = [windows.filter(c).orderBy("key", "code", "tag").limit(sample // 2) for c in ("has", "not has")]
-    rows = ranked[0].unionAll(ranked[1]).select("code", "tag").collect()
+    windows = saved(arrow_map(src, run, "key long, has boolean, code binary, tag binary"), "pii-windows")
+    rows = []
+    for has, n in windows.groupBy("has").count().collect():
+        # keys are spread evenly: a cut that leaves some times the wanted number, so that tasks send few rows
+        cut = min(2 ** 63 - 1, 8 * sample * 2 ** 63 // n)
+        rows += windows.filter((F.col("has") == has) & (F.col("key") <= cut)).orderBy("key", "code", "tag").limit(sample // 2).select(
+            "code", "tag").collect()
     if not rows:
         return None
     rows.sort()
