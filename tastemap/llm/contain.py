@@ -8,11 +8,12 @@ is hopeless, so both sides are brought to one size: items are partitioned by set
 size (powers of two), and for each partition with sizes up to u the documents are
 cut into windows of 2u shingles that advance by u. A run of an item's shingles
 then lies in one window of about its own size. Item and window are
-sketched into 2u hashed bins that keep their smallest value; a window is the
+sketched into 4u hashed bins that keep their smallest value; a window is the
 minimum of two neighbouring tiles, so each shingle is hashed once a partition.
-A window and an item that agree in any filled bin are candidates (an item of 8
-shingles or more, 80 % of it in the window, is missed with probability below 1e-3 in the
-worst window and below 1e-6 from 16 on), and every candidate is confirmed on the full shingle sets.
+A window and an item that agree in any filled bin are candidates: of an item's shingles in the
+window each agrees with probability 0.79 or more, so with 8 or more of them the item is missed
+with probability below 1e-5. Partitions up to ``WHOLE`` shingles keep a sketch of all their
+shingles, that is, they miss nothing. Every candidate is confirmed on the full shingle sets.
 
 The item index is sent to the tasks in blocks of about ``BLOCK_GRAMS`` shingles
 (8 MB each), whatever the number of items; the documents are scanned once a block and are
@@ -38,6 +39,8 @@ PERCENT = 80
 BLOCK_GRAMS = 1_000_000
 _U = np.uint64
 _MASK_BITS = 22
+WHOLE = 8
+BINS = 4  # per shingle of a partition's largest item
 
 
 def _grams(column, k: int):
@@ -77,11 +80,13 @@ class Index:
             u = 1 << int(lv)
             mine = level[owner] == lv
             h = _bin_hash(flat[mine], int(lv))
-            place = owner[mine] * (2 * u) + _bin(h, 2 * u)
-            order = np.lexsort((h, place))
-            place, h = place[order], h[order]
-            first = np.append(True, place[1:] != place[:-1])
-            h, item = h[first], place[first] // (2 * u)
+            item = owner[mine]
+            if u > WHOLE:
+                place = item * (BINS * u) + _bin(h, BINS * u)
+                order = np.lexsort((h, place))
+                place, h = place[order], h[order]
+                first = np.append(True, place[1:] != place[:-1])
+                h, item = h[first], place[first] // (BINS * u)
             order = np.argsort(h, kind="stable")
             h, item = h[order], item[order]
             mask = np.zeros(1 << _MASK_BITS, bool)
@@ -94,10 +99,14 @@ class Index:
         count = np.bincount(row, minlength=rows)
         place = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
         for lv, u, keys, item, mask in self.parts:
+            h = _bin_hash(gram, lv)
+            if u <= WHOLE:
+                some = mask[h & _U((1 << _MASK_BITS) - 1)]
+                found.append(_matches(keys, item, row[some], h[some]))
+                continue
             tiles = -(-count // u)
             at = np.cumsum(tiles) - tiles
-            h = _bin_hash(gram, lv)
-            t = 2 * u
+            t = BINS * u
             sketch = np.full(int(tiles.sum()) * t, np.iinfo(np.uint64).max, np.uint64)
             np.minimum.at(sketch, (at[row] + place // u) * t + _bin(h, t), h)
             sketch = sketch.reshape(-1, t)
@@ -106,14 +115,18 @@ class Index:
             joined = np.flatnonzero(of[:-1] == of[1:])
             window[joined] = np.minimum(sketch[joined], sketch[joined + 1])
             tile, bin_ = np.nonzero(mask[window & _U((1 << _MASK_BITS) - 1)])
-            value = window[tile, bin_]
-            lo, hi = np.searchsorted(keys, value), np.searchsorted(keys, value, "right")
-            n = hi - lo
-            hit = np.arange(int(n.sum())) + np.repeat(lo - (np.cumsum(n) - n), n)
-            found.append(np.stack([np.repeat(of[tile], n), item[hit]], 1))
+            found.append(_matches(keys, item, of[tile], window[tile, bin_]))
         return np.unique(np.concatenate(found), axis=0)
 
 
+def _matches(keys: np.ndarray, item: np.ndarray, row: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """(row, item) of every value that is among the sorted ``keys``."""
+    lo, hi = np.searchsorted(keys, value), np.searchsorted(keys, value, "right")
+    n = hi - lo
+    hit = np.arange(int(n.sum())) + np.repeat(lo - (np.cumsum(n) - n), n)
+    return np.stack([np.repeat(row, n), item[hit]], 1)
+
+
 def _bin_hash(gram: np.ndarray, level: int) -> np.ndarray:
     return tk.mix(gram + tk.GRAM_CODE[50 + level % 12])
 
