@@ -10,7 +10,7 @@ Layout:
     operators/  ratings, features, splits, ranking, scoring, ALS, SVD, kNN,
                 metrics, profiles
     plans/      end-to-end pipeline and the registry of checked queries
-    streaming/  nothing: the analytics are batch only
+    llm/        training-data operators (optional; nothing else imports them)
 """
 
 from tastemap.config import Defaults

@@ -27,6 +27,7 @@ class Defaults:
     als_iters: tuple = (8, 12)
     als_folds: int = 3
     als_parallelism: int = 8
+    als_blocks: int = 10
     als_small_ranks: tuple = (20, 40)
     als_small_regs: tuple = (0.1,)
     als_small_iters: tuple = (6,)

@@ -5,6 +5,5 @@ from tastemap.functions.exprs import (  # noqa: F401
     hash_number,
     log_discount,
     round_score,
-    array_sum,
     array_norm,
 )

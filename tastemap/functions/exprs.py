@@ -33,10 +33,6 @@ def dot(a, b) -> Column:
     return F.aggregate(prod, F.lit(0.0), lambda s, z: s + z)
 
 
-def array_sum(a) -> Column:
-    return F.aggregate(_c(a), F.lit(0.0), lambda s, z: s + z.cast("double"))
-
-
 def array_norm(a) -> Column:
     return F.sqrt(F.aggregate(_c(a), F.lit(0.0), lambda s, z: s + z.cast("double") * z.cast("double")))
 

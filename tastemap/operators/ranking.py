@@ -23,8 +23,3 @@ def top_k(df: DataFrame, group_cols, order: list[Column], k: int, rank_col: str
             .filter(F.col(rank_col) <= k)
             .withColumn(rank_col, F.col(rank_col).cast("bigint")))
 
-
-def rank_lists(candidates: DataFrame, k: int, user_col: str = "user_id", item_col: str = "item_id",
-               score_col: str = "score") -> DataFrame:
-    """Top-k items per user by score desc, item id asc."""
-    return top_k(candidates, user_col, [F.col(score_col).desc(), F.col(item_col).asc()], k)

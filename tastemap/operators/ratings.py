@@ -19,6 +19,16 @@ from tastemap.config import DEFAULTS
 TRIPLE = ["user_id", "item_id", "rating"]
 
 
+def id_value(df: DataFrame, col: str, id_type: str = "bigint") -> F.Column:
+    """An id as ``id_type``: text that is a number with a fraction or an exponent
+    (``12.0``, ``3.7``, ``1e3``) counts by its whole part, as a number column would;
+    other text, NaN and ids out of range are NULL."""
+    plain = F.col(col).try_cast(id_type)
+    if df.schema[col].dataType.typeName() != "string":
+        return plain
+    return F.coalesce(plain, F.col(col).try_cast("decimal(38,18)").try_cast(id_type))
+
+
 def clean_ratings(df: DataFrame, lo: float = DEFAULTS.rating_min, hi: float = DEFAULTS.rating_max,
                   id_type: str = "bigint", dedup: str = "triple") -> DataFrame:
     """Project and cast the triple, drop rows with any null (NaN counts as
@@ -29,8 +39,8 @@ def clean_ratings(df: DataFrame, lo: float = DEFAULTS.rating_min, hi: float = DE
     keeps one row per (user, item) with the mean rating; ``"none"`` keeps all.
     """
     out = df.select(
-        F.col("user_id").try_cast(id_type).alias("user_id"),
-        F.col("item_id").try_cast(id_type).alias("item_id"),
+        id_value(df, "user_id", id_type).alias("user_id"),
+        id_value(df, "item_id", id_type).alias("item_id"),
         F.col("rating").try_cast("double").alias("rating"),
     )
     # explicit predicates rather than na.drop(): the optimizer knows them as
@@ -71,10 +81,13 @@ def enrich_stats(df: DataFrame) -> DataFrame:
 
 def enrich_items(df: DataFrame, items: DataFrame | None, key: str = "item_id") -> DataFrame:
     """Left join item metadata (J2). The dimension key is de-duplicated
-    first, so a repeated item id cannot multiply rating rows."""
+    first (the smallest row of a repeated id, so a retry gives the same one), and a
+    repeated id cannot multiply rating rows."""
     if items is None:
         return df
-    dim = items.dropDuplicates([key])
+    rest = [c for c in items.columns if c != key]
+    dim = items.select(key).distinct() if not rest else items.groupBy(key).agg(F.min(F.struct(*rest)).alias("_row")).select(
+        key, *[F.col(f"_row.{c}").alias(c) for c in rest])
     return df.join(dim, key, "left")
 
 

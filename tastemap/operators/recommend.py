@@ -77,12 +77,6 @@ def knn_expansion(train: DataFrame, neighbors: DataFrame, min_rating: float | No
             .select("user_id", F.col("neighbor_id").alias("item_id")))
 
 
-def knn_candidates(train: DataFrame, neighbors: DataFrame, min_rating: float | None = None) -> DataFrame:
-    """Expansion minus the user's own items (J7), one row per expansion."""
-    seen = train.select("user_id", "item_id").distinct()
-    return knn_expansion(train, neighbors, min_rating).join(seen, ["user_id", "item_id"], "left_anti")
-
-
 def knn_votes(train: DataFrame, neighbors: DataFrame, min_rating: float | None = None) -> DataFrame:
     """``(user_id, item_id, votes)`` (A10). Votes are counted before seen
     items are removed: the partial aggregate shrinks the expansion (up to

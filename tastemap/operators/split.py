@@ -61,12 +61,6 @@ def hash_split(ratings: DataFrame, fraction: float = DEFAULTS.train_fraction,
     return ratings.withColumn("is_train", hash_number("user_id", "item_id", seed=seed) < F.lit(bound))
 
 
-def random_split(ratings: DataFrame, fraction: float = DEFAULTS.train_fraction,
-                 seed: int = DEFAULTS.seed) -> tuple[DataFrame, DataFrame]:
-    flagged = hash_split(ratings, fraction, seed)
-    return (flagged.filter("is_train").drop("is_train"), flagged.filter("not is_train").drop("is_train"))
-
-
 def hash_sample(df: DataFrame, fraction: float = DEFAULTS.sample_fraction, seed: int = DEFAULTS.seed,
                 key_cols=("user_id", "item_id")) -> DataFrame:
     """Bernoulli-style sample (L3) by hash; salted so it is independent of

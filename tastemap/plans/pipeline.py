@@ -116,20 +116,29 @@ def run(spark: SparkSession, ratings_raw: DataFrame, items: DataFrame | None = N
             sinks.write_table(feats.select("user_id", "item_id", "rating", "features"),
                               f"{cfg.output_uri}/features.parquet")
 
+    def done(lists_: dict, out: list, name: str, recs: DataFrame, rows: DataFrame) -> None:
+        # the few metric rows are made here and the lists written here, so that a failure
+        # in either stays with its model
+        rows = rows.checkpoint(eager=True)
+        if cfg.output_uri:
+            sinks.write_lists(recs, f"{cfg.output_uri}/recommendations/{name.lower()}")
+        lists_[name] = recs
+        out.append(rows)
+
     def als_branch():
         out, lists_ = [], {}
         if "ALS" not in cfg.models:
             return out, lists_
         try:
             if cfg.cross_validate:
-                model, _ = ALS.cross_validate(train, small=cfg.small_grid)
-                fitted = ALS.AlsFit(model)
+                fitted, _ = ALS.cross_validate_any_ids(train, cfg.small_grid)
             else:
                 fitted = ALS.fit_any_ids(train, cfg.als)
             err = M.rmse(ALS.predict_any(fitted, test), clip_to=cfg.clip)
             recs = ALS.recommend_any(fitted, users, cfg.k, seen=seen).checkpoint(eager=True)
-            lists_["ALS"] = recs
-            out.append(M.metrics_long("ALS", M.ranking_metrics(recs, truth, cfg.k), err))
+            done(lists_, out, "ALS", recs, M.metrics_long("ALS", M.ranking_metrics(recs, truth, cfg.k), err))
+            if cfg.output_uri:
+                ALS.save(fitted.model, f"{cfg.output_uri}/models/als")
         except Exception as exc:  # one model failing must not stop the others
             log.exception("ALS failed")
             out.append(M.status_row(spark, "ALS", "error", str(exc)))
@@ -153,10 +162,9 @@ def run(spark: SparkSession, ratings_raw: DataFrame, items: DataFrame | None = N
                     if "SVD" in cfg.models:
                         recs = REC.factor_recommend(res.user_factors, item_factors, seen, cfg.k,
                                                     users=users).checkpoint(eager=True)
-                        lists_["SVD"] = recs
                         pred = SVD.predict_with_factors(test, res.user_factors, item_factors, res.user_means)
                         err = M.rmse(pred, clip_to=cfg.clip)
-                        out.append(M.metrics_long("SVD", M.ranking_metrics(recs, truth, cfg.k), err))
+                        done(lists_, out, "SVD", recs, M.metrics_long("SVD", M.ranking_metrics(recs, truth, cfg.k), err))
             except Exception as exc:
                 log.exception("SVD failed")
                 out.append(M.status_row(spark, "SVD", "error", str(exc)))
@@ -167,8 +175,7 @@ def run(spark: SparkSession, ratings_raw: DataFrame, items: DataFrame | None = N
                 else:
                     nb = REC.item_neighbors(item_factors, cfg.neighbors)
                     recs = REC.knn_recommend(REC.knn_votes(train, nb), users, cfg.k).checkpoint(eager=True)
-                    lists_["kNN"] = recs
-                    out.append(M.metrics_long("kNN", M.ranking_metrics(recs, truth, cfg.k, list_users=users)))
+                    done(lists_, out, "kNN", recs, M.metrics_long("kNN", M.ranking_metrics(recs, truth, cfg.k, list_users=users)))
             except Exception as exc:
                 log.exception("kNN failed")
                 out.append(M.status_row(spark, "kNN", "error", str(exc)))
@@ -207,6 +214,4 @@ def run(spark: SparkSession, ratings_raw: DataFrame, items: DataFrame | None = N
     if cfg.output_uri:
         sinks.write_metrics(metrics, f"{cfg.output_uri}/metrics")
         metrics = spark.read.schema(metrics.schema).json(f"{cfg.output_uri}/metrics")
-        for name, l in lists.items():
-            sinks.write_lists(l, f"{cfg.output_uri}/recommendations/{name.lower()}")
     return PipelineResult(metrics, lists, train, test)

@@ -66,8 +66,10 @@ def q_scan_ratings(spark, sf):
 
 
 _DIRTY_SQL = """dirty AS (
-  SELECT CASE WHEN l_orderkey % 101 = 0 THEN 'u' || CAST(o_custkey AS VARCHAR) ELSE CAST(o_custkey AS VARCHAR) END AS user_id,
-         CASE WHEN l_orderkey % 103 = 0 THEN 'b' || CAST(l_partkey AS VARCHAR) ELSE CAST(l_partkey AS VARCHAR) END AS item_id,
+  SELECT CASE WHEN l_orderkey % 101 = 0 THEN 'u' || CAST(o_custkey AS VARCHAR) WHEN l_orderkey % 107 = 0 THEN o_custkey || '.0'
+              WHEN l_orderkey % 109 = 0 THEN o_custkey || 'e0' ELSE CAST(o_custkey AS VARCHAR) END AS user_id,
+         CASE WHEN l_orderkey % 103 = 0 THEN 'b' || CAST(l_partkey AS VARCHAR) WHEN l_orderkey % 97 = 0 THEN l_partkey || '.7'
+              WHEN l_orderkey % 73 = 0 THEN '99999999999999999999' ELSE CAST(l_partkey AS VARCHAR) END AS item_id,
          CASE WHEN l_linenumber = 7 THEN NULL WHEN l_orderkey % 89 = 0 THEN '0'
               WHEN l_orderkey % 83 = 0 THEN '6' WHEN l_orderkey % 79 = 0 THEN 'NaN'
               ELSE CAST(CAST(ceil(l_quantity / 10) AS BIGINT) AS VARCHAR) END AS rating,
@@ -75,7 +77,8 @@ _DIRTY_SQL = """dirty AS (
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
 dirty_all AS (SELECT user_id, item_id, rating FROM dirty
               UNION ALL SELECT user_id, item_id, rating FROM dirty WHERE ok % 13 = 0),
-typed AS (SELECT TRY_CAST(user_id AS BIGINT) AS user_id, TRY_CAST(item_id AS BIGINT) AS item_id,
+typed AS (SELECT TRY_CAST(trunc(TRY_CAST(user_id AS DOUBLE)) AS BIGINT) AS user_id,
+                 TRY_CAST(trunc(TRY_CAST(item_id AS DOUBLE)) AS BIGINT) AS item_id,
                  TRY_CAST(rating AS DOUBLE) AS rating FROM dirty_all)"""
 
 
@@ -577,7 +580,7 @@ _TOPCAT = """topcat AS (SELECT authors FROM (
   SELECT authors, count(*) AS n_ratings FROM enriched GROUP BY authors
   ORDER BY n_ratings DESC, authors ASC NULLS FIRST LIMIT 10) t WHERE authors IS NOT NULL AND authors <> ''),
 collapsed AS (SELECT e.*, CASE WHEN e.authors IS NULL THEN 'unknown'
-                              WHEN e.authors IN (SELECT authors FROM topcat) THEN e.authors ELSE 'other' END AS authors_top
+                              WHEN e.authors IN (SELECT authors FROM topcat) THEN e.authors ELSE 'other' END AS authors_kept
               FROM enriched e)"""
 
 
@@ -587,26 +590,26 @@ def collapsed(spark, sf):
 
 
 @register("collapse_categories", with_ctes(
-    "SELECT user_id, item_id, rating, authors_top FROM collapsed", "enriched", extra=_TOPCAT))
+    "SELECT user_id, item_id, rating, authors_kept FROM collapsed", "enriched", extra=_TOPCAT))
 def q_collapse_categories(spark, sf):
-    return collapsed(spark, sf).select("user_id", "item_id", "rating", "authors_top")
+    return collapsed(spark, sf).select("user_id", "item_id", "rating", "authors_kept")
 
 
-@register("index_categories", with_ctes("""SELECT authors_top,
-  CAST(row_number() OVER (ORDER BY count(*) DESC, authors_top) - 1 AS DOUBLE) AS authors_top_idx
-FROM collapsed GROUP BY authors_top""", "enriched", extra=_TOPCAT))
+@register("index_categories", with_ctes("""SELECT authors_kept,
+  CAST(row_number() OVER (ORDER BY count(*) DESC, authors_kept) - 1 AS DOUBLE) AS authors_kept_code
+FROM collapsed GROUP BY authors_kept""", "enriched", extra=_TOPCAT))
 def q_index_categories(spark, sf):
     from pyspark.ml.feature import StringIndexer
     c = collapsed(spark, sf)
-    model = StringIndexer(inputCol="authors_top", outputCol="authors_top_idx", handleInvalid="keep",
+    model = StringIndexer(inputCol="authors_kept", outputCol="authors_kept_code", handleInvalid="keep",
                           stringOrderType="frequencyDesc").fit(c)
-    return model.transform(c.select("authors_top").distinct())
+    return model.transform(c.select("authors_kept").distinct())
 
 
 _IMP_SQL = """med AS (SELECT quantile_disc(original_publication_year, 0.5) AS my,
                         quantile_disc(average_rating, 0.5) AS ma FROM enriched2),
-imputed AS (SELECT e.*, coalesce(original_publication_year, my) AS original_publication_year_imp,
-                   coalesce(average_rating, ma) AS average_rating_imp FROM enriched2 e, med)"""
+imputed AS (SELECT e.*, coalesce(original_publication_year, my) AS original_publication_year_filled,
+                   coalesce(average_rating, ma) AS average_rating_filled FROM enriched2 e, med)"""
 
 _ENRICHED2 = """enriched2 AS (
   SELECT c.user_id, c.item_id, c.rating, s.item_rating_count, s.item_rating_mean, u.user_rating_count,
@@ -616,30 +619,33 @@ _ENRICHED2 = """enriched2 AS (
 
 def imputed(spark, sf):
     e = enriched(spark, sf)
-    out, _ = FE.impute_median(e, FE.NUMERIC_CANDIDATES)
+    out, _ = FE.impute_median(e, FE.feature_inputs(e)[0])
     return out
 
 
-@register("impute_median", with_ctes("""SELECT user_id, item_id, rating, original_publication_year_imp,
-  round(average_rating_imp, 6) AS average_rating_imp FROM imputed""", "istats", "ustats", "items",
+@register("impute_median", with_ctes("""SELECT user_id, item_id, rating, original_publication_year_filled,
+  round(average_rating_filled, 6) AS average_rating_filled FROM imputed""", "istats", "ustats", "items",
                                      extra=",\n".join([_ENRICHED2, _IMP_SQL])))
 def q_impute_median(spark, sf):
     i = imputed(spark, sf)
-    return i.select("user_id", "item_id", "rating", "original_publication_year_imp",
-                    r6("average_rating_imp").alias("average_rating_imp"))
+    return i.select("user_id", "item_id", "rating", "original_publication_year_filled",
+                    r6("average_rating_filled").alias("average_rating_filled"))
 
 
-_SCALED = [c + "_imp" for c in FE.NUMERIC_CANDIDATES]
+# fixed values: the numeric columns of the enriched table
+_NUMERIC = ("item_rating_count", "item_rating_mean", "user_rating_count", "user_rating_mean",
+            "original_publication_year", "average_rating")
+_SCALED = [c + "_filled" for c in _NUMERIC]
 
 
 @register("scale_features", with_ctes("SELECT user_id, item_id, rating, " + ", ".join(
     f"round(CASE WHEN s_{c} > 0 THEN {c} / s_{c} ELSE 0.0 END, 6) AS {c}_scaled" for c in _SCALED)
     + " FROM imputed, (SELECT " + ", ".join(f"stddev_samp({c}) AS s_{c}" for c in _SCALED) + " FROM imputed) sd",
     "istats", "ustats", "items", extra=",\n".join([_ENRICHED2, _IMP_SQL.replace(
-        "coalesce(average_rating, ma) AS average_rating_imp",
-        "coalesce(average_rating, ma) AS average_rating_imp, item_rating_count AS item_rating_count_imp, "
-        "item_rating_mean AS item_rating_mean_imp, user_rating_count AS user_rating_count_imp, "
-        "user_rating_mean AS user_rating_mean_imp")])))
+        "coalesce(average_rating, ma) AS average_rating_filled",
+        "coalesce(average_rating, ma) AS average_rating_filled, item_rating_count AS item_rating_count_filled, "
+        "item_rating_mean AS item_rating_mean_filled, user_rating_count AS user_rating_count_filled, "
+        "user_rating_mean AS user_rating_mean_filled")])))
 def q_scale_features(spark, sf):
     from pyspark.ml.feature import StandardScaler, VectorAssembler
     from pyspark.ml.functions import vector_to_array
@@ -656,39 +662,39 @@ def feature_table(spark, sf, n_top=TOP_N):
     return FE.build_features(enriched(spark, sf), n_top=n_top)
 
 
-@register("one_hot", with_ctes("""SELECT c.user_id, c.item_id, c.rating, c.authors_top, l.authors_top_idx,
-  CAST(n.n_labels + 1 AS BIGINT) AS ohe_size, CAST(l.authors_top_idx + 1 AS BIGINT) AS ohe_hot_position
-FROM collapsed c JOIN lab l USING (authors_top), (SELECT count(*) AS n_labels FROM lab) n""", "enriched",
+@register("one_hot", with_ctes("""SELECT c.user_id, c.item_id, c.rating, c.authors_kept, l.authors_kept_code,
+  CAST(n.n_labels + 1 AS BIGINT) AS ohe_size, CAST(l.authors_kept_code + 1 AS BIGINT) AS ohe_hot_position
+FROM collapsed c JOIN lab l USING (authors_kept), (SELECT count(*) AS n_labels FROM lab) n""", "enriched",
                               extra=_TOPCAT + """,
-lab AS (SELECT authors_top,
-               CAST(row_number() OVER (ORDER BY count(*) DESC, authors_top) - 1 AS DOUBLE) AS authors_top_idx
-        FROM collapsed GROUP BY authors_top)"""))
+lab AS (SELECT authors_kept,
+               CAST(row_number() OVER (ORDER BY count(*) DESC, authors_kept) - 1 AS DOUBLE) AS authors_kept_code
+        FROM collapsed GROUP BY authors_kept)"""))
 def q_one_hot(spark, sf):
     """One-hot with handleInvalid="keep": the vector has one slot more than
     there are labels (the invalid slot; the last slot is dropped)."""
     from pyspark.ml.functions import vector_to_array
     f = feature_table(spark, sf)
-    arr = vector_to_array("authors_top_ohe")
-    return f.select("user_id", "item_id", "rating", "authors_top", "authors_top_idx",
+    arr = vector_to_array("authors_kept_slots")
+    return f.select("user_id", "item_id", "rating", "authors_kept", "authors_kept_code",
                     F.size(arr).cast("bigint").alias("ohe_size"),
                     F.array_position(arr, 1.0).cast("bigint").alias("ohe_hot_position"))
 
 
 _IMP_ALL_SQL = _IMP_SQL.replace(
-    "coalesce(average_rating, ma) AS average_rating_imp",
-    "coalesce(average_rating, ma) AS average_rating_imp, item_rating_count AS item_rating_count_imp, "
-    "item_rating_mean AS item_rating_mean_imp, user_rating_count AS user_rating_count_imp, "
-    "user_rating_mean AS user_rating_mean_imp")
+    "coalesce(average_rating, ma) AS average_rating_filled",
+    "coalesce(average_rating, ma) AS average_rating_filled, item_rating_count AS item_rating_count_filled, "
+    "item_rating_mean AS item_rating_mean_filled, user_rating_count AS user_rating_count_filled, "
+    "user_rating_mean AS user_rating_mean_filled")
 
 # Feature rows in SQL: imputed numerics, collapsed category, one-hot slot.
 _FEATURE_ROWS_SQL = ",\n".join([_ENRICHED2, _IMP_ALL_SQL, _TOPCAT, """fe AS (
   SELECT i.*, CASE WHEN i.authors IS NULL THEN 'unknown'
-                   WHEN i.authors IN (SELECT authors FROM topcat) THEN i.authors ELSE 'other' END AS authors_top
+                   WHEN i.authors IN (SELECT authors FROM topcat) THEN i.authors ELSE 'other' END AS authors_kept
   FROM imputed i),
-lab AS (SELECT authors_top, count(*) AS cnt FROM fe GROUP BY authors_top),
+lab AS (SELECT authors_kept, count(*) AS cnt FROM fe GROUP BY authors_kept),
 nlab AS (SELECT count(*) AS n_labels FROM lab),
 sd AS (SELECT count(*) AS n, """ + ", ".join(f"stddev_samp({c}) AS s_{c}" for c in _SCALED) + """ FROM fe),
-labsd AS (SELECT authors_top, sqrt((cnt - cnt * cnt / n) / (n - 1)) AS s_lab FROM lab, sd)"""])
+labsd AS (SELECT authors_kept, sqrt((cnt - cnt * cnt / n) / (n - 1)) AS s_lab FROM lab, sd)"""])
 
 _NUM_SUM = " + ".join(_SCALED)
 _SCALED_SUM = " + ".join(f"(CASE WHEN s_{c} > 0 THEN {c} / s_{c} ELSE 0.0 END)" for c in _SCALED)
@@ -706,13 +712,13 @@ def _vector_summary(df, col):
 FROM fe, nlab""", "enriched", "istats", "ustats", "items", extra=_FEATURE_ROWS_SQL))
 def q_assemble_features(spark, sf):
     """Assembled vector (numerics then one-hot): width and sum per row."""
-    return _vector_summary(feature_table(spark, sf), "features_assembled")
+    return _vector_summary(feature_table(spark, sf), "feature_slots")
 
 
 _FEATURE_TABLE_SQL = with_ctes(f"""SELECT user_id, item_id, rating,
   CAST(6 + n_labels + 1 AS BIGINT) AS n_features,
   round({_SCALED_SUM} + (CASE WHEN s_lab > 0 THEN 1.0 / s_lab ELSE 0.0 END), 6) AS feature_sum
-FROM fe JOIN labsd USING (authors_top), sd, nlab""", "enriched", "istats", "ustats", "items", extra=_FEATURE_ROWS_SQL)
+FROM fe JOIN labsd USING (authors_kept), sd, nlab""", "enriched", "istats", "ustats", "items", extra=_FEATURE_ROWS_SQL)
 
 
 @register("feature_table", _FEATURE_TABLE_SQL)

@@ -39,7 +39,8 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ratings_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ratings as text with defects placed by fixed rules on the keys:
-    order key divisible by 101 -> user id 'u<id>', by 103 -> item id 'b<id>',
+    order key divisible by 101 -> user id 'u<id>', by 107 -> '<id>.0', by 109 -> '<id>e0',
+    by 103 -> item id 'b<id>', by 97 -> '<id>.7', by 73 -> 20 digits (out of range),
     line number 7 -> null rating, by 89 -> '0', by 83 -> '6', by 79 -> 'NaN';
     rows whose order key is divisible by 13 appear twice."""
     base = _rating_rows(spark, sf_dir)
@@ -47,8 +48,12 @@ def ratings_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     rating_txt = F.ceil(F.col("l_quantity") / 10).cast("string")
     rows = base.select(
         F.when(ok % 101 == 0, F.concat(F.lit("u"), F.col("o_custkey").cast("string")))
+         .when(ok % 107 == 0, F.concat(F.col("o_custkey").cast("string"), F.lit(".0")))
+         .when(ok % 109 == 0, F.concat(F.col("o_custkey").cast("string"), F.lit("e0")))
          .otherwise(F.col("o_custkey").cast("string")).alias("user_id"),
         F.when(ok % 103 == 0, F.concat(F.lit("b"), F.col("l_partkey").cast("string")))
+         .when(ok % 97 == 0, F.concat(F.col("l_partkey").cast("string"), F.lit(".7")))
+         .when(ok % 73 == 0, F.lit("99999999999999999999"))
          .otherwise(F.col("l_partkey").cast("string")).alias("item_id"),
         F.when(F.col("l_linenumber") == 7, F.lit(None).cast("string"))
          .when(ok % 89 == 0, F.lit("0"))

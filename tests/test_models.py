@@ -4,8 +4,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SF_SMALL
+
 from tastemap.operators import als as ALS, ratings as R, svd as SVD
 from tastemap.operators.metrics import rmse
+from tastemap.sources import fixtures as FX
 
 
 def planted(spark, n_users=300, n_items=120, rank=3, observed=0.4, noise=0.05, seed=7, full=False):
@@ -132,3 +135,17 @@ def test_cross_validation_is_seeded(spark):
     rb = sorted(map(tuple, b.collect()))
     assert [r[:3] for r in ra] == [(20, 0.1, 6), (40, 0.1, 6)]
     assert all(x[3] == pytest.approx(y[3], rel=1e-9) for x, y in zip(ra, rb))
+
+
+def test_als_does_not_depend_on_partitioning(spark):
+    """The block count is a parameter, so layout and parallelism leave the model as it is."""
+    train = R.clean_ratings(FX.ratings(spark, SF_SMALL)).checkpoint()
+    pairs = train.select("user_id", "item_id").limit(300).checkpoint()
+
+    def predictions(df):
+        model = ALS.fit(df, ALS.AlsParams(rank=4, iters=4))
+        return {(r["user_id"], r["item_id"]): r["prediction"] for r in ALS.predict(model, pairs).collect()}
+
+    one, many = predictions(train.coalesce(1)), predictions(train.repartition(8))
+    assert one.keys() == many.keys()
+    assert max(abs(one[k] - many[k]) for k in one) < 1e-3

@@ -11,8 +11,9 @@ from check_oracle import duck, rows_of  # noqa: E402
 from conftest import SF_SMALL  # noqa: E402
 
 import __spark_entry__ as E  # noqa: E402
+from tastemap.plans import queries as Q  # noqa: E402
 
-ORACLE = E.oracle_sql()
+ORACLE = Q.ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +22,7 @@ def con():
 
 
 def test_every_oracle_has_a_query():
-    assert set(ORACLE) <= set(E.queries())
+    assert set(ORACLE) <= set(Q.QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))

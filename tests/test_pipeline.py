@@ -47,10 +47,10 @@ def test_missing_item_table_and_preference(spark):
     assert tables.scan_items(spark, scratch_path(spark, "absent") + "/books.csv") is None
     base = scratch_path(spark, "pref")
     FX.ratings(spark, SF_SMALL).write.option("header", "true").csv(f"{base}/ratings.csv")
-    df = tables.load_first(spark, [f"{base}/ratings.parquet", f"{base}/ratings.csv"], tables.RATINGS_TEXT_SCHEMA)
+    df = tables.scan_ratings_any(spark, [f"{base}/ratings.parquet", f"{base}/ratings.csv"])
     assert df.count() == FX.ratings(spark, SF_SMALL).count()
     with pytest.raises(FileNotFoundError):
-        tables.load_first(spark, [f"{base}/nothing.parquet"])
+        tables.scan_ratings_any(spark, [f"{base}/nothing.parquet"])
 
 
 def test_item_table_without_key_is_skipped(spark):
@@ -62,9 +62,9 @@ def test_item_table_without_key_is_skipped(spark):
 def test_feature_table_without_metadata_and_dummy(spark):
     c = R.clean_ratings(FX.ratings(spark, SF_SMALL))
     f = FE.build_features(R.enrich_stats(c))
-    assert "features" in f.columns and "authors_top" not in f.columns
+    assert "features" in f.columns and "authors_kept" not in f.columns
     bare = FE.build_features(c.select("user_id", "item_id", "rating"))
-    assert "dummy_feat" in bare.columns
+    assert "no_inputs" in bare.columns
 
 
 def test_median_keeps_int_type_and_nan_is_missing(spark):
@@ -72,8 +72,8 @@ def test_median_keeps_int_type_and_nan_is_missing(spark):
                                "a int, b double")
     out, med = FE.impute_median(df, ["a", "b"])
     assert med == {"a": 2, "b": 4.0}
-    assert dict(out.dtypes)["a_imp"] == "int"
-    assert sorted(r["b_imp"] for r in out.collect()) == [1.0, 4.0, 4.0, 4.0, 5.0]
+    assert dict(out.dtypes)["a_filled"] == "int"
+    assert sorted(r["b_filled"] for r in out.collect()) == [1.0, 4.0, 4.0, 4.0, 5.0]
 
 
 def test_top_categories_null_uses_slot(spark):

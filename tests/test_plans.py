@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from tastemap.plans import queries as Q
 
 HEAVY = {"end_to_end_metrics", "als_cv_grid", "svd_singular_values", "svd_factors", "item_factors_roundtrip",
          "svd_recommend", "als_predict", "als_recommend", "als_recs_nested", "als_save_load", "stage_raw_tables",
@@ -20,7 +21,7 @@ def plan(df) -> str:
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - HEAVY))
+@pytest.mark.parametrize("name", sorted(set(Q.QUERIES) - HEAVY))
 def test_no_pair_products_or_row_udfs(spark, name):
     p = plan(E.queries()[name](spark, SF_SMALL))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):

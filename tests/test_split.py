@@ -83,3 +83,21 @@ def test_hot_user_holdout(spark):
     train, test = S.holdout_per_user(df)
     assert test.filter("user_id = 0").count() == 1
     assert train.count() + test.count() == df.count()
+
+
+def test_numeric_text_ids_are_kept_and_agree_with_parquet(spark):
+    rows = [("12.0", "3.7", "4"), ("1e3", "7", "5"), (" 5 ", "6", "3"), ("99999999999999999999", "1", "4"), ("inf", "1", "4"),
+            ("x1", "2", "4"), ("-3.9", "2", "4")]
+    text = R.clean_ratings(spark.createDataFrame(rows, "user_id string, item_id string, rating string"))
+    want = {(12, 3, 4.0), (1000, 7, 5.0), (5, 6, 3.0), (-3, 2, 4.0)}
+    assert {tuple(r) for r in text.collect()} == want
+    numbers = spark.createDataFrame([(12.0, 3.7, 4.0), (1000.0, 7.0, 5.0), (5.0, 6.0, 3.0), (-3.9, 2.0, 4.0), (float("nan"), 1.0, 4.0)],
+                                    "user_id double, item_id double, rating double")
+    assert {tuple(r) for r in R.clean_ratings(numbers).collect()} == want
+
+
+def test_repeated_items_take_the_smallest_row(spark):
+    ratings = spark.createDataFrame([(1, 1, 4.0), (2, 1, 3.0)], "user_id long, item_id long, rating double")
+    items = spark.createDataFrame([(1, "b", 2), (1, "a", 9), (1, None, 5)], "item_id long, authors string, year int")
+    got = {tuple(r) for r in R.enrich_items(ratings, items).select("user_id", "authors", "year").collect()}
+    assert got == {(1, None, 5), (2, None, 5)}
