@@ -166,8 +166,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     rows = []
     for has, n in windows.groupBy("has").count().collect():
         # keys are spread evenly: a cut that leaves some times the wanted number, so that tasks send few rows
-        cut = min(2 ** 63 - 1, 8 * sample * 2 ** 63 // n)
-        rows += windows.filter((F.col("has") == has) & (F.col("key") <= cut)).orderBy("key", "code", "tag").limit(sample // 2).select(
+        limit = min(2 ** 63 - 1, 8 * sample * 2 ** 63 // n)
+        rows += windows.filter((F.col("has") == has) & (F.col("key") <= limit)).orderBy("key", "code", "tag").limit(sample // 2).select(
             "code", "tag").collect()
     if not rows:
         return None
