@@ -780,6 +780,50 @@ def q_als_cv_grid(spark, sf):
     return table
 
 
+@register("als_predict_check", with_ctes("""SELECT user_id, item_id, rating, true AS finite FROM test t
+WHERE EXISTS (SELECT 1 FROM train r WHERE r.user_id = t.user_id) AND EXISTS (SELECT 1 FROM train r WHERE r.item_id = t.item_id)""",
+                                                 "test", "train"))
+def q_als_predict_check(spark, sf):
+    """Which test pairs ALS predicts: those whose user and item it has seen."""
+    model, _, test = als_model(spark, sf)
+    return ALS.predict(model, test).select(
+        "user_id", "item_id", "rating", (F.abs("prediction") < F.lit(1e6)).alias("finite"))
+
+
+@register("als_recommend_check", with_ctes("""SELECT user_id, least(10, n_items - n_seen) AS n, CAST(0 AS BIGINT) AS seen_hits,
+  true AS ranked, true AS scored
+FROM (SELECT user_id, count(DISTINCT item_id) AS n_seen FROM train GROUP BY user_id) s JOIN (SELECT DISTINCT user_id FROM test) u
+  USING (user_id), (SELECT count(DISTINCT item_id) AS n_items FROM train) i WHERE n_items > n_seen""", "test", "train"))
+def q_als_recommend_check(spark, sf):
+    """Per user: list length, seen items in it, ranks 1..n by falling score, score = dot product of the factors."""
+    from tastemap.functions.exprs import dot
+    model, train, test = als_model(spark, sf)
+    recs = ALS.recommend(model, test.select("user_id").distinct(), DEFAULTS.top_k, seen=train)
+    uf, vf = ALS.factor_tables(model)
+    full = (recs.join(uf.withColumnRenamed("factor", "uf"), "user_id").join(vf.withColumnRenamed("factor", "vf"), "item_id")
+            .join(train.select("user_id", "item_id", F.lit(1).alias("hit")).distinct(), ["user_id", "item_id"], "left"))
+    rows = F.sort_array(F.collect_list(F.struct("rank", "score")))
+    per = full.groupBy("user_id").agg(
+        F.count("*").alias("n"), F.coalesce(F.sum("hit"), F.lit(0)).cast("bigint").alias("seen_hits"), rows.alias("r"),
+        F.max(F.abs(F.col("score") - dot("uf", "vf"))).alias("gap"))
+    in_order = F.forall(F.sequence(F.lit(1), F.size("r")), lambda i: (F.get("r", i - 1)["rank"] == i)
+                        & ((i == 1) | (F.get("r", i - 1)["score"] <= F.get("r", F.greatest(i - 2, F.lit(0)))["score"])))
+    return per.select("user_id", "n", "seen_hits", in_order.alias("ranked"), (F.col("gap") < 1e-4).alias("scored"))
+
+
+@register("als_save_load_check", with_ctes("""SELECT user_id, item_id, rating, true AS same FROM test t
+WHERE EXISTS (SELECT 1 FROM train r WHERE r.user_id = t.user_id) AND EXISTS (SELECT 1 FROM train r WHERE r.item_id = t.item_id)""",
+                                                   "test", "train"))
+def q_als_save_load_check(spark, sf):
+    """A saved and loaded model predicts what the model before it did."""
+    model, _, test = als_model(spark, sf)
+    path = scratch_path(spark, "als-model")
+    ALS.save(model, path)
+    after = ALS.predict(ALS.load(path), test).withColumnRenamed("prediction", "after")
+    both = ALS.predict(model, test).join(after, ["user_id", "item_id", "rating"])
+    return both.select("user_id", "item_id", "rating", (F.abs(F.col("prediction") - F.col("after")) < 1e-6).alias("same"))
+
+
 # ---------------------------------------------------------------- SVD
 
 def svd_model(spark, sf, use_sigma=True):

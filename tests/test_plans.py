@@ -11,6 +11,7 @@ from tastemap.plans import queries as Q
 
 HEAVY = {"end_to_end_metrics", "als_cv_grid", "svd_singular_values", "svd_factors", "item_factors_roundtrip",
          "svd_recommend", "als_predict", "als_recommend", "als_recs_nested", "als_save_load", "stage_raw_tables",
+         "als_predict_check", "als_recommend_check", "als_save_load_check",
          "model_comparison", "metrics_long"}
 
 
