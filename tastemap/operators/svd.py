@@ -72,7 +72,9 @@ def svd_factors(pairs: DataFrame, users: DataFrame, items: DataFrame, k: int = D
 
     ``method``: "auto" (Gramian when items^2 x 8 bytes <= ``gram_max_bytes``,
     else ARPACK; both exact), "gramian", "arpack", or "randomized" (few
-    passes, approximate; see :mod:`tastemap.operators.svd_randomized`)."""
+    passes, approximate; see :mod:`tastemap.operators.svd_randomized`). The exact ones hold
+    item-sized state on the driver; where that would exceed ``max_driver_bytes`` the
+    randomized one is used instead of none."""
     if method not in ("auto", "gramian", "arpack", "randomized"):
         raise ValueError(f"unknown method {method!r}")
     spark = pairs.sparkSession
@@ -84,22 +86,23 @@ def svd_factors(pairs: DataFrame, users: DataFrame, items: DataFrame, k: int = D
     k_eff = min(k, n_users - 1, n_items - 1)
     if k_eff <= 0:
         return SvdResult("skipped: k <= 0", [])
-    if n_items * k_eff * 8 > max_driver_bytes:
-        return SvdResult(f"skipped: V would need {n_items * k_eff * 8} bytes on the driver", [])
-
-    if method == "randomized":
-        from tastemap.operators.svd_randomized import randomized_svd
-        if center is not None:
-            raise ValueError("center is not supported with method='randomized'")
-        return randomized_svd(pairs, k_eff, power_iters=power_iters, use_sigma=use_sigma)
-
-    idx = pairs.join(users, "user_id", "inner").join(items, "item_id", "inner")
     means = None
     if center == "user":
         means = pairs.groupBy("user_id").agg(F.avg("rating").alias("mean"))
-        idx = idx.join(means, "user_id").withColumn("rating", F.col("rating") - F.col("mean")).drop("mean")
+        pairs = pairs.join(means, "user_id").select("user_id", "item_id", (F.col("rating") - F.col("mean")).alias("rating"))
     elif center is not None:
         raise ValueError("center must be None or 'user'")
+    # the exact solvers keep V (or A'A) on the driver; beyond the bound the randomized one,
+    # whose driver state is (k + 10)^2 numbers, takes over, so no size loses its result
+    on_driver = n_items * max(k_eff, n_items if method == "gramian" else 0) * 8
+    if method == "randomized" or on_driver > max_driver_bytes:
+        from tastemap.operators.svd_randomized import randomized_svd
+        res = randomized_svd(pairs, k_eff, power_iters=power_iters, use_sigma=use_sigma)
+        res.user_means = means
+        return res
+
+    # read by the matrix, by V and, on the Gramian route, by U: joined once
+    idx = pairs.join(users, "user_id", "inner").join(items, "item_id", "inner").checkpoint(eager=True)
     entries = idx.select(F.col("u_idx").cast("bigint").alias("i"), F.col("i_idx").cast("bigint").alias("j"),
                          F.col("rating").cast("double").alias("value"))
     nnz = entries.count()
@@ -111,7 +114,7 @@ def svd_factors(pairs: DataFrame, users: DataFrame, items: DataFrame, k: int = D
     # pass then costs tasks in proportion to the data, not to the cluster.
     sc = spark.sparkContext
     jvm = sc._jvm
-    parts = max(1, min(sc.defaultParallelism, math.ceil(nnz * _ENTRY_BYTES / _PART_BYTES)))
+    parts = max(1, math.ceil(nnz * _ENTRY_BYTES / _PART_BYTES))
     jrows = grouped._java_matrix_wrapper._java_model.rows()
     if parts < jrows.getNumPartitions():
         jrows = jrows.coalesce(parts, False, jvm.scala.Option.empty(), None)
@@ -120,8 +123,6 @@ def svd_factors(pairs: DataFrame, users: DataFrame, items: DataFrame, k: int = D
         jrows, int(n_users), int(n_items)))
     try:
         gram = method == "gramian" or (method == "auto" and n_items * n_items * 8 <= gram_max_bytes)
-        if gram and n_items * n_items * 8 > max_driver_bytes:
-            return SvdResult("skipped: Gramian would exceed the driver bound", [])
         if gram:
             s, U = _svd_via_gramian(spark, rows, idx, k_eff, rcond)
         else:

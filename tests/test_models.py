@@ -149,3 +149,12 @@ def test_als_does_not_depend_on_partitioning(spark):
     one, many = predictions(train.coalesce(1)), predictions(train.repartition(8))
     assert one.keys() == many.keys()
     assert max(abs(one[k] - many[k]) for k in one) < 1e-3
+
+
+@pytest.mark.parametrize("center", [None, "user"])
+def test_svd_beyond_the_driver_bound_still_gives_factors(spark, center):
+    pairs = R.clean_ratings(FX.ratings(spark, SF_SMALL), dedup="pair").select("user_id", "item_id", "rating").checkpoint()
+    users, items = R.dense_index(pairs, "user_id", "u_idx"), R.dense_index(pairs, "item_id", "i_idx")
+    res = SVD.svd_factors(pairs, users, items, k=4, center=center, max_driver_bytes=1)
+    assert res.status == "ok" and len(res.singular_values) == 4 and res.item_factors.count() > 0
+    assert (res.user_means is None) == (center is None)
