@@ -24,6 +24,7 @@ from tastemap.config import DEFAULTS
 from tastemap.operators import als as ALS
 from tastemap.operators import features as FE
 from tastemap.operators import metrics as M
+from tastemap.operators import profile as PR
 from tastemap.operators import ratings as R
 from tastemap.operators import recommend as REC
 from tastemap.operators import split as S
@@ -39,7 +40,10 @@ class PipelineConfig:
     k: int = DEFAULTS.top_k
     split: str = "holdout"            # or "random"
     cross_validate: bool = False      # True: grid search (small=True for the reduced grid)
-    small_grid: bool = True
+    small_grid: bool = False
+    max_ratings: int | None = None    # repeatable cap on the ratings, as a run option
+    min_rating: float | None = None   # kNN: only items rated at least this vote
+    center: str | None = None         # SVD on ratings less the user's mean
     als: ALS.AlsParams = field(default_factory=ALS.AlsParams)
     svd_k: int = DEFAULTS.svd_k
     use_sigma: bool = True
@@ -103,6 +107,8 @@ def prepare(ratings_raw: DataFrame, split: str = "holdout", bucket: bool = False
 def run(spark: SparkSession, ratings_raw: DataFrame, items: DataFrame | None = None,
         cfg: PipelineConfig = PipelineConfig()) -> PipelineResult:
     ensure_checkpoint_dir(spark)
+    if cfg.max_ratings is not None:
+        ratings_raw = S.capped_rows(R.clean_ratings(ratings_raw), cfg.max_ratings)
     clean, train, test = prepare(ratings_raw, cfg.split, bucket=cfg.bucket_split)
     truth = M.truth_sets(test)
     users = test.select("user_id").distinct()
@@ -116,6 +122,10 @@ def run(spark: SparkSession, ratings_raw: DataFrame, items: DataFrame | None = N
             sinks.write_table(feats.select("user_id", "item_id", "rating", "features"),
                               f"{cfg.output_uri}/features.parquet")
 
+    if cfg.output_uri:
+        for name, profile in (("ratings", PR.rating_distribution), ("per_item", PR.hist_per_item), ("per_user", PR.hist_per_user)):
+            sinks.write_table(profile(clean), f"{cfg.output_uri}/profiles/{name}.parquet")
+
     def done(lists_: dict, out: list, name: str, recs: DataFrame, rows: DataFrame) -> None:
         # the few metric rows are made here and the lists written here, so that a failure
         # in either stays with its model
@@ -152,7 +162,7 @@ def run(spark: SparkSession, ratings_raw: DataFrame, items: DataFrame | None = N
                 uidx = R.dense_index(clean, "user_id", "u_idx")
                 iidx = R.dense_index(clean, "item_id", "i_idx")
                 res = SVD.svd_factors(R.dedup_pairs(train).select("user_id", "item_id", "rating"), uidx, iidx,
-                                      cfg.svd_k, use_sigma=cfg.use_sigma, method=cfg.svd_method)
+                                      cfg.svd_k, use_sigma=cfg.use_sigma, center=cfg.center, method=cfg.svd_method)
                 if res.status != "ok":
                     out.append(M.status_row(spark, "SVD", "skipped", res.status))
                 else:
@@ -174,7 +184,7 @@ def run(spark: SparkSession, ratings_raw: DataFrame, items: DataFrame | None = N
                     out.append(M.status_row(spark, "kNN", "skipped", "no item factors"))
                 else:
                     nb = REC.item_neighbors(item_factors, cfg.neighbors)
-                    recs = REC.knn_recommend(REC.knn_votes(train, nb), users, cfg.k).checkpoint(eager=True)
+                    recs = REC.knn_recommend(REC.knn_votes(train, nb, cfg.min_rating), users, cfg.k).checkpoint(eager=True)
                     done(lists_, out, "kNN", recs, M.metrics_long("kNN", M.ranking_metrics(recs, truth, cfg.k, list_users=users)))
             except Exception as exc:
                 log.exception("kNN failed")
@@ -214,4 +224,5 @@ def run(spark: SparkSession, ratings_raw: DataFrame, items: DataFrame | None = N
     if cfg.output_uri:
         sinks.write_metrics(metrics, f"{cfg.output_uri}/metrics")
         metrics = spark.read.schema(metrics.schema).json(f"{cfg.output_uri}/metrics")
+        sinks.write_table(M.compare_models(metrics), f"{cfg.output_uri}/comparison.parquet")
     return PipelineResult(metrics, lists, train, test)

@@ -89,6 +89,23 @@ def q_scan_csv_ratings(spark, sf):
     return R.clean_ratings(tables.scan_ratings(spark, path), dedup="none")
 
 
+@register("scan_parquet_ratings", with_ctes("SELECT user_id, item_id, rating FROM ratings", "ratings"))
+def q_scan_parquet_ratings(spark, sf):
+    """S2 by suffix, with the item column under its other accepted name."""
+    path = scratch_path(spark, "ratings") + ".parquet"
+    FX.ratings(spark, sf).withColumnRenamed("item_id", "book_id").write.parquet(path)
+    return tables.scan_ratings(spark, path)
+
+
+@register("source_preference_parquet", with_ctes("SELECT user_id, item_id, rating FROM ratings WHERE rating >= 3", "ratings"))
+def q_source_preference_parquet(spark, sf):
+    """Both copies exist and differ, so the rows tell that the Parquet one was read."""
+    base = scratch_path(spark, "both")
+    FX.ratings(spark, sf).write.option("header", "true").csv(f"{base}/ratings.csv")
+    FX.ratings(spark, sf).filter("rating >= 3").write.parquet(f"{base}/ratings.parquet")
+    return tables.scan_ratings_any(spark, [f"{base}/ratings.parquet", f"{base}/ratings.csv"])
+
+
 @register("csv_to_parquet", with_ctes("SELECT user_id, item_id, rating FROM ratings", "ratings"))
 def q_csv_to_parquet(spark, sf):
     csv = scratch_path(spark, "stage-csv")
@@ -576,6 +593,15 @@ def q_top_categories(spark, sf):
     return FE.top_categories(enriched(spark, sf), "authors", TOP_N)
 
 
+@register("top_categories_default", with_ctes("""SELECT authors, n_ratings FROM (
+  SELECT authors, count(*) AS n_ratings FROM enriched GROUP BY authors
+  ORDER BY n_ratings DESC, authors ASC NULLS FIRST LIMIT 200) t
+WHERE authors IS NOT NULL AND authors <> ''""", "enriched"))
+def q_top_categories_default(spark, sf):
+    """The documented default of 200 categories."""
+    return FE.top_categories(enriched(spark, sf), "authors")
+
+
 _TOPCAT = """topcat AS (SELECT authors FROM (
   SELECT authors, count(*) AS n_ratings FROM enriched GROUP BY authors
   ORDER BY n_ratings DESC, authors ASC NULLS FIRST LIMIT 10) t WHERE authors IS NOT NULL AND authors <> ''),

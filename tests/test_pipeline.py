@@ -23,6 +23,19 @@ def test_pipeline_all_models(spark):
     assert spark.read.json(f"{out}/metrics").count() == len(rows)
     assert spark.read.parquet(f"{out}/recommendations/knn").count() > 0
     assert spark.read.parquet(f"{out}/features.parquet").count() > 0
+    for name in ("ratings", "per_item", "per_user"):
+        assert spark.read.parquet(f"{out}/profiles/{name}.parquet").count() > 0
+    assert {r["model"] for r in spark.read.parquet(f"{out}/comparison.parquet").collect()} == {"ALS", "SVD", "kNN"}
+    assert ALS.load(f"{out}/models/als").rank == 5
+
+
+def test_failure_in_lazy_metrics_stays_with_its_model(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(PL.ALS, "predict_any", lambda f, p: p.withColumn("prediction", F.raise_error(F.lit("boom")).cast("double")))
+    cfg = PL.PipelineConfig(als=ALS.AlsParams(rank=3, iters=2), svd_k=4)
+    rows = PL.run(spark, FX.ratings(spark, SF_SMALL), None, cfg).metrics.collect()
+    assert [r["status"][:5] for r in rows if r["model"] == "ALS"] == ["error"]
+    assert {r["model"] for r in rows if r["status"] == "ok"} == {"SVD", "kNN"}
 
 
 def test_pipeline_failure_isolated(spark):
@@ -81,7 +94,7 @@ def test_top_categories_null_uses_slot(spark):
     top = [r["authors"] for r in FE.top_categories(df, "authors", 2).collect()]
     assert top == ["x"]
     col = FE.collapse_categories(df, FE.top_categories(df, "authors", 2))
-    assert {r["authors_top"] for r in col.collect()} == {"unknown", "x", "other"}
+    assert {r["authors_kept"] for r in col.collect()} == {"unknown", "x", "other"}
 
 
 def test_knn_min_rating_and_svd_options(spark):
