@@ -116,7 +116,14 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     class_n, class_v = np.zeros(gru.RARE), np.zeros(gru.RARE)
     for c, n, v in by:
         class_n[c], class_v[c] = n, v
-    rows = counts.filter(F.col("word") != END).orderBy(F.desc("n"), "word").limit(COMMON).collect()
+    # a cut near the wanted number first, so that tasks do not each send as many rows to the driver
+    level = F.floor(F.log2("n") * 16).cast("long")
+    cut, have = 0, 0
+    for lv, m in counts.groupBy(level.alias("lv")).count().orderBy(F.desc("lv")).collect():
+        cut, have = lv, have + m
+        if have > COMMON:
+            break
+    rows = counts.filter((F.col("word") != END) & (level >= cut)).orderBy(F.desc("n"), "word").limit(COMMON).collect()
     rows += counts.filter(F.col("word") == END).collect()
     return Vocabulary([tuple(r) for r in rows], int(total[0] or 0), int(total[1]), class_n, class_v)
 
