@@ -20,6 +20,7 @@ _rng = np.random.default_rng(20240611)
 BYTE_CODE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * _U(2) + _U(1)
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, 9, 10, 11, 12, 13]] = True
+WORD_CODE = np.where(IS_SPACE, np.uint64(0), BYTE_CODE)
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 _STEP = int(_rng.integers(1, 2**62)) * 2 + 1
@@ -102,10 +103,11 @@ class Words:
         if not len(self.start):
             return np.zeros(0, np.uint64)
         s0 = self.start[0]
-        code = BYTE_CODE[self.data[s0:]]
-        code[IS_SPACE[self.data[s0:]]] = 0
+        code = WORD_CODE[self.data[s0:]]
         gap = np.diff(np.append(self.start, len(self.data)))
-        place = np.arange(len(code)) - np.repeat(self.start - s0, gap)
+        kind = np.int32 if len(code) < 1 << 31 else np.int64
+        place = np.arange(len(code), dtype=kind)
+        place -= np.repeat((self.start - s0).astype(kind), gap)
         code *= powers(int(gap.max()))[place]
         h = np.add.reduceat(code, self.start - s0)
         return mix(h + (self.end - self.start).astype(np.uint64) * GRAM_CODE[63])
