@@ -36,7 +36,7 @@ from .frames import arrow_map, table
 # (letters and digits are tried first and never given back: the same matches, found sooner)
 PATTERN = r" ?\p{L}++| ?\p{N}++|'(?:s|t|re|ve|m|ll|d)| ?[^\s\p{L}\p{N}]++|\s+(?!\S)|\s+"
 
-BLOCK_CHARS = 2_000_000
+BLOCK_CHARS = 1_000_000
 STORE_WORDS = 200_000
 _NONE = np.int64(1) << 40
 
