@@ -10,15 +10,17 @@ characters is a candidate. Its encoding is inferred (hex, base 32, lower-case le
 and digits, base 64), its symbols are numbered in that alphabet, and three scores that
 are about standard normal for a random string are taken: chi-squared uniformity of
 the alphabet, number of runs above and below the alphabet's middle, and
-serial correlation. The sum of their squares is the token's statistic (small: looks random).
-Tokens of letters only, apart from a capital at the start, are the reference population of
-ordinary text. Per length stratum the share of the reference with a statistic at most as
-small is the p-value of a candidate, and the false-discovery rate is held
-at ``FDR`` per stratum (step-up rule on the histogram of p-values). Histograms are
-counts, so they add up over any partitioning, and only they are compared with each other.
-Candidates that pass and overlap no pattern span are added as kind ``random``. Digit
-strings are numbers and not candidates. With too little reference text no p-value can be
-small, and nothing is added.
+serial correlation. A candidate is random when it keeps away from ordinary text in all
+three, so its p-value is the largest of three, each from the score's known distribution at
+the token's own length and alphabet if the text were ordinary: symbols that repeat at the
+rate ``REPEAT`` (at least ``LEAST`` times the uniform rate; noncentral chi-squared in
+its cube-root normal form), and neighbours that depend on each other by ``DEPEND`` (normal, for
+runs and serial correlation). No other token of the table enters a p-value. The
+false-discovery rate is held at ``FDR`` per length stratum (step-up rule on the histogram
+of p-values). Histograms are counts, so they add up over any partitioning, and only they
+are compared with each other. Tokens of letters only, apart from a capital at the start, are
+words; they, like digit strings, are not candidates.
+Candidates that pass and overlap no pattern span are added as kind ``random``.
 
 Defined results: null and empty texts have no spans; rows with a null id are scanned
 like others; repeated rows give repeated results; only the named columns are read.
@@ -40,8 +42,10 @@ KINDS = ["assign", "access", "hex", "random"]
 MIN_TOKEN = 16
 TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}+" % MIN_TOKEN
 FDR = 0.05
-STEP = 4          # statistic buckets per unit
-TOP_BUCKET = 4000
+REPEAT = 0.05     # least share of equal pairs of symbols in ordinary text (English letters 0.067, German 0.076)
+LEAST = 2.0       # and in small alphabets, in uniform shares
+DEPEND = 0.8      # correlation of neighbours in ordered text
+STEP = 16         # buckets of p-values per halving
 ALPHABETS = {     # encoding: (pattern, symbols)
     "hex": ("^(?:[0-9a-f]+|[0-9A-F]+)$", "0123456789abcdef"),
     "base32": ("^[A-Z2-7]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
@@ -82,8 +86,20 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         F.when(F.regexp_like(t, F.lit(TOKEN)), places(t, TOKEN)).otherwise(none).alias("tokens"))
 
 
+def normal(x):
+    """Share of the standard normal distribution below ``x`` (Abramowitz and Stegun 26.2.17)."""
+    def share(v):
+        z = F.least(F.abs(v), F.lit(30.0))
+        t = 1 / (1 + 0.2316419 * z)
+        poly = t * (0.319381530 + t * (-0.356563782 + t * (1.781477937 + t * (-1.821255978 + t * 1.330274429))))
+        tail = F.exp(-z * z / 2) * (poly * 0.3989422804014327)
+        return F.when(v < 0, tail).otherwise(1 - tail)
+
+    return F.transform(F.array(x), share)[0]  # ``x`` stands in the plan once
+
+
 def battery(tokens: DataFrame) -> DataFrame:
-    """``tokens`` (with a column ``m``) plus ``encoding``, ``plain`` (ordinary letters) and the ``statistic``."""
+    """``tokens`` (with a column ``m``) plus ``encoding``, ``plain`` (ordinary letters), the sum of squares ``statistic`` and ``p``."""
     kind, symbols = F.lit("base64"), F.lit(ALPHABETS["base64"][1])
     for name, (pattern, alphabet) in reversed(ALPHABETS.items()):
         if pattern:
@@ -119,8 +135,16 @@ def battery(tokens: DataFrame) -> DataFrame:
     # a constant half or string has nothing to turn: as far from random as the length allows
     z_runs = F.when((n1 == 0) | (n2 == 0), F.sqrt("_n")).otherwise(z_runs)
     z_serial = F.when(var > 0, lag / var * F.sqrt("_n")).otherwise(F.sqrt("_n"))
-    stat = z_chi * z_chi + z_runs * z_runs + z_serial * z_serial
-    return d.select(*tokens.columns, "encoding", "plain", stat.alias("statistic"))
+    # each score's distribution in ordinary text of this length: noncentral chi-squared, and normal around DEPEND
+    off = F.col("_n") * (F.greatest(F.col("_a") * REPEAT, F.lit(LEAST)) - 1)
+    spread = 2 * (df + 2 * off) / (9 * (df + off) * (df + off))
+    alike = (F.pow(F.greatest(F.col("_chi"), F.lit(0.0)) / (df + off), F.lit(1 / 3)) - (1 - spread)) / F.sqrt(spread)
+    ordered = F.greatest(F.abs("_runs"), F.abs("_serial")) - DEPEND * F.sqrt("_n")
+    d = d.select("*", z_chi.alias("_uniform"), z_runs.alias("_runs"), z_serial.alias("_serial"))
+    stat = F.col("_uniform") * F.col("_uniform") + F.col("_runs") * F.col("_runs") + F.col("_serial") * F.col("_serial")
+    # the largest p-value belongs to the score nearest to ordinary text
+    d = d.select("*", stat.alias("statistic"), F.greatest(alike, ordered).alias("_z"))
+    return d.select(*tokens.columns, "encoding", "plain", "statistic", normal(F.col("_z")).alias("p"))
 
 
 def stratum(n):
@@ -130,17 +154,16 @@ def stratum(n):
 
 def discoveries(tested: DataFrame) -> DataFrame:
     """Rows of ``tested`` that are not ``plain`` and pass the false-discovery control of their length stratum."""
-    t = tested.select("*", stratum(F.length("m")).alias("stratum"),
-                      F.least(F.floor(F.col("statistic") * STEP), F.lit(TOP_BUCKET)).cast("int").alias("bucket"))
-    hist = t.groupBy("stratum", "bucket").agg(F.sum(F.col("plain").cast("long")).alias("ref"),
-                                              F.sum((~F.col("plain")).cast("long")).alias("cand"))
-    up = W.partitionBy("stratum").orderBy("bucket")
+    t = tested.filter("not plain").select("*", stratum(F.length("m")).alias("stratum"),
+                                          F.floor(-F.log2("p") * STEP).cast("int").alias("bucket"))
+    hist = t.groupBy("stratum", "bucket").agg(F.count("*").alias("n"))
+    down = W.partitionBy("stratum").orderBy(F.desc("bucket"))
     all_ = W.partitionBy("stratum")
-    p = (F.sum("ref").over(up) + 1) / (F.sum("ref").over(all_) + 1)
-    ranked = hist.select("stratum", "bucket", p.alias("p"), F.sum("cand").over(up).alias("k"), F.sum("cand").over(all_).alias("m"))
-    limit = ranked.filter("cast(k as double) > 0").filter(F.col("p") <= F.col("k") / F.col("m") * FDR).groupBy("stratum").agg(
-        F.max("bucket").alias("limit"))
-    return t.join(limit, "stratum").filter("not plain and bucket <= limit").drop("stratum", "bucket", "limit")
+    ranked = hist.select("stratum", "bucket", F.sum("n").over(down).alias("k"), F.sum("n").over(all_).alias("m"))
+    # the bucket's largest p-value stands for all in it
+    limit = ranked.filter(F.pow(F.lit(2.0), -F.col("bucket") / STEP) <= F.col("k") / F.col("m") * FDR).groupBy("stratum").agg(
+        F.min("bucket").alias("limit"))
+    return t.join(limit, "stratum").filter("bucket >= limit").drop("stratum", "bucket", "limit")
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -153,7 +176,8 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     found = found.select("*", F.sort_array(base_spans).alias("base"))
     tokens = found.filter(F.size("tokens") > 0).select("id", "text_key", "base", F.explode("tokens").alias("x")).select(
         "id", "text_key", "base", "x.s", "x.e", "x.m").filter(~F.col("m").rlike("^[0-9+/_-]+$"))
-    hits = discoveries(battery(tokens)).filter(
+    tested = saved(battery(tokens).filter("not plain"), "tested")
+    hits = discoveries(tested).filter(
         ~F.exists("base", lambda b: (b["s"] < F.col("e")) & (F.col("s") < b["e"])))
     extra = hits.groupBy("id", "text_key").agg(F.collect_set(F.struct("s", F.lit(3).alias("k"), "e")).alias("extra")).select(
         F.col("id").alias("id2"), F.col("text_key").alias("key2"), "extra")

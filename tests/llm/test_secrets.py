@@ -1,10 +1,14 @@
 import contextlib
 import hashlib
 import io
+import math
 import random
 import re
 import string
 
+import pytest
+from pyspark.sql import functions as F
+
 import messy
 from conftest import SF_SMALL
 from tastemap.llm import secrets
@@ -95,3 +99,27 @@ def test_no_python_in_the_plan(spark):
         secrets.scan(messy.docs(spark)).explain()
         secrets.discoveries(secrets.battery(spark.createDataFrame([("abc" * 8,)], "m string"))).explain()
     assert "Python" not in buf.getvalue() and "Arrow" not in buf.getvalue()
+
+
+@pytest.mark.parametrize("n", [20, 24, 32, 40, 64])
+def test_recall_per_length_without_words_of_that_length(spark, n):
+    """Random strings are found at every length, also in a table of a few rows and with no ordinary token beside them."""
+    r = random.Random(n)
+    keys = ["".join(r.choices(string.ascii_letters + string.digits, k=n)) for _ in range(60)]
+    words = "".join(f"the_name_of_variable_{i}_and_its_long_other_name_in_the_table"[:n].ljust(n, "e") + " " for i in range(10)).split()
+    ramp = (string.ascii_lowercase + string.digits) * 2
+    rows = [(i, f"see {k} here", "en", "s") for i, k in enumerate(keys + words + [ramp[:n - 1] + "7", "Ab9" * (n // 3)])]
+    hit = {x.doc_id for x in secrets.find_secrets(spark.createDataFrame(rows, messy.SCHEMA)).collect() if len(x.all_spans)}
+    assert sum(i < 60 for i in hit) >= (54 if n >= 32 else 40) and not any(i >= 60 for i in hit)
+
+
+def test_one_document_alone(spark):
+    key = "q7Zt0LxV9bKd3RmWc5YhTn8JpEu2GsAf"
+    got = secrets.find_secrets(spark.createDataFrame([(1, f"see {key}", "en", "s")], messy.SCHEMA)).first()
+    assert [tuple(s) for s in got.all_spans] == [(4, 3, 36)]
+
+
+def test_normal_shares(spark):
+    xs = [-8.0, -5.0, -3.0, -1.0, 0.0, 0.5, 2.0, 6.0]
+    got = spark.createDataFrame([(x,) for x in xs], "x double").select("x", secrets.normal(F.col("x")).alias("p")).collect()
+    assert all(abs(r.p / (0.5 * math.erfc(-r.x / 2 ** 0.5)) - 1) < (1e-4 if r.x > -4 else 0.02) for r in got)
