@@ -10,9 +10,10 @@ most frequent words fill 16 classes of 64, every other word belongs to one of
 48 classes by its last two bytes and gets the add-one share of its count in
 that class. Before training the biases equal the unigram shares; training is data-parallel:
 in each of ``ROUNDS`` rounds every partition runs truncated backpropagation over its share
-(1 in ``SHARE`` documents by hash, another part each round, growing with the input)
-from the common parameters, and the results are averaged, weighted by tokens, in a
-grouped sum on the executors. Scoring carries the state across windows, so a
+of a part of the training documents from the common parameters, and the results are
+averaged, weighted by tokens, in a grouped sum on the executors. The parts are dealt by a
+hash of id and text and there are as many as rounds, so every training document, also one
+without an id, is trained on once. Scoring carries the state across windows, so a
 document's likelihood is that of its whole token sequence.
 
 Defined results: a null text is empty and has the end token only; null ids are carried and count as
@@ -31,8 +32,9 @@ from . import gru, textkit as tk
 from .frames import arrow_map, crc_mod, saved, table
 
 COMMON = 65_536
-SHARE, ROUNDS = 16, 2
+ROUNDS = 2
 RATE = 0.02
+PASS_TOKENS = 2 << 20  # tokens a task trains on at a time
 END = 1 << 40  # the end token's number among the word hashes
 CHUNK = 8 << 20
 _U = np.uint64
@@ -129,29 +131,31 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
 
 
 def fit(docs: DataFrame, vocab: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> dict:
-    """Network parameters after ``ROUNDS`` rounds of training on the executors."""
+    """Network parameters after ``ROUNDS`` rounds of training on the executors, which pass over all of ``docs`` once."""
     sc = docs.sparkSession.sparkContext
     params = gru.new(vocab.counts, vocab.class_n + vocab.class_v + 1)
     shared_vocab = sc.broadcast(vocab)
-    part = F.pmod(F.xxhash64(F.col(id_col)), F.lit(SHARE))
+    part = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(ROUNDS))
     for k in range(ROUNDS):
         shared = sc.broadcast(params)
         rate = RATE / (1 + k)
 
         def run(batches, shared=shared, rate=rate):
-            p, weight = shared.value, 0
+            p, weight, ids, first, held = shared.value, 0, [], [], 0
             for batch in batches:
-                ids, first = [], []
                 for _, _, words, h in _blocks(batch.column(0)):
                     token, bound, _, _ = shared_vocab.value.tokens(words, h)
                     ids.append(token)
                     begin = np.zeros(len(token), bool)
                     begin[bound[:-1]] = True
                     first.append(begin)
-                if ids:
-                    ids, first = np.concatenate(ids), np.concatenate(first)
-                    p = gru.train(p, ids, first, rate)
-                    weight += len(ids)
+                    held += len(token)
+                    if held >= PASS_TOKENS:
+                        p = gru.train(p, np.concatenate(ids), np.concatenate(first), rate)
+                        weight, ids, first, held = weight + held, [], [], 0
+            if held:
+                p = gru.train(p, np.concatenate(ids), np.concatenate(first), rate)
+                weight += held
             if weight:
                 yield pa.RecordBatch.from_arrays([pa.array([weight], pa.int64()), pa.array([gru.pack(p).tolist()], pa.list_(pa.float32()))],
                                                  names=["weight", "p"])

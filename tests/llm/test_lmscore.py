@@ -1,10 +1,13 @@
 import collections
 import math
 import re
+import types
+import uuid
 import zlib
 
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 
 import messy
 from conftest import SF_MID
@@ -109,3 +112,27 @@ def test_model_beats_counts_on_held_out_documents(spark):
     assert sum(r.score > r.base_score for r in held) > 0.75 * len(held)
     rows = [tuple(r) for r in spark.read.parquet(f"{SF_MID}/documents.parquet").select("doc_id", "text").collect()]
     check_base(rows, [(r.doc_id, r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in got])
+
+
+def test_every_training_document_is_trained_on_once(spark, monkeypatch, tmp_path):
+    """The tokens that pass through training are those of the training table, rows without an id among them."""
+    docs = messy.docs(spark, messy.TEXTS + [(None, f"no number {i} here", "en", "a") for i in range(40)]
+                      + [(100 + i, f"the text of number {i}", "en", "a") for i in range(200)])
+    train, out = gru.train, str(tmp_path)
+
+    def noted(p, ids, first, rate):
+        with open(f"{out}/{uuid.uuid4().hex}", "w") as f:
+            f.write(f"{len(ids)} {int(first.sum())}")
+        return train(p, ids, first, rate)
+
+    monkeypatch.setattr(lmscore, "gru", types.SimpleNamespace(**{**vars(gru), "train": noted}))
+    # tasks get ``fit`` by value, so that what is noted is what they run
+    cloudpickle.register_pickle_by_value(lmscore)
+    try:
+        vocab = lmscore.vocabulary(lmscore.word_counts(docs))
+        lmscore.fit(docs, vocab)
+    finally:
+        cloudpickle.unregister_pickle_by_value(lmscore)
+    seen = [tuple(map(int, f.read_text().split())) for f in tmp_path.iterdir()]
+    assert sum(n for n, _ in seen) == vocab.total
+    assert sum(d for _, d in seen) == docs.count()
