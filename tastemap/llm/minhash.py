@@ -45,6 +45,7 @@ R_LONG, B_LONG = 12, 12
 SHINGLE_WORDS = 5
 PERCENT = 80
 BIT_PLANES = 4
+SET_KEY = ["id", "s1", "s2"]
 _U = np.uint64
 _ROUND = np.arange(1, 2 * T + 1, dtype=np.uint64) * tk.GRAM_CODE[1]
 
@@ -110,6 +111,17 @@ def _sets_of(column, k: int):
         yield i, j, r, v, bound
 
 
+def _set_hash(v: np.ndarray, bound: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128-bit hash of each set, in two halves."""
+    m = len(bound) - 1
+    some = np.flatnonzero(np.diff(bound))
+    s1, s2 = np.zeros(m, np.uint64), np.zeros(m, np.uint64)
+    if len(v):
+        s1[some] = np.add.reduceat(tk.mix(v * tk.GRAM_CODE[40]), bound[:-1][some])
+        s2[some] = np.add.reduceat(tk.mix(v * tk.GRAM_CODE[41]), bound[:-1][some])
+    return s1.view(np.int64), s2.view(np.int64)
+
+
 def sketch_table(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
     """One row a document: set size, 128-bit set hash, band keys and the sketch's low bits."""
     def run(batches):
@@ -118,16 +130,12 @@ def sketch_table(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFra
             for i, j, r, v, bound in _sets_of(batch.column(1), k):
                 m = j - i
                 n = np.diff(bound)
-                some = np.flatnonzero(n)
-                s1, s2 = np.zeros(m, np.uint64), np.zeros(m, np.uint64)
-                if len(v):
-                    s1[some] = np.add.reduceat(tk.mix(v * tk.GRAM_CODE[40]), bound[:-1][some])
-                    s2[some] = np.add.reduceat(tk.mix(v * tk.GRAM_CODE[41]), bound[:-1][some])
+                s1, s2 = _set_hash(v, bound)
                 sk = sketches(r, v, m)
                 keys = np.concatenate([_bands(sk, R, B, 1), _bands(sk, R_LONG, B_LONG, 2)], 1)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(i, m), pa.array(n.astype(np.int64)), pa.array(s1.view(np.int64)),
-                     pa.array(s2.view(np.int64)), _lists(keys), _lists(_planes(sk))],
+                    [ids.slice(i, m), pa.array(n.astype(np.int64)), pa.array(s1), pa.array(s2),
+                     _lists(keys), _lists(_planes(sk))],
                     names=["id", "n", "s1", "s2", "keys", "planes"])
 
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -135,17 +143,27 @@ def sketch_table(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFra
 
 
 def set_table(docs: DataFrame, id_col: str, text_col: str, k: int, ids: DataFrame) -> DataFrame:
-    """Full shingle sets of the documents in ``ids``."""
+    """Full shingle sets (with their hash) of the documents in ``ids``, one row per input row."""
     def run(batches):
         for batch in batches:
             for i, j, _, v, bound in _sets_of(batch.column(1), k):
+                s1, s2 = _set_hash(v, bound)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, j - i),
+                    [batch.column(0).slice(i, j - i), pa.array(s1), pa.array(s2),
                      pa.ListArray.from_arrays(pa.array(bound.astype(np.int32)), pa.array(v.view(np.int64)))],
-                    names=["id", "grams"])
+                    names=["id", "s1", "s2", "grams"])
 
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return arrow_map(src.join(ids, "id", "left_semi"), run, "id long, grams array<long>")
+    return arrow_map(src.join(ids, "id", "left_semi"), run, "id long, s1 long, s2 long, grams array<long>")
+
+
+def _one_row_per_set(sets: DataFrame) -> DataFrame:
+    """``sets`` with one row for each id and set; only ids with repeated rows are shuffled."""
+    repeated = saved(sets.groupBy(*SET_KEY).agg(F.count("*").alias("rows")).filter("rows > 1").select("id").distinct(), "repeated")
+    if repeated.isEmpty():
+        return sets
+    again = sets.join(repeated, "id", "left_semi").dropDuplicates(SET_KEY)
+    return saved(sets.join(repeated, "id", "left_anti").unionByName(again), "sets")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -171,7 +189,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     stars = hits.select("id", F.explode(F.array("lo", "hi")).alias("hub")).filter("id <> hub").select(
         F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
-    sets = saved(set_table(docs, id_col, text_col, k, hits.select("id").distinct()), "sets")
+    sets = _one_row_per_set(saved(set_table(docs, id_col, text_col, k, hits.select("id").distinct()), "sets"))
     first = components(verified(stars, sets, percent))
 
     # members of a bucket that are outside its largest component, against the others
@@ -181,8 +199,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     mixed = parts.groupBy("key").agg(F.max(F.struct("m", "c"))["c"].alias("main"), F.count("*").alias("parts"))
     open_ = short.join(mixed.filter("parts > 1").select("key", "main"), "key").groupBy("id", "c").agg(
         F.max(F.col("c") != F.col("main")).alias("outside"))
-    low = reps.select("id", "n", "planes").dropDuplicates(["id"])
-    rare = _rarest(saved(open_.join(low, "id").join(sets, "id"), "open"), percent)
+    low = reps.select(*SET_KEY, "n", "planes").dropDuplicates(SET_KEY)
+    rare = _rarest(saved(open_.join(low, "id").join(sets, SET_KEY), "open"), percent)
     x, y = rare.filter("outside").alias("x"), rare.alias("y")
     differ = sum((F.bit_count(_any_differs(w)) for w in range(PLANE_WORDS)), F.lit(0))
     pairs = x.join(y, F.col("x.g") == F.col("y.g")).filter(
@@ -212,17 +230,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def _rarest(docs: DataFrame, percent: int) -> DataFrame:
-    """``docs`` (with full sets ``grams``) as one row (g, place) for each of its rarest shingles.
+    """``docs`` (one row per id and set, with full sets ``grams``) as one row (g, place) for each of its rarest shingles.
 
     Two sets at the threshold share a shingle among the n - ceil(n * threshold) + 1
     rarest of either, so pairs that share none of these need no comparison.
     """
-    grams = docs.select("id", F.explode("grams").alias("g"))
+    grams = docs.select(*SET_KEY, F.explode("grams").alias("g"))
     ranked = grams.join(grams.groupBy("g").agg(F.count("*").alias("df")), "g").withColumn(
-        "place", F.row_number().over(W.partitionBy("id").orderBy("df", "g")))
+        "place", F.row_number().over(W.partitionBy(*SET_KEY).orderBy("df", "g")))
     n = F.col("n")
     most = n - F.ceil(n * percent / 100) + 1
-    return ranked.join(docs.drop("grams"), "id").filter(F.col("place") <= most).drop("df")
+    return ranked.join(docs.drop("grams"), SET_KEY).filter(F.col("place") <= most).drop("df")
 
 
 def _any_differs(w: int):

@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import messy
 from conftest import SF_SMALL
@@ -80,6 +81,39 @@ def test_chains_of_near_copies(spark, seed):
     check(spark, rows, 4)
 
 
+def chains(seed):
+    r = random.Random(seed)
+    word = lambda: r.choice("abcdefgh") + str(r.randrange(3000))
+    rows, n = [], 0
+    for _ in range(4):
+        base = [word() for _ in range(r.choice([30, 120]))]
+        versions = [base]
+        for _ in range(35):
+            v = list(r.choice(versions))
+            for _ in range(r.randrange(1, 5)):
+                v[r.randrange(len(v))] = word()
+            versions.append(v)
+        rows += [((n + i) * 7 % 1009, " ".join(v)) for i, v in enumerate(versions)]
+        n += len(versions)
+    return rows
+
+
+def test_rarest_shingles_of_repeated_rows(spark):
+    """A row given three times has the same rarest shingles and places as one given once."""
+    docs = spark.createDataFrame(chains(3), "id long, text string")
+
+    def rare(d):
+        sets = minhash._one_row_per_set(minhash.set_table(d, "id", "text", 4, d.select("id").distinct()))
+        rows = minhash._rarest(sets.withColumn("n", F.size("grams")), 80).select("id", "g", "place").collect()
+        return sorted(map(tuple, rows))
+    assert rare(docs) == rare(docs.union(docs).union(docs))
+
+
+def test_chains_with_every_row_given_twice(spark):
+    rows = chains(4)
+    check(spark, rows + rows, 4)
+
+
 def test_small_table_against_all_pairs(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()]
     check(spark, rows, 4)
