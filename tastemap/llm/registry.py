@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, contain, langid, lmscore, minhash, pii, quality, secrets, wordpiece
+from . import bpe, chat, contain, langid, lmscore, minhash, pii, quality, runs, secrets, wordpiece
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": bpe.op1,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": quality.op8,
     "op9_token_counts": wordpiece.op9,
     "op10_secrets": secrets.op10,
+    "op11_periodic_runs": runs.op11,
 }
 
 ORACLE: dict[str, str] = {
