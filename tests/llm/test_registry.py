@@ -16,7 +16,7 @@ def test_every_operator_is_registered_once():
 
 @pytest.mark.parametrize("name", sorted(registry.ORACLE))
 def test_query_matches_duckdb(spark, name):
-    tables = {t: spark.read.parquet(f"{SF_SMALL}/{t}.parquet").toArrow() for t in ("documents", "benchmark", "conversations")}
+    tables = {t: spark.read.parquet(f"{SF_SMALL}/{t}.parquet").toArrow() for t in ("documents", "benchmark", "conversations", "embeddings")}
     df = registry.QUERIES[name](spark, SF_SMALL)
     want = duck.rows(registry.ORACLE[name], **tables)
     assert sorted(df.columns) == sorted(want[0])
