@@ -146,11 +146,14 @@ def _blocks(column):
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> dict | None:
     """Model fitted on at most ``sample`` documents with a text and a language."""
-    rows = docs.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(
-        F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.xxhash64(F.col(id_col)).alias("key"))
-    place = F.row_number().over(W.partitionBy("lang").orderBy("key", "id"))
-    first = rows.select("*", place.alias("place")).filter(F.col("place") <= sample)
-    chosen = first.orderBy("place", "key", "lang").limit(sample).select("id").distinct()
+    # documents are chosen by hashes of id and text: rows without an id take part, equal rows count once
+    key = ["key", "text_key", "lang"]
+    src = docs.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(
+        F.xxhash64(id_col, text_col).alias("key"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"),
+        F.xxhash64(F.lit(1), id_col, text_col).alias("text_key"))
+    place = F.row_number().over(W.partitionBy("lang").orderBy("key", "text_key"))
+    first = src.select(*key).distinct().select("*", place.alias("place")).filter(F.col("place") <= sample)
+    chosen = first.orderBy("place", *key).limit(sample).select(*key)
 
     def run(batches):
         for batch in batches:
@@ -158,13 +161,12 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
                 x = vectors(data, off).astype(np.float16)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i), pa.array([v.tobytes() for v in x], pa.binary())],
-                    names=["id", "lang", "x"])
+                    names=["key", "lang", "x"])
 
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    picked = src.filter("text is not null and lang is not null").join(F.broadcast(chosen), "id", "left_semi")
-    kind = docs.schema[id_col].dataType.simpleString()
-    got = arrow_map(picked, run, f"id {kind}, lang string, x binary").collect()
-    got.sort(key=lambda r: (r["lang"], str(r["id"]), bytes(r["x"])))
+    # chosen has at most ``sample`` rows; repeated rows of a chosen one are dropped where they lie
+    picked = src.join(F.broadcast(chosen), key, "left_semi").dropDuplicates(key).select("key", "text", "lang")
+    got = arrow_map(picked, run, "key long, lang string, x binary").collect()
+    got.sort(key=lambda r: (r["lang"], r["key"], bytes(r["x"])))
     if not got:
         return None
     x = np.stack([np.frombuffer(bytes(r["x"]), np.float16) for r in got]).astype(np.float32)

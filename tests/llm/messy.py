@@ -20,10 +20,15 @@ TEXTS = [
     (11, "x" * 5000, "en", "a"),
     (12, "<|endoftext|> a<|endoftext|>", "en", "a"),
     (12, "another text under the same number", "en", "a"),
+    (10**13, "a wide number: mail w.x@y.org from 10.1.2.3, call +1 (555) 987-6543 today", "en", "c"),
+    (2**63 - 1, "the widest number: mail q@r.net and key 5500 0000 0000 0004", "de", "c"),
+    (-2**63, "the least number: see 192.168.0.1 or mail z@y.com", "en", "c"),
+    (-7, "a negative number with 4111-1111-1111-1111 in it", "en", "c"),
+    *[(None, f"row {i} without a number: mail n{i}@host{i}.org, 10.0.{i}.1", "fr", "d") for i in range(40)],
 ]
 SCHEMA = "doc_id long, text string, lang string, source string"
 CLASHES = ["id", "ids", "n_tokens", "key", "keys", "n", "s1", "grams", "row", "base", "all_spans", "text_key", "t", "x", "h",
-           "word", "rid", "weight", "p", "place", "component_id", "kept", "n_words", "tokens", "size", "part"]
+           "word", "rid", "weight", "p", "place", "component_id", "kept", "n_words", "tokens", "size", "part", "_row_key", "_row", "r", "c", "i"]
 
 
 def docs(spark, rows=TEXTS):

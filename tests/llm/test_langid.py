@@ -31,9 +31,9 @@ def test_awkward_rows(spark):
     docs = messy.docs(spark)
     model = langid.train(docs)
     got = langid.predict(docs, model).collect()
-    assert len(got) == len(messy.TEXTS) and model["names"] == ["de", "en"]
+    assert len(got) == len(messy.TEXTS) and model["names"] == ["de", "en", "fr"]
     for r in got:
-        assert r.lang_pred in ("de", "en", "und") and 0 <= r.score <= 1
+        assert r.lang_pred in ("de", "en", "fr", "und") and 0 <= r.score <= 1
         if r.doc_id in (3, 4, 5):
             assert r.lang_pred == "und" and r.score == 0
     only = spark.createDataFrame([(1, "123 !? 😀"), (2, "日本")], "doc_id long, text string")
@@ -48,6 +48,16 @@ def test_repeatable_and_one_language(spark):
     assert {r.lang_pred for r in langid.predict(docs, one).collect()} == {"en", "und"}
 
 
+def test_rows_without_an_id_teach_and_repeated_rows_count_once(spark):
+    docs = messy.docs(spark)
+    bare = langid.train(docs.withColumn("doc_id", docs.doc_id * None))
+    assert bare["names"] == ["de", "en", "fr"]
+    again = langid.train(docs.unionByName(docs).unionByName(docs.filter("doc_id = 10")))
+    assert all(np.allclose(x, y) for x, y in zip(langid.train(docs)["top"], again["top"]))
+    pure = docs.filter("lang = 'fr'")
+    assert {r.lang_pred for r in langid.predict(pure, langid.train(docs)).collect()} == {"fr"}
+
+
 def test_empty_table(spark):
     assert langid.train(messy.docs(spark, [])) is None
     assert {r.lang_pred for r in langid.predict(messy.docs(spark), None).collect()} == {"und"}
