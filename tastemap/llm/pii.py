@@ -144,7 +144,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     """Parameters of a tagger fitted on a bounded sample of windows labelled by the base spans."""
     def run(batches):
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1)
+            rows, texts = batch.column(0).to_numpy().view(np.uint64), batch.column(1)
             key, has, code, tag = [], [], [], []
             for r in _trigger_rows(texts):
                 text = texts[int(r)].as_py()
@@ -154,14 +154,15 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
                     w = t[s:s + LENGTH]
                     if w[0] and w[0] % 2 == 0:
                         continue  # begins inside a span
-                    key.append(int(tk.mix(np.array([(ids[r] or 0) * 1_000_003 + int(s)], np.int64).view(np.uint64))[0] >> np.uint64(1)))
+                    key.append(int(tk.mix(rows[r:r + 1] + tk.GRAM_CODE[:1] * np.uint64(s + 1))[0] >> np.uint64(1)))
                     has.append(bool(w.any()))
                     code.append(cut(c, np.array([s]))[0].tobytes())
                     tag.append(w.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(has, pa.bool_()), pa.array(code, pa.binary()),
                                               pa.array(tag, pa.binary())], names=["key", "has", "code", "tag"])
 
-    src = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
+    # windows are ordered by a hash of id, text and place, which rows without an id have too
+    src = docs.select(F.xxhash64(id_col, text_col), F.col(text_col).cast("string"))
     windows = saved(arrow_map(src, run, "key long, has boolean, code binary, tag binary"), "pii-windows")
     rows = []
     for has, n in windows.groupBy("has").count().collect():

@@ -1,3 +1,4 @@
+import hashlib
 import random
 import re
 
@@ -96,6 +97,25 @@ def test_awkward_rows(spark, params, with_model):
     assert all({tuple(x) for x in r.base} <= {tuple(x) for x in r.all_spans} for r in got)
 
 
+def test_query_against_plain_patterns(spark, tmp_path):
+    messy.docs(spark).select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{tmp_path}/documents.parquet")
+    got = pii.op5(spark, str(tmp_path)).collect()
+    assert len(got) == len(messy.TEXTS)
+    assert list(pii.KINDS) == ["email", "ip", "card", "phone"]
+    want = []
+    for i, text, _, _ in messy.TEXTS:
+        spans = plain(text or "")
+        said = [f"{pii.KINDS[k]}:{s}:{e}" for s, k, e in spans]
+        want.append((i, *[sum(k == n for _, k, _ in spans) for n in range(4)], hashlib.sha256(",".join(said).encode()).hexdigest(), tuple(said)))
+    have = [(r.doc_id, r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256) for r in got]
+    assert sorted(have, key=str) == sorted((w[:6] for w in want), key=str)
+    base = {w[0]: set(w[6]) for w in want if w[0] is not None and w[0] not in (1, 12)}
+    for r in got:
+        every = [x for x in r.spans.split(",") if x]
+        place = [(int(x.split(":")[1]), pii.KINDS.index(x.split(":")[0])) for x in every]
+        assert place == sorted(place) and base.get(r.doc_id, set()) <= set(every) and len(every) - r.n_added == r.n_email + r.n_ip + r.n_card + r.n_phone
+
+
 def test_redact_keeps_everything_else(spark, params):
     docs = messy.docs(spark)
     out = pii.redact(docs, params)
