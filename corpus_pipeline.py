@@ -1,51 +1,59 @@
 """Corpus cleaning pipeline: stages over `documents`, each written and read again.
 
 Each stage is called with the table its predecessor left and applies one operator of
-``tastemap.llm`` to all of it. Rows are told apart by id and text where ids may be null
-or repeated, so a decision about one row never falls on another.
+``tastemap.llm`` to all of it. Rows are told apart by id and text, or by a number of their own, where ids
+may be null or repeated, so a decision about one row never falls on another. Helper columns
+get names that the table does not have.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tastemap.llm import bpe, contain, minhash, pii, quality
 from tastemap.llm.frames import saved, table
 
-KEY = "_row_key"
 
+def _free(docs: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``docs`` has it."""
+    while name.lower() in map(str.lower, docs.columns):
+        name = "_" + name
+    return name
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``KEY``: the id and a hash of the text."""
+
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a column of the id and a hash of the text, and that column's name."""
+    key = _free(docs, "_row_key")
     ident = F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))
-    return docs.withColumn(KEY, F.concat_ws(":", ident, F.xxhash64("text").cast("string"), F.length("text").cast("string")))
+    return docs.withColumn(key, F.concat_ws(":", ident, F.xxhash64("text").cast("string"), F.length("text").cast("string"))), key
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go; null and empty texts are among them."""
-    keyed = _keyed(docs)
-    bad = quality.judge(keyed, KEY).filter("not kept").select(KEY).distinct()
-    return keyed.join(bad, KEY, "left_anti").select(docs.columns)
+    keyed, key = _keyed(docs)
+    bad = quality.judge(keyed, key).filter("not kept").select(key).distinct()
+    return keyed.join(bad, key, "left_anti").select(docs.columns)
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates (shingles of five words, similarity 0.8) the smallest id
-    stays, and of rows that share an id one; rows without an id are never linked and stay."""
-    found = saved(minhash.near_duplicates(docs).select("doc_id", "kept"), "near-duplicates")
-    out = docs.join(found.filter("not kept").select("doc_id").distinct(), "doc_id", "left_anti")
-    repeated = saved(found.filter("kept and doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated")
-    if not repeated.isEmpty():
-        order = [F.col(c).cast("string") for c in docs.columns]
-        again = out.join(repeated, "doc_id", "left_semi").withColumn(KEY, F.row_number().over(W.partitionBy("doc_id").orderBy(*order)))
-        out = out.join(repeated, "doc_id", "left_anti").unionByName(again.filter(F.col(KEY) == 1).drop(KEY))
-    return out.select(docs.columns)
+    """Of each group of near-duplicates (shingles of five words, similarity 0.8) the row with the smallest id
+    stays, one without an id only if none has one. Rows are linked by their texts alone: unlike texts under
+    one id both stay, and so does every row without words."""
+    row = _free(docs, "_row")
+    # numbers of rows, written once: reading the table twice must not number it anew
+    numbered = saved(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    found = minhash.near_duplicates(numbered.select(row, "text"), id_col=row).select(F.col(row).alias("r"), F.col("component_id").alias("c"))
+    named = saved(found.join(numbered.select(F.col(row).alias("r"), F.col("doc_id").alias("i")), "r"), "near-duplicates")
+    first = named.groupBy("c").agg(F.min(F.struct(F.col("i").isNull(), "i", "r"))["r"].alias("first"), F.count("*").alias("n"))
+    bad = named.join(first.filter("n > 1"), "c").filter("r <> first").select(F.col("r").alias(row))
+    return numbered.join(bad, row, "left_anti").select(docs.columns)
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold at least 80 % of the five-word shingles of a benchmark item go."""
-    keyed = _keyed(docs)
-    bad = contain.leaks(keyed, table(spark, sf_dir, "benchmark"), KEY).select(KEY).distinct()
-    return keyed.join(bad, KEY, "left_anti").select(docs.columns)
+    keyed, key = _keyed(docs)
+    bad = contain.leaks(keyed, table(spark, sf_dir, "benchmark"), key).select(key).distinct()
+    return keyed.join(bad, key, "left_anti").select(docs.columns)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +65,8 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each text, and the text decoded from them (a null text becomes empty)."""
+    """Token ids of each text, and the text decoded from them (a null text becomes empty). Columns named
+    ``ids``, ``n_tokens`` or ``ids_sha256`` are replaced by the stage's own."""
     tokenizer = bpe.default_tokenizer()
     carry = [c for c in docs.columns if c not in ("text", "ids", "n_tokens", "ids_sha256")]
     return bpe.decode(bpe.encode(docs, tokenizer, carry), tokenizer, keep_ids=True)

@@ -55,10 +55,16 @@ def test_stage_list_and_columns(spark):
     assert {"doc_id", "text", "ids", "n_tokens"} <= set(out.columns) and out.count() >= 0
 
 
-def test_one_row_of_repeated_ids_and_rows_without_id_stay(spark):
+def test_near_duplicates_are_told_by_text_not_by_id(spark):
     out = corpus_pipeline.dedup_stage(spark, messy.docs(spark), SF_SMALL).collect()
     ids = [r.doc_id for r in out]
-    assert ids.count(1) == 1 and 2 not in ids and ids.count(12) == 1 and ids.count(None) == 2
+    assert ids.count(1) == 1 and 2 not in ids and ids.count(12) == 2
+    assert {3, 4, 5, 6} <= set(ids) and (None, "one two") not in [(r.doc_id, r.text) for r in out]
+    assert all(r["_row_key"] == messy.CLASHES.index("_row_key") and r["_row"] == messy.CLASHES.index("_row") for r in out)
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, long + " x", "en", "a"), (9, long, "en", "a"), (5, long + " y", "en", "a"), (5, "quite another text", "en", "a"), (None, None, None, None), (None, None, None, None)]
+    out = corpus_pipeline.dedup_stage(spark, messy.docs(spark, rows), SF_SMALL)
+    assert sorted([(r.doc_id, r.text) for r in out.collect()], key=str) == sorted([(5, long + " y"), (5, "quite another text"), (None, None), (None, None)], key=str)
 
 
 def test_stages_on_an_empty_table(spark):
