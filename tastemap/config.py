@@ -39,7 +39,6 @@ class Defaults:
     hist_bins: int = 50
     # engine-side bounds (ours)
     max_broadcast_bytes: int = 64 << 20
-    max_driver_factor_bytes: int = 1 << 30
 
 
 DEFAULTS = Defaults()

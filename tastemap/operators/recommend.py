@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tastemap.config import DEFAULTS
 from tastemap.operators.ranking import top_k
-from tastemap.operators.scoring import factor_topk
+from tastemap.operators.scoring import factor_topk, neighbor_topk
 
 
 def user_factors_from_ratings(train: DataFrame, item_factors: DataFrame) -> DataFrame:
@@ -61,9 +61,7 @@ def factor_recommend(user_factors: DataFrame, item_factors: DataFrame, seen: Dat
 
 def item_neighbors(item_factors: DataFrame, n: int = DEFAULTS.knn_neighbors) -> DataFrame:
     """Top-n other items per item by dot product: ``(item_id, neighbor_id, score, rank)``."""
-    q = item_factors.select(F.col("item_id").alias("query_id"), "factor", F.lit(1).alias("self"))
-    cand = factor_topk(q, item_factors, n, extra="self")
-    cand = cand.filter(F.col("query_id") != F.col("item_id"))
+    cand = neighbor_topk(item_factors, n)
     cand = cand.select(F.col("query_id").alias("item_id"), F.col("item_id").alias("neighbor_id"), "score")
     return top_k(cand, "item_id", [F.col("score").desc(), F.col("neighbor_id").asc()], n)
 

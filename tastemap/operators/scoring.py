@@ -1,38 +1,40 @@
 """Top-scoring items for many query vectors.
 
-Scoring every user against every item is a product of two factor
-matrices; materialising the pairs as rows would make |users| x |items|
-rows. Here no pair becomes a row: the item factors are split into blocks
-whose size is checked before anything is broadcast, each block is
-broadcast once, and a ``mapInPandas`` task multiplies an Arrow batch of
-query vectors with the block (NumPy, float64) and emits only the best
-``k + extra`` items of each query row. ``extra`` is a per-row column:
-the number of items the caller will drop afterwards (items a user has
-already seen, or the query item itself), so the result stays exact after
-that filter. Blocks are merged with a per-group top-K.
-
-Scores are rounded to 9 decimals before ranking and ties go to the
-smaller item id, so the result does not depend on the summation order.
+Scoring every user against every item is a product of two factor matrices; as rows it would be
+|users| x |items|. Here both sides lie in blocks, one row a block, dealt to tasks by Spark; no
+factor passes through the driver and nothing is broadcast.
+
+* :func:`factor_topk`: item blocks are sorted by the length of their vectors, longest first. A task gets one
+  query block, then item blocks in that order, and keeps the best ``k + extra`` items of each query. A
+  block (and every later one) is skipped for a query when |query| x |longest item| cannot reach the
+  query's last kept score (Cauchy-Schwarz), so the result stays exact. ``extra`` is a
+  per-row column: the number of items the caller will drop afterwards (items a user has already
+  seen). Queries lie in blocks by falling ``extra``, so that a heavy one does not widen the others,
+  and a block has at most ``_KEPT`` kept items. Very large catalogues are cut into segments, one task each.
+* :func:`neighbor_topk`: items against themselves. Each pair of blocks is multiplied once, and the
+  product gives the best items of both sides.
+
+Scores are rounded to 9 decimals before ranking and ties go to the smaller item id, so the result does
+not depend on the blocks.
 """
 
 from __future__ import annotations
 
 import math
 import sys
-from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tastemap.config import DEFAULTS
 from tastemap.functions.exprs import SCORE_DECIMALS
+from tastemap.session import scratch_path
 
 # The scoring functions run in Python workers. They are shipped by value,
-# so executors need numpy and pandas but not this package on their path
+# so executors need numpy and pyarrow but not this package on their path
 # (``--py-files`` is still the way to ship the rest of the library).
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -41,114 +43,245 @@ OUT_SCHEMA = T.StructType([
     T.StructField("item_id", T.LongType()),
     T.StructField("score", T.DoubleType()),
 ])
+OUT_ARROW = pa.schema([("query_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64())])
+
+BLOCK_BYTES = 4 << 20   # bytes of a block of vectors at most
+QUERY_BLOCKS = 16       # blocks of a small query table at least, so that its work is shared
+QUERY_ROWS = 1 << 14    # queries of a block at most
+SEGMENT = 1 << 18       # items one task goes through at most
+MAX_PARTS = 4096        # partitions of a scoring pass at most
+_CELLS = 1 << 22        # score cells (x 8 bytes) held at once by one task
+_KEPT = 1 << 21         # kept items of a query block
+
+
+def _norm(c: str):
+    return F.sqrt(F.aggregate(c, F.lit(0.0), lambda s, x: s + x * x))
+
+
+def _size(df: DataFrame) -> tuple[int, int]:
+    """(rows, vector length); all vectors must have one length."""
+    st = df.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("factor")).alias("r"), F.min(F.size("factor")).alias("r0")).first()
+    if st["n"] and st["r0"] != st["r"]:
+        raise ValueError(f"factors have lengths {st['r0']}..{st['r']}; all must be equal")
+    return int(st["n"]), int(st["r"] or 0)
+
+
+def _blocks(df: DataFrame, order: list, per: int, rank: int) -> tuple[DataFrame, int]:
+    """``df (id, keep, norm, factor)`` in the total order ``order`` as rows ``(block, top, ids, keep, mat)`` of at most ``per``
+    vectors, numbered from 0 in that order, and their number."""
+    rows = df.repartitionByRange(*order).sortWithinPartitions(*order).select(
+        "id", "keep", "norm", "factor", F.spark_partition_id().alias("part"))
+    schema = pa.schema([("part", pa.int32()), ("seq", pa.int64()), ("top", pa.float64()), ("ids", pa.binary()), ("keep", pa.binary()), ("mat", pa.binary())])
 
-# Upper bound of score cells held at once by one task (x 8 bytes).
-_CELLS = 1 << 23
-# Score cells per task: sets the number of scoring tasks.
-_TASK_CELLS = 1 << 25
-
-
-def _block_plan(items: DataFrame, max_bytes: int) -> tuple[int, int, int]:
-    """(number of blocks, rank, items). One small aggregate; then block sizes
-    are counted and the count of blocks raised until every block fits."""
-    st = items.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("factor")).alias("r"),
-                   F.min(F.size("factor")).alias("r0")).first()
-    n, rank = int(st["n"] or 0), int(st["r"] or 0)
-    if n == 0:
-        return 0, rank, 0
-    if st["r0"] != rank:
-        raise ValueError(f"item factors have lengths {st['r0']}..{rank}; all must be equal")
-    per_item = 8 * (rank + 1)
-    blocks = max(1, math.ceil(n * per_item / max_bytes))
-    while blocks > 1:
-        largest = (items.groupBy(F.pmod(F.xxhash64("item_id"), F.lit(blocks)).alias("b"))
-                   .count().agg(F.max("count")).first()[0])
-        if largest * per_item <= max_bytes:
-            break
-        blocks *= 2
-    return blocks, rank, n
-
-
-def _topk_rows(scores: np.ndarray, item_ids: np.ndarray, keep: np.ndarray):
-    """Per row, the ``keep[row]`` best columns by (score desc, item id asc).
-    Returns (row index, column index) arrays in ranked order."""
-    n_rows, n_cols = scores.shape
-    kmax = int(min(keep.max(), n_cols))
-    if kmax <= 0:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    if kmax < n_cols:
-        # threshold per row at the kmax-th best score; ties at the threshold are all kept
-        thr = -np.partition(-scores, kmax - 1, axis=1)[:, kmax - 1]
-        rows, cols = np.nonzero(scores >= thr[:, None])
-    else:
-        rows, cols = np.divmod(np.arange(n_rows * n_cols), n_cols)
-    s = scores[rows, cols]
-    order = np.lexsort((item_ids[cols], -s, rows))
-    rows, cols = rows[order], cols[order]
-    # position within row
-    starts = np.searchsorted(rows, np.arange(n_rows))
-    pos = np.arange(rows.size) - starts[rows]
-    sel = pos < np.minimum(keep[rows], n_cols)
-    return rows[sel], cols[sel]
-
-
-def _score_fn(bc, k: int):
     def run(batches):
-        ids, mat = bc.value
-        n_items = ids.size
-        step = max(1, _CELLS // max(1, n_items))
-        for pdf in batches:
-            if pdf.empty or n_items == 0:
+        ids, keep, norm, mats, part, seq = [], [], [], [], None, 0
+
+        def flush():
+            i, k, m = np.concatenate(ids), np.concatenate(keep), np.concatenate(mats)
+            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([seq], pa.int64()), pa.array([max(norm)], pa.float64()),
+                                               *(pa.array([x.tobytes()], pa.binary()) for x in (i, k, m))], schema=schema)
+        for b in batches:
+            if not b.num_rows:
                 continue
-            q = np.vstack(pdf["factor"].to_numpy()).astype(np.float64)
-            qid = pdf["query_id"].to_numpy(dtype=np.int64)
-            keep = k + pdf["extra"].to_numpy(dtype=np.int64)
-            for a in range(0, len(q), step):
-                sc = np.round(q[a:a + step] @ mat.T, SCORE_DECIMALS)
-                r, c = _topk_rows(sc, ids, keep[a:a + step])
-                yield pd.DataFrame({"query_id": qid[a:a + step][r], "item_id": ids[c], "score": sc[r, c]})
-    return run
+            part = b.column(4)[0].as_py()
+            i, k, n = (b.column(c).to_numpy(zero_copy_only=False) for c in range(3))
+            v = b.column(3).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, rank)
+            a = 0
+            while a < len(i):
+                # a block's kept items are bounded too: its first row keeps the most where order goes by keep
+                most = max([int(k[a]), *(int(x.max()) for x in keep)])
+                room = max(1, min(per, _KEPT // max(most, 1))) - sum(map(len, ids))
+                if room <= 0:
+                    yield flush()
+                    ids, keep, norm, mats, seq = [], [], [], [], seq + 1
+                    continue
+                e = min(len(i), a + room)
+                ids.append(i[a:e])
+                keep.append(k[a:e])
+                norm.append(float(n[a:e].max()))
+                mats.append(v[a:e])
+                a = e
+        if ids:
+            yield flush()
+
+    path = scratch_path(df.sparkSession, "factor-blocks")
+    rows.mapInArrow(run, "part int, seq long, top double, ids binary, keep binary, mat binary").write.parquet(path)
+    out = df.sparkSession.read.parquet(path)
+    # numbers follow from the counts of the earlier partitions (one row a partition)
+    counts = sorted((r["part"], r["n"]) for r in out.groupBy("part").agg(F.count("*").alias("n")).collect())
+    start, starts = 0, []
+    for part, n in counts:
+        starts.append((part, start))
+        start += n
+    offset = out.sparkSession.createDataFrame(starts, "part int, start long")
+    return out.join(F.broadcast(offset), "part").select((F.col("start") + F.col("seq")).alias("block"), "top", "ids", "keep", "mat"), start
+
+
+def _cells_of(batches):
+    for b in batches:
+        for i in range(b.num_rows):
+            yield [c[i] for c in b.columns]
+
+
+def _ids(v) -> np.ndarray:
+    return np.frombuffer(v.as_buffer(), np.int64)
+
+
+def _mat(v, rank: int) -> np.ndarray:
+    return np.frombuffer(v.as_buffer(), np.float64).reshape(-1, rank)
+
+
+def _batch(q: np.ndarray, i: np.ndarray, s: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(q), pa.array(i), pa.array(s)], schema=OUT_ARROW)
+
+
+def _best(row: np.ndarray, ids: np.ndarray, score: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The ``keep[row]`` best of each row by (score desc, id asc)."""
+    order = np.lexsort((ids, -score, row))
+    row, ids, score = row[order], ids[order], score[order]
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    sel = place < keep[row]
+    return row[sel], ids[sel], score[sel]
+
+
+def _candidates(scores: np.ndarray, least: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of the cells that may be among a row's best: not below ``least`` nor the row's own ``keep``-th score."""
+    most = int(keep.max()) if len(keep) else 0
+    if 0 < most < scores.shape[1] and np.isneginf(least).any():
+        least = np.maximum(least, -np.partition(-scores, most - 1, axis=1)[:, most - 1])
+    return np.nonzero(scores >= least[:, None])
+
+
+class _Lists:
+    """Best items of the queries of one block."""
+
+    def __init__(self, ids: np.ndarray, keep: np.ndarray, mat: np.ndarray):
+        self.ids, self.keep, self.mat = ids, keep, mat
+        self.norm = np.sqrt(np.einsum("ij,ij->i", mat, mat))
+        self.row, self.item, self.score = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        self.least = np.where(keep > 0, -np.inf, np.inf)
+
+    def add(self, ids: np.ndarray, mat: np.ndarray, top: float) -> bool:
+        """Meets a block of items; False if neither it nor any shorter one can change a list."""
+        open_ = np.flatnonzero(self.norm * top * (1 + 1e-9) + 1e-8 >= self.least)
+        if not len(open_):
+            return False
+        step = max(1, _CELLS // len(ids))
+        for a in range(0, len(open_), step):
+            at = open_[a:a + step]
+            s = np.round(self.mat[at] @ mat.T, SCORE_DECIMALS)
+            r, c = _candidates(s, self.least[at], self.keep[at])
+            self.row = np.append(self.row, at[r])
+            self.item = np.append(self.item, ids[c])
+            self.score = np.append(self.score, s[r, c])
+        self.row, self.item, self.score = _best(self.row, self.item, self.score, self.keep)
+        # the last kept score of each full list bounds what may still enter
+        end = np.searchsorted(self.row, np.arange(len(self.ids)), "right")
+        full = (end - np.searchsorted(self.row, np.arange(len(self.ids)))) >= np.maximum(self.keep, 1)
+        self.least[full & (self.keep > 0)] = self.score[end[full & (self.keep > 0)] - 1]
+        return True
 
 
 def factor_topk(queries: DataFrame, items: DataFrame, k: int, extra: str | None = None,
-                max_block_bytes: int = DEFAULTS.max_broadcast_bytes) -> DataFrame:
+                max_block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """For each row of ``queries (query_id, factor[, extra])``, the best
     ``k + extra`` rows of ``items (item_id, factor)`` by dot product.
 
-    Output ``(query_id, item_id, score)``, unranked; per block at most
-    ``k + extra`` rows per query. Combine with :func:`top_k`."""
+    Output ``(query_id, item_id, score)``, unranked; at most ``k + extra`` rows per query
+    and segment of the catalogue. Combine with :func:`top_k`."""
     spark = queries.sparkSession
-    items = items.select(F.col("item_id").cast("bigint"), F.col("factor").cast("array<double>"))
-    q = queries.select(F.col("query_id").cast("bigint"), F.col("factor").cast("array<double>"),
-                       F.coalesce(F.col(extra).cast("bigint") if extra else F.lit(0), F.lit(0)).cast("bigint")
-                       .alias("extra"))
-    blocks, rank, n_items = _block_plan(items, max_block_bytes)
-    if blocks == 0:
+    items = items.select(F.col("item_id").cast("bigint").alias("id"), F.lit(0).cast("bigint").alias("keep"), F.col("factor").cast("array<double>"))
+    more = F.coalesce(F.col(extra).cast("bigint"), F.lit(0)) if extra else F.lit(0)
+    q = queries.select(F.col("query_id").cast("bigint").alias("id"), (more + k).cast("bigint").alias("keep"), F.col("factor").cast("array<double>"))
+    # written once: counting and scoring do not run the lineage twice
+    q, items = q.checkpoint(eager=True), items.checkpoint(eager=True)
+    (n_items, rank), n_q = _size(items), q.count()
+    if not n_items or not n_q or not rank:
         return spark.createDataFrame([], OUT_SCHEMA)
-    # The work is |queries| x |items| score cells, while the query table is
-    # small in bytes (AQE would merge it into one task). Spread it by
-    # cost: about _TASK_CELLS cells per task per block; hashing on the key
-    # with an explicit count keeps the layout repeatable and unmerged.
-    # The query vectors are written once (checkpoint) so that counting them
-    # and scoring them do not run their lineage twice.
-    q = q.checkpoint(eager=True)
-    n_q = q.count()
-    per_block = max(1, math.ceil(n_items / blocks))
-    sc = spark.sparkContext
-    n_tasks = max(1, min(16 * sc.defaultParallelism, math.ceil(n_q * per_block / _TASK_CELLS)))
-    q = q.repartition(n_tasks, "query_id")
-    parts = []
-    for b in range(blocks):
-        blk = items if blocks == 1 else items.filter(
-            F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b)
-        # bounded by max_block_bytes (checked in _block_plan)
-        pdf = blk.orderBy("item_id").toPandas()
-        if pdf.empty:
-            continue
-        ids = pdf["item_id"].to_numpy(dtype=np.int64)
-        mat = np.vstack(pdf["factor"].to_numpy()).astype(np.float64)
-        bc = sc.broadcast((ids, mat))
-        parts.append(q.mapInPandas(_score_fn(bc, k), OUT_SCHEMA))
-    if not parts:
+    per = max(1, max_block_bytes // (8 * rank))
+    each = max(1, min(QUERY_ROWS, math.ceil(n_q / QUERY_BLOCKS)))
+    item_blocks, _ = _blocks(items.withColumn("norm", _norm("factor")), [F.col("norm").desc(), "id"], per, rank)
+    query_blocks, n_blocks = _blocks(q.withColumn("norm", F.lit(0.0)), [F.col("keep").desc(), "id"], each, rank)
+    segments = math.ceil(n_items / SEGMENT)
+    mine = query_blocks.select(F.explode(F.sequence(F.lit(0), F.lit(segments - 1))).alias("seg"), F.col("block").alias("q"),
+                               F.lit(-1).cast("long").alias("order"), "top", "ids", "keep", "mat")
+    theirs = item_blocks.select(F.pmod("block", F.lit(segments)).cast("int").alias("seg"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))).alias("q"),
+                                F.col("block").alias("order"), "top", "ids", F.lit(None).cast("binary").alias("keep"), "mat")
+
+    def run(batches):
+        lists, on = None, False
+        for order, top, ids, keep, mat in _cells_of(batches):
+            if order.as_py() < 0:
+                if lists:
+                    yield _batch(lists.ids[lists.row], lists.item, lists.score)
+                lists, on = _Lists(_ids(ids), _ids(keep), _mat(mat, rank)), True
+            elif on:
+                on = lists.add(_ids(ids), _mat(mat, rank), top.as_py())
+        if lists:
+            yield _batch(lists.ids[lists.row], lists.item, lists.score)
+
+    parts = min(n_blocks * segments, MAX_PARTS)
+    both = mine.unionByName(theirs).withColumn("group", F.col("q") * segments + F.col("seg"))
+    both = both.repartitionById(parts, F.pmod("group", F.lit(parts)).cast("int")).sortWithinPartitions("group", "order")
+    return both.select("order", "top", "ids", "keep", "mat").mapInArrow(run, OUT_SCHEMA)
+
+
+def block_pairs(blocks: DataFrame, n_blocks: int) -> DataFrame:
+    """Every unordered pair of blocks once, as rows ``(pair, side, ids, mat)``: side 0 of the pair (a, b), a <= b, is a."""
+    n = F.lit(n_blocks).cast("long")
+    left = blocks.select(F.explode(F.sequence(F.col("block"), n - 1)).alias("other"), "block", "ids", "mat").select(
+        (F.col("block") * n + F.col("other")).alias("pair"), F.lit(0).alias("side"), (F.col("block") == F.col("other")).alias("same"), "ids", "mat")
+    right = blocks.filter("block > 0").select(F.explode(F.sequence(F.lit(0).cast("long"), F.col("block") - 1)).alias("other"), "block", "ids", "mat").select(
+        (F.col("other") * n + F.col("block")).alias("pair"), F.lit(1).alias("side"), F.lit(False).alias("same"), "ids", "mat")
+    return left.unionByName(right)
+
+
+def neighbor_topk(items: DataFrame, n: int, max_block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """For each row of ``items (item_id, factor)`` the best ``n`` other items of every block, as ``(query_id, item_id, score)``.
+    Combine with :func:`top_k`."""
+    spark = items.sparkSession
+    items = items.select(F.col("item_id").cast("bigint").alias("id"), F.lit(n).cast("bigint").alias("keep"), F.col("factor").cast("array<double>")).checkpoint(eager=True)
+    n_items, rank = _size(items)
+    if not n_items or not rank or n <= 0:
         return spark.createDataFrame([], OUT_SCHEMA)
-    return reduce(DataFrame.unionByName, parts)
+    # products are the work: blocks of a small catalogue are small enough for several tasks
+    per = max(1, min(max_block_bytes // (8 * rank), max(256, math.ceil(n_items / 4))))
+    blocks, n_blocks = _blocks(items.withColumn("norm", F.lit(0.0)), ["id"], per, rank)
+
+    def best(x, xi, y, yi):
+        step = max(1, _CELLS // len(yi))
+        for a in range(0, len(xi), step):
+            s = np.round(x[a:a + step] @ y.T, SCORE_DECIMALS)
+            s[xi[a:a + step, None] == yi[None, :]] = -np.inf
+            yield a, s
+
+    def top(s, ids, other, keep):
+        r, c = _candidates(s, np.full(len(s), -np.inf), keep)
+        real = ~np.isneginf(s[r, c])
+        r, i, v = _best(r[real], other[c[real]], s[r, c][real], keep)
+        return _batch(ids[r], i, v)
+
+    def run(batches):
+        x = xi = None
+        for side, same, ids, mat in _cells_of(batches):
+            if side.as_py() == 0:
+                x, xi = _mat(mat, rank), _ids(ids)
+                if not same.as_py():
+                    continue
+            y, yi = _mat(mat, rank), _ids(ids)
+            down = None
+            for a, s in best(x, xi, y, yi):
+                yield top(s, xi[a:a + len(s)], yi, np.full(len(s), n))
+                if not same.as_py():
+                    # the columns' best so far, merged slice by slice
+                    r, c = _candidates(s.T, np.full(len(yi), -np.inf), np.full(len(yi), n))
+                    real = ~np.isneginf(s.T[r, c])
+                    new = r[real], xi[a + c[real]], s.T[r, c][real]
+                    down = _best(*(new if down is None else (np.append(u, v) for u, v in zip(down, new))), np.full(len(yi), n))
+            if down is not None:
+                yield _batch(yi[down[0]], down[1], down[2])
+
+    parts = min(n_blocks * (n_blocks + 1) // 2, MAX_PARTS)
+    rows = block_pairs(blocks, n_blocks)
+    rows = rows.repartitionById(parts, F.pmod(F.xxhash64("pair"), F.lit(parts)).cast("int")).sortWithinPartitions("pair", "side")
+    return rows.select("side", "same", "ids", "mat").mapInArrow(run, OUT_SCHEMA)

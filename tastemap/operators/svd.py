@@ -1,18 +1,19 @@
 """Truncated SVD of the user x item rating matrix.
 
-The matrix is built and decomposed inside the JVM: the (u_idx, i_idx,
-rating) DataFrame becomes an MLlib ``CoordinateMatrix`` without a Python
-row pass, ``toIndexedRowMatrix`` groups it into one sparse row per user
-(bounded by the number of items), and ``computeSVD`` runs MLlib's solver.
-Row indices are kept, so users without training rows never receive
-another user's factors.
-
-Only the k singular values come back to the driver. U stays distributed,
-and the item factors are recomputed on the executors as
-V = A^T U diag(1/s) with a weighted vector sum per item, instead of
-shipping MLlib's local V through the driver into a new DataFrame. MLlib
-itself holds V (items x k) on the driver while solving, so its size is
-checked before the fit and the model is skipped above the bound.
+One solver at every size: block Lanczos on A.T A with full orthogonalisation, thick restarts and a
+stop by residuals. The matrix lies in cells and all tall matrices in strips of rows
+(:mod:`tastemap.operators.strips`); products, orthogonalisation and the triangular factors (TSQR) are
+passes over strips on the executors. The driver holds only matrices of the basis size (at most
+``MAX_BASIS`` blocks of 2k columns), whatever the number of users and items.
+
+Each step multiplies the last block by A and A.T, takes the coefficients on the basis, which complete
+the projected matrix, and subtracts them; what is left is the next block. A Ritz pair's residual is the norm
+of its part in the last block times that rest. The run stops when the first k residuals are
+below ``tol`` times the largest eigenvalue, or when nothing is left (the basis is invariant, as for a
+matrix of low rank). Values are then taken from A V itself, not from squares.
+
+The start is A.T times random numbers that depend on the strip number and the seed, so an item without
+ratings has a zero row throughout, and results do not follow the layout.
 
 Scores: ``use_sigma=True`` gives U diag(s) V^T (a rank-k reconstruction);
 ``use_sigma=False`` gives U V^T, the reference formula. Missing ratings
@@ -22,25 +23,19 @@ back in predictions.
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 import numpy as np
-
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
-from pyspark.mllib.common import callMLlibFunc
-from pyspark.mllib.linalg.distributed import CoordinateMatrix, IndexedRowMatrix
-from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tastemap.config import DEFAULTS
 from tastemap.functions.exprs import dot
+from tastemap.operators import strips as ST
 
-
-_ENTRY_BYTES = 24          # one (index, value) entry of a sparse row, with overhead
-_PART_BYTES = 64 << 20     # target size of a cached row partition
+MAX_BASIS = 12      # blocks of the basis before a restart keeps half of its columns
+DROP = 1e-7         # directions of the rest below this part of the largest eigenvalue are no new directions
+MAX_STEPS = 300
 
 
 def sparse_rows(pairs: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
@@ -62,24 +57,75 @@ class SvdResult:
     k: int = 0
 
 
+def _steps(a: ST.Ratings, k: int, tol: float, seed: int) -> tuple[list[DataFrame], list[int], np.ndarray, int]:
+    """(blocks S, widths, M, steps): the first k Ritz vectors are S @ M."""
+    users, items = a.side(True), a.side(False)
+    width = min(a.n_items, max(2 * k, 8))
+    spark = a.cells.sparkSession
+    start = ST.times(a, ST.random_rows(spark, users, width, seed), width, by_user=False)
+    block, r = ST.reduce_by(start, width, [], [], items, None)
+    _, s, vt = np.linalg.svd(r)
+    keep = s > DROP * s[0] if s.size and s[0] > 0 else np.zeros(len(s), bool)
+    if not keep.any():
+        return [], [], np.zeros((0, 0)), 0
+    # a stored block times its small matrix has orthonormal columns
+    blocks, widths, smalls = [block], [width], [vt[keep].T / s[keep]]
+    h = np.zeros((0, 0))
+    for step in range(1, MAX_STEPS + 1):
+        last = smalls[-1].shape[1]
+        d = h.shape[0] + last
+        y = ST.summed(ST.times(a, blocks[-1], widths[-1], by_user=True, small=smalls[-1]), last, users)
+        z, c = ST.project(ST.times(a, y, last, by_user=False), last, blocks, widths, items)
+        w = _diagonal(smalls)
+        c = w.T @ c
+        grown = np.zeros((d, d))
+        grown[:d - last, :d - last] = h
+        grown[:, d - last:], grown[d - last:, :] = c, c.T
+        h = (grown + grown.T) / 2
+        value, vec = np.linalg.eigh(h)
+        value, vec = value[::-1], vec[:, ::-1]
+        if value[0] <= 0:
+            return [], [], np.zeros((0, 0)), step
+        rest, r = ST.reduce_by(z, last, blocks, widths, items, w @ c)
+        _, s, vt = np.linalg.svd(r)
+        keep = s > DROP * value[0]
+        left = s[keep, None] * vt[keep]
+        wanted = min(k, d)
+        short = np.linalg.norm(left @ vec[d - last:, :wanted], axis=0) if keep.any() else np.zeros(wanted)
+        if not keep.any() or (d >= k and short.max() <= tol * value[0]):
+            return blocks, widths, w @ vec[:, :wanted], step
+        new = vt[keep].T / s[keep]
+        if len(blocks) >= MAX_BASIS:
+            # thick restart: the leading Ritz vectors become one block, joined to the rest by the residuals
+            size = min(d, max(2 * k, d // 2))
+            kept = ST.combined(blocks, widths, items, w @ vec[:, :size])
+            blocks, widths, smalls = [kept], [size], [np.eye(size)]
+            h = np.diag(value[:size])
+        # the next block's rows of h, its link to the basis among them, come with its products
+        blocks, widths, smalls = [*blocks, rest], [*widths, last], [*smalls, new]
+    raise ArithmeticError(f"the first {k} singular values have not settled in {MAX_STEPS} steps")
+
+
+def _diagonal(smalls: list[np.ndarray]) -> np.ndarray:
+    out = np.zeros((sum(m.shape[0] for m in smalls), sum(m.shape[1] for m in smalls)))
+    i = j = 0
+    for m in smalls:
+        out[i:i + m.shape[0], j:j + m.shape[1]] = m
+        i, j = i + m.shape[0], j + m.shape[1]
+    return out
+
+
 def svd_factors(pairs: DataFrame, users: DataFrame, items: DataFrame, k: int = DEFAULTS.svd_k,
-                use_sigma: bool = True, center: str | None = None,
-                max_driver_bytes: int = DEFAULTS.max_driver_factor_bytes,
-                gram_max_bytes: int = 128 << 20, rcond: float = 1e-9, method: str = "auto",
-                power_iters: int = 2) -> SvdResult:
+                use_sigma: bool = True, center: str | None = None, tol: float = 1e-5, rcond: float = 1e-8,
+                seed: int = DEFAULTS.seed) -> SvdResult:
     """Fit a rank-k SVD on train ``pairs (user_id, item_id, rating)`` with
     dense indices ``users (user_id, u_idx)`` and ``items (item_id, i_idx)``.
 
-    ``method``: "auto" (Gramian when items^2 x 8 bytes <= ``gram_max_bytes``,
-    else ARPACK; both exact), "gramian", "arpack", or "randomized" (few
-    passes, approximate; see :mod:`tastemap.operators.svd_randomized`). The exact ones hold
-    item-sized state on the driver; where that would exceed ``max_driver_bytes`` the
-    randomized one is used instead of none."""
-    if method not in ("auto", "gramian", "arpack", "randomized"):
-        raise ValueError(f"unknown method {method!r}")
-    spark = pairs.sparkSession
-    counts = users.agg(F.count(F.lit(1)).alias("n"))
-    n_users = counts.first()["n"]
+    ``tol`` bounds the residuals of A.T A relative to its largest eigenvalue; an error of a singular value is of the
+    order of its square. Values below ``rcond`` times the largest count as zero."""
+    if center not in (None, "user"):
+        raise ValueError("center must be None or 'user'")
+    n_users = users.agg(F.count(F.lit(1)).alias("n")).first()["n"]
     n_items = items.agg(F.count(F.lit(1)).alias("n")).first()["n"]
     if n_users <= 1 or n_items <= 1:
         return SvdResult("skipped: fewer than two users or items", [])
@@ -90,99 +136,27 @@ def svd_factors(pairs: DataFrame, users: DataFrame, items: DataFrame, k: int = D
     if center == "user":
         means = pairs.groupBy("user_id").agg(F.avg("rating").alias("mean"))
         pairs = pairs.join(means, "user_id").select("user_id", "item_id", (F.col("rating") - F.col("mean")).alias("rating"))
-    elif center is not None:
-        raise ValueError("center must be None or 'user'")
-    # the exact solvers keep V (or A'A) on the driver; beyond the bound the randomized one,
-    # whose driver state is (k + 10)^2 numbers, takes over, so no size loses its result
-    on_driver = n_items * max(k_eff, n_items if method == "gramian" else 0) * 8
-    if method == "randomized" or on_driver > max_driver_bytes:
-        from tastemap.operators.svd_randomized import randomized_svd
-        res = randomized_svd(pairs, k_eff, power_iters=power_iters, use_sigma=use_sigma)
-        res.user_means = means
-        return res
-
-    # read by the matrix, by V and, on the Gramian route, by U: joined once
-    idx = pairs.join(users, "user_id", "inner").join(items, "item_id", "inner").checkpoint(eager=True)
-    entries = idx.select(F.col("u_idx").cast("bigint").alias("i"), F.col("i_idx").cast("bigint").alias("j"),
-                         F.col("rating").cast("double").alias("value"))
-    nnz = entries.count()
-    jmat = callMLlibFunc("createCoordinateMatrix", entries, int(n_users), int(n_items))
-    grouped = CoordinateMatrix(jmat).toIndexedRowMatrix()
-    # The solver makes one pass over the rows per iteration, so the rows are
-    # kept (memory, spilling to disk; a lost block is rebuilt from the
-    # entries) and sized by volume, ~64 MB of entries per partition: each
-    # pass then costs tasks in proportion to the data, not to the cluster.
-    sc = spark.sparkContext
-    jvm = sc._jvm
-    parts = max(1, math.ceil(nnz * _ENTRY_BYTES / _PART_BYTES))
-    jrows = grouped._java_matrix_wrapper._java_model.rows()
-    if parts < jrows.getNumPartitions():
-        jrows = jrows.coalesce(parts, False, jvm.scala.Option.empty(), None)
-    jrows.persist(jvm.org.apache.spark.storage.StorageLevel.MEMORY_AND_DISK())
-    rows = IndexedRowMatrix(jvm.org.apache.spark.mllib.linalg.distributed.IndexedRowMatrix(
-        jrows, int(n_users), int(n_items)))
-    try:
-        gram = method == "gramian" or (method == "auto" and n_items * n_items * 8 <= gram_max_bytes)
-        if gram:
-            s, U = _svd_via_gramian(spark, rows, idx, k_eff, rcond)
-        else:
-            svd = rows.computeSVD(k_eff, computeU=True, rCond=rcond)
-            s = [float(x) for x in svd.s.toArray()]
-            u_rows = callMLlibFunc("getIndexedRows", svd.U._java_matrix_wrapper._java_model)
-            u_rows = MLUtils.convertVectorColumnsToML(u_rows, "vector")
-            U = u_rows.select(F.col("index").alias("u_idx"), vector_to_array("vector").alias("u"))
-        if not s:
-            return SvdResult("skipped: matrix has rank 0", [])
-        # U is written to the checkpoint directory: later joins read it
-        # without re-running the solver's lineage
-        U = U.checkpoint(eager=True)
-    finally:
-        jrows.unpersist(False)
-
-    # V = A^T U diag(1/s), summed per item on the executors
-    inv_s = F.array(*[F.lit(1.0 / x) for x in s])
-    sig = F.array(*[F.lit(x) for x in s])
-    # ratings may be negative (centred), so they scale the vectors instead
-    # of acting as sample weights
-    contrib = (idx.select("u_idx", "i_idx", "rating").join(U, "u_idx", "inner")
-               .select("i_idx", array_to_vector(F.transform("u", lambda x: x * F.col("rating"))).alias("u")))
-    vs = contrib.groupBy("i_idx").agg(Summarizer.sum(F.col("u")).alias("vs"))
-    # every indexed item gets a row of V; an item without training ratings
-    # has a zero row (it scores 0, as a column of zeros in A would)
-    zeros = F.array_repeat(F.lit(0.0), len(s))
-    V = (vs.select("i_idx", vector_to_array("vs").alias("vs"))
-         .select("i_idx", F.zip_with("vs", inv_s, lambda a, b: a * b).alias("factor"))
-         .join(items, "i_idx", "right")
-         .select("item_id", F.coalesce(F.col("factor"), zeros).alias("factor"))
-         .checkpoint(eager=True))  # read by every consumer: computed once
-    uf = U.join(users, "u_idx", "inner")
-    ufac = F.zip_with("u", sig, lambda a, b: a * b) if use_sigma else F.col("u")
-    uf = uf.select("user_id", ufac.alias("factor"))
-    return SvdResult("ok", s, uf, V, means, len(s))
-
-
-def _svd_via_gramian(spark, rows, idx: DataFrame, k: int, rcond: float = 1e-9):
-    """Small catalogues: A^T A (items x items, size checked by the caller)
-    in one distributed pass, its top-k eigenpairs locally, then
-    U = A V diag(1/s) on the executors. Same factorisation as the
-    iterative solver (MLlib picks this route itself for small n)."""
-    gram = rows.computeGramianMatrix().toArray()
-    w, vecs = np.linalg.eigh(gram)
-    order = np.argsort(w)[::-1][:k]
-    w, vecs = np.clip(w[order], 0.0, None), vecs[:, order]
-    sv = np.sqrt(w)
-    keep = sv > rcond * (sv[0] if sv.size else 0.0)
-    sv, vecs = sv[keep], vecs[:, keep]
-    if sv.size == 0:
-        return [], None
-    # V has items x k entries, the bound checked before the fit
-    v_rows = [(int(i), [float(x) for x in vecs[i] / sv]) for i in range(vecs.shape[0])]
-    vdf = spark.createDataFrame(v_rows, "i_idx bigint, w array<double>")
-    contrib = (idx.select("u_idx", "i_idx", "rating").join(vdf, "i_idx", "inner")
-               .select("u_idx", array_to_vector(F.transform("w", lambda x: x * F.col("rating"))).alias("w")))
-    U = (contrib.groupBy("u_idx").agg(Summarizer.sum(F.col("w")).alias("u"))
-         .select(F.col("u_idx").cast("bigint"), vector_to_array("u").alias("u")))
-    return [float(x) for x in sv], U
+    # rows of the tables in use: a user without training ratings gets no factors
+    idx = pairs.join(users, "user_id", "inner").join(items, "item_id", "inner").select("u_idx", "i_idx", "rating")
+    idx = ST.saved(idx, "svd-entries")
+    a = ST.pack(idx, n_users, n_items)
+    blocks, widths, m, _ = _steps(a, k_eff, tol, seed)
+    if not blocks:
+        return SvdResult("skipped: matrix has rank 0", [])
+    v = ST.combined(blocks, widths, a.side(False), m)
+    width = m.shape[1]
+    y, r = ST.reduce_by(ST.times(a, v, width, by_user=True), width, [], [], a.side(True), None)
+    _, s, vt = np.linalg.svd(r)
+    keep = s > rcond * s[0] if s.size and s[0] > 0 else np.zeros(len(s), bool)
+    if not keep.any():
+        return SvdResult("skipped: matrix has rank 0", [])
+    s, turn = s[keep], vt[keep].T
+    scale = turn if use_sigma else turn / s
+    have = idx.select("u_idx").distinct()
+    uf = ST.vectors(y, width, a.u_rows, scale, "u_idx").join(have, "u_idx", "left_semi").join(users, "u_idx", "inner").select(
+        "user_id", F.col("v").alias("factor"))
+    vf = ST.vectors(v, width, a.i_rows, turn, "i_idx").join(items, "i_idx", "inner").select("item_id", F.col("v").alias("factor"))
+    return SvdResult("ok", [float(x) for x in s], ST.saved(uf, "user-factors"), ST.saved(vf, "item-factors"), means, len(s))
 
 
 def predict_with_factors(pairs: DataFrame, user_factors: DataFrame, item_factors: DataFrame,

@@ -30,7 +30,6 @@ def main(argv=None, spark: SparkSession | None = None):
     ap.add_argument("--cv", action="store_true", help="cross-validate ALS over the parameter grid")
     ap.add_argument("--small-grid", action="store_true", help="reduced grid and folds")
     ap.add_argument("--split", default="holdout", choices=["holdout", "random"])
-    ap.add_argument("--svd-method", default="auto", choices=["auto", "gramian", "arpack", "randomized"])
     ap.add_argument("--no-features", action="store_true", help="skip the feature table")
     a = ap.parse_args(argv)
 
@@ -41,7 +40,7 @@ def main(argv=None, spark: SparkSession | None = None):
     books = tables.scan_items(spark, f"{data}/books.parquet") if tables.path_exists(
         spark, f"{data}/books.parquet") else tables.scan_items(spark, f"{data}/books.csv")
     cfg = PipelineConfig(split=a.split, cross_validate=a.cv, small_grid=a.small_grid, als=ALS.AlsParams(),
-                         svd_method=a.svd_method, output_uri=a.out.rstrip("/"), features=not a.no_features)
+                         output_uri=a.out.rstrip("/"), features=not a.no_features)
     res = run(spark, ratings, books, cfg)
     res.metrics.show(truncate=False)
     return res

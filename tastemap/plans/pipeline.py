@@ -47,7 +47,6 @@ class PipelineConfig:
     als: ALS.AlsParams = field(default_factory=ALS.AlsParams)
     svd_k: int = DEFAULTS.svd_k
     use_sigma: bool = True
-    svd_method: str = "auto"           # exact routes; "randomized" for very large tables
     neighbors: int = DEFAULTS.knn_neighbors
     exclude_seen: bool = True
     clip: tuple | None = (DEFAULTS.rating_min, DEFAULTS.rating_max)
@@ -162,7 +161,7 @@ def run(spark: SparkSession, ratings_raw: DataFrame, items: DataFrame | None = N
                 uidx = R.dense_index(clean, "user_id", "u_idx")
                 iidx = R.dense_index(clean, "item_id", "i_idx")
                 res = SVD.svd_factors(R.dedup_pairs(train).select("user_id", "item_id", "rating"), uidx, iidx,
-                                      cfg.svd_k, use_sigma=cfg.use_sigma, center=cfg.center, method=cfg.svd_method)
+                                      cfg.svd_k, use_sigma=cfg.use_sigma, center=cfg.center)
                 if res.status != "ok":
                     out.append(M.status_row(spark, "SVD", "skipped", res.status))
                 else:

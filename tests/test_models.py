@@ -38,13 +38,52 @@ def test_svd_reconstructs_full_matrix(spark):
     assert err < 1e-6
 
 
-def test_svd_iterative_route_matches(spark):
-    df, M = planted(spark, 40, 25, full=True)
-    users = R.dense_index(df, "user_id", "u_idx")
-    items = R.dense_index(df, "item_id", "i_idx")
-    res = SVD.svd_factors(df, users, items, k=3, gram_max_bytes=0)
-    want = np.linalg.svd(M, compute_uv=False)[:3]
-    assert np.allclose(res.singular_values, want, rtol=1e-6)
+def _indexed(df):
+    return df, R.dense_index(df, "user_id", "u_idx"), R.dense_index(df, "item_id", "i_idx")
+
+
+@pytest.mark.parametrize("strip, cell, group, parts, fan", [(8192, 1 << 15, 16, 1024, 32), (7, 40, 2, 5, 2)])
+def test_svd_equals_numpy_with_restarts(spark, monkeypatch, strip, cell, group, parts, fan):
+    """A slowly falling spectrum, a basis of three blocks, and strips and cells of a few rows."""
+    from tastemap.operators import strips as ST
+    for name, value in (("STRIP", strip), ("CELL", cell), ("GROUP", group), ("MAX_PARTS", parts), ("FAN_IN", fan), ("LEAST_STRIPS", 3)):
+        monkeypatch.setattr(ST, name, value)
+    monkeypatch.setattr(SVD, "MAX_BASIS", 3)
+    rng = np.random.default_rng(4)
+    M = np.round(rng.uniform(1, 5, (90, 61)) * (rng.uniform(size=(90, 61)) < 0.4))
+    M[:, 7] = M[11] = 0
+    pairs = spark.createDataFrame([(int(u), int(i), float(M[u, i])) for u, i in zip(*np.nonzero(M))], "user_id long, item_id long, rating double")
+    users = spark.createDataFrame([(u * 10, u) for u in range(90)], "user_id long, u_idx long")
+    items = spark.createDataFrame([(i * 10, i) for i in range(61)], "item_id long, i_idx long")
+    pairs = pairs.selectExpr("user_id * 10 as user_id", "item_id * 10 as item_id", "rating")
+    res = SVD.svd_factors(pairs, users, items, k=5)
+    want = np.linalg.svd(M, compute_uv=False)[:5]
+    assert res.status == "ok" and np.allclose(res.singular_values, want, rtol=1e-6)
+    U = {r["user_id"]: r["factor"] for r in res.user_factors.collect()}
+    V = {r["item_id"]: r["factor"] for r in res.item_factors.collect()}
+    assert len(V) == 61 and V[70] == [0.0] * 5 and 110 not in U and len(U) == 89
+    v = np.array([V[10 * i] for i in range(61)])
+    u = np.array([U.get(10 * i, [0.0] * 5) for i in range(90)]) / want
+    assert np.allclose(v.T @ v, np.eye(5), atol=1e-8) and np.allclose(u.T @ u, np.eye(5), atol=1e-8)
+    assert np.abs(M @ v - u * want).max() < 1e-8 and np.abs(M.T @ u - v * want).max() < 1e-3
+
+
+def test_svd_does_not_follow_the_layout(spark):
+    df, _ = planted(spark, 60, 40)
+    _, users, items = _indexed(df)
+    a, b = (SVD.svd_factors(df.repartition(n), users, items, k=6).singular_values for n in (1, 7))
+    assert np.allclose(a, b, rtol=1e-9)
+
+
+@pytest.mark.parametrize("rank", [1, 3])
+def test_svd_of_low_rank_has_no_values_beyond_it(spark, rank):
+    rng = np.random.default_rng(3)
+    M = rng.normal(size=(30, rank)) @ rng.normal(size=(rank, 20))
+    df = spark.createDataFrame([(u, i, float(M[u, i])) for u in range(30) for i in range(20)], "user_id long, item_id long, rating double")
+    res = SVD.svd_factors(*_indexed(df), k=6)
+    assert res.k == rank and np.allclose(res.singular_values, np.linalg.svd(M, compute_uv=False)[:rank], rtol=1e-6)
+    zero = SVD.svd_factors(*_indexed(df.withColumn("rating", F.lit(0.0))), k=6)
+    assert zero.status == "skipped: matrix has rank 0"
 
 
 def test_svd_skip_guards(spark):
@@ -116,17 +155,6 @@ def test_registered_model_queries_invariants(spark):
     assert sv == sorted(sv, reverse=True) and sv[-1] > 0
 
 
-def test_randomized_svd_on_low_rank(spark):
-    from tastemap.operators.svd_randomized import randomized_svd
-    df, M = planted(spark, 50, 30, full=True)
-    res = randomized_svd(df, k=4, oversample=6, power_iters=2)
-    assert res.status == "ok" and res.k == 4
-    want = np.linalg.svd(M, compute_uv=False)[:4]
-    assert np.allclose(res.singular_values, want, rtol=1e-6)
-    pred = SVD.predict_with_factors(df, res.user_factors, res.item_factors).toPandas()
-    assert np.sqrt(((pred.rating - pred.prediction) ** 2).mean()) < 1e-6
-
-
 def test_cross_validation_is_seeded(spark):
     df, _ = planted(spark, 60, 30)
     _, a = ALS.cross_validate(df, small=True, parallelism=2, seed=7)
@@ -152,9 +180,8 @@ def test_als_does_not_depend_on_partitioning(spark):
 
 
 @pytest.mark.parametrize("center", [None, "user"])
-def test_svd_beyond_the_driver_bound_still_gives_factors(spark, center):
+def test_svd_centring(spark, center):
     pairs = R.clean_ratings(FX.ratings(spark, SF_SMALL), dedup="pair").select("user_id", "item_id", "rating").checkpoint()
-    users, items = R.dense_index(pairs, "user_id", "u_idx"), R.dense_index(pairs, "item_id", "i_idx")
-    res = SVD.svd_factors(pairs, users, items, k=4, center=center, max_driver_bytes=1)
+    res = SVD.svd_factors(*_indexed(pairs), k=4, center=center)
     assert res.status == "ok" and len(res.singular_values) == 4 and res.item_factors.count() > 0
     assert (res.user_means is None) == (center is None)

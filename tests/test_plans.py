@@ -49,4 +49,4 @@ def test_clean_filter_pushed_to_scan(spark):
 
 def test_knn_uses_vectorised_python_only(spark):
     p = plan(E.queries()["knn_recommend"](spark, SF_SMALL))
-    assert "MapInPandas" in p and "BatchEvalPython" not in p
+    assert "MapInArrow" in p and "BatchEvalPython" not in p

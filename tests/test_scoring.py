@@ -53,6 +53,60 @@ def test_item_neighbors_excludes_self(spark):
         assert i not in g
 
 
+@pytest.mark.parametrize("rows", [60, 13, 3])
+def test_neighbors_multiply_each_pair_of_blocks_once(spark, rows, monkeypatch):
+    from tastemap.operators import scoring
+    vf, V = _factors(spark, 60, 3, 3)
+    monkeypatch.setattr(scoring, "_CELLS", 40)
+    pairs = []
+    real = scoring.block_pairs
+    monkeypatch.setattr(scoring, "block_pairs", lambda b, n: pairs.append((real(b, n), n)) or pairs[-1][0])
+    monkeypatch.setattr(REC, "neighbor_topk", lambda it, n: scoring.neighbor_topk(it, n, max_block_bytes=rows * 24))
+    got = REC.item_neighbors(vf.repartition(4), 7).toPandas()
+    want = _brute(V, V, 7, self_ex=True)
+    for i in range(60):
+        assert got[got.item_id == i].sort_values("rank").neighbor_id.tolist() == want[i]
+    frame, n = pairs[0]
+    assert frame.select("pair").distinct().count() == n * (n + 1) // 2 and frame.count() == n * n
+
+
+def test_blocks_are_skipped_by_length_without_loss(spark, monkeypatch):
+    """Item lengths fall steeply: most blocks cannot reach a list, and the lists stay exact."""
+    from tastemap.operators import scoring
+    rng = np.random.default_rng(8)
+    V = np.round(rng.normal(size=(400, 4)) * np.exp(-np.arange(400) / 20)[:, None], 6)
+    U = np.round(rng.normal(size=(33, 4)), 3)
+    V[7] = V[9]
+    vf = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(V)], "item_id bigint, factor array<double>").repartition(3)
+    uf = spark.createDataFrame([(u, [float(x) for x in v]) for u, v in enumerate(U)], "query_id bigint, factor array<double>")
+    for segment in (1 << 18, 150):
+        monkeypatch.setattr(scoring, "SEGMENT", segment)
+        got = scoring.factor_topk(uf, vf, 6, max_block_bytes=20 * 32)
+        from pyspark.sql import functions as F
+        from tastemap.operators.ranking import top_k
+        rows = top_k(got, "query_id", [F.col("score").desc(), F.col("item_id")], 6).orderBy("query_id", "rank").collect()
+        want = _brute(U, V, 6)
+        assert [r.item_id for r in rows] == [i for u in range(33) for i in want[u]]
+    lists = scoring._Lists(np.arange(33), np.full(33, 6), U)
+    assert lists.add(np.arange(200), V[:200], float(np.linalg.norm(V[:200], axis=1).max()))
+    assert not lists.add(np.arange(300, 400), V[300:], float(np.linalg.norm(V[300:], axis=1).max()))
+
+
+def test_scorer_uses_neither_driver_nor_broadcast_for_factors():
+    import inspect
+    from tastemap.operators import scoring
+    source = inspect.getsource(scoring)
+    assert "toPandas" not in source and "sc.broadcast" not in source and "sparkContext" not in source
+
+
+def test_vectors_of_unequal_length_are_refused(spark):
+    from tastemap.operators import scoring
+    bad = spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0])], "item_id bigint, factor array<double>")
+    with pytest.raises(ValueError, match="lengths 1..2"):
+        scoring.neighbor_topk(bad, 3)
+    assert scoring.neighbor_topk(bad.filter("item_id = 3"), 3).count() == 0
+
+
 def test_knn_votes_and_empty_lists(spark):
     nb = spark.createDataFrame([(1, 2), (1, 3), (2, 3), (2, 4), (3, 4)], "item_id bigint, neighbor_id bigint")
     train = spark.createDataFrame([(1, 1, 5.0), (1, 2, 4.0), (2, 3, 1.0)],
