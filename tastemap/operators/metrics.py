@@ -83,7 +83,7 @@ def metrics_long(model: str, ranking: DataFrame | None = None, error: DataFrame
                                             F.lit("ndcg_at_k"), "ndcg_at_k").alias("metric", "value")))
     if error is not None:
         parts.append(error.select(F.lit(model).alias("model"), F.lit(status).alias("status"),
-                                  F.lit("rmse").alias("metric"), F.col("rmse").alias("value")))
+                                  F.stack(F.lit(2), F.lit("rmse"), "rmse", F.lit("n_scored"), F.col("n_scored").cast("double")).alias("metric", "value")))
     if not parts:
         raise ValueError("nothing to report")
     out = parts[0]
@@ -94,7 +94,7 @@ def metrics_long(model: str, ranking: DataFrame | None = None, error: DataFrame
 
 def status_row(spark, model: str, status: str, message: str = "") -> DataFrame:
     """A model that was skipped or failed, as one metrics row."""
-    return spark.createDataFrame([(model, "status", None, f"{status}: {message}"[:500])],
+    return spark.createDataFrame([(model, "status", None, f"{status}: {message}")],
                                  "model string, metric string, value double, status string")
 
 

@@ -12,7 +12,7 @@ partial step, so a user with a third of all rows is not sorted in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tastemap.config import DEFAULTS
@@ -69,16 +69,29 @@ def hash_sample(df: DataFrame, fraction: float = DEFAULTS.sample_fraction, seed:
     return df.filter(hash_number(F.lit("sample"), *key_cols, seed=seed) < F.lit(bound))
 
 
+_BUCKETS = 1 << 16   # buckets of the first four hex digits of a hash
+
+
+def _smallest(df: DataFrame, n: int, key, ties: list) -> DataFrame:
+    """The ``n`` rows that come first by the hash ``key``, then ``ties``: a histogram of hash buckets gives the bucket in
+    which the n-th row lies; all rows below it stay by a plain filter, and only that bucket is ordered."""
+    bucket = F.conv(F.substring(key, 1, 4), 16, 10).cast("int")
+    upto = Window.orderBy("bucket")   # over at most _BUCKETS rows
+    counts = df.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    edge = counts.withColumn("upto", F.sum("n").over(upto)).filter(F.col("upto") >= n).orderBy("bucket").first()
+    if edge is None:
+        return df
+    rest = df.filter(bucket == edge["bucket"]).orderBy(key, *ties).limit(n - (edge["upto"] - edge["n"]))
+    return df.filter(bucket < edge["bucket"]).unionByName(rest)
+
+
 def capped_rows(df: DataFrame, n: int, seed: int = DEFAULTS.seed,
                 key_cols=("user_id", "item_id", "rating")) -> DataFrame:
-    """Repeatable row cap (L4): the n rows with the smallest hash. The cap is
-    the feature; Spark plans it as a top-n (TakeOrderedAndProject), so each
-    task keeps n rows and one task merges them."""
+    """Repeatable row cap (L4): the n rows with the smallest hash. The cap is the feature."""
     keys = list(key_cols)
-    return df.orderBy(hash_key(*keys[:2], seed=seed), *[F.col(c) for c in keys]).limit(n)
+    return _smallest(df, n, hash_key(*keys[:2], seed=seed), [F.col(c) for c in keys])
 
 
 def capped_users(df: DataFrame, n: int, seed: int = DEFAULTS.seed) -> DataFrame:
     """Repeatable cap on users (T3): the n users with the smallest ``md5(user|seed)``."""
-    users = df.select("user_id").distinct()
-    return users.orderBy(hash_key("user_id", seed=seed), F.col("user_id")).limit(n)
+    return _smallest(df.select("user_id").distinct(), n, hash_key("user_id", seed=seed), [F.col("user_id")])

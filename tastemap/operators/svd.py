@@ -4,7 +4,7 @@ One solver at every size: block Lanczos on A.T A with full orthogonalisation, th
 stop by residuals. The matrix lies in cells and all tall matrices in strips of rows
 (:mod:`tastemap.operators.strips`); products, orthogonalisation and the triangular factors (TSQR) are
 passes over strips on the executors. The driver holds only matrices of the basis size (at most
-``MAX_BASIS`` blocks of 2k columns), whatever the number of users and items.
+``MAX_BASIS`` blocks of ``WIDTH`` x k columns), whatever the number of users and items.
 
 Each step multiplies the last block by A and A.T, takes the coefficients on the basis, which complete
 the projected matrix, and subtracts them; what is left is the next block. A Ritz pair's residual is the norm
@@ -33,7 +33,8 @@ from tastemap.config import DEFAULTS
 from tastemap.functions.exprs import dot
 from tastemap.operators import strips as ST
 
-MAX_BASIS = 12      # blocks of the basis before a restart keeps half of its columns
+WIDTH = 4           # columns of a block, in multiples of k: wider blocks need fewer passes over the ratings
+MAX_BASIS = 8       # blocks of the basis before a restart keeps half of its columns
 DROP = 1e-7         # directions of the rest below this part of the largest eigenvalue are no new directions
 MAX_STEPS = 300
 
@@ -57,10 +58,10 @@ class SvdResult:
     k: int = 0
 
 
-def _steps(a: ST.Ratings, k: int, tol: float, seed: int) -> tuple[list[DataFrame], list[int], np.ndarray, int]:
+def _steps(a: ST.Ratings, k: int, tol: float, seed: int) -> tuple[list[ST.Block], list[int], np.ndarray, int]:
     """(blocks S, widths, M, steps): the first k Ritz vectors are S @ M."""
     users, items = a.side(True), a.side(False)
-    width = min(a.n_items, max(2 * k, 8))
+    width = min(a.n_items, max(WIDTH * k, 8))
     spark = a.cells.sparkSession
     start = ST.times(a, ST.random_rows(spark, users, width, seed), width, by_user=False)
     block, r = ST.reduce_by(start, width, [], [], items, None)
@@ -74,7 +75,7 @@ def _steps(a: ST.Ratings, k: int, tol: float, seed: int) -> tuple[list[DataFrame
     for step in range(1, MAX_STEPS + 1):
         last = smalls[-1].shape[1]
         d = h.shape[0] + last
-        y = ST.summed(ST.times(a, blocks[-1], widths[-1], by_user=True, small=smalls[-1]), last, users)
+        y = ST.summed(ST.times(a, blocks[-1].rows, widths[-1], by_user=True, small=smalls[-1]), last, users)
         z, c = ST.project(ST.times(a, y, last, by_user=False), last, blocks, widths, items)
         w = _diagonal(smalls)
         c = w.T @ c
@@ -86,7 +87,7 @@ def _steps(a: ST.Ratings, k: int, tol: float, seed: int) -> tuple[list[DataFrame
         value, vec = value[::-1], vec[:, ::-1]
         if value[0] <= 0:
             return [], [], np.zeros((0, 0)), step
-        rest, r = ST.reduce_by(z, last, blocks, widths, items, w @ c)
+        rest, r = ST.reduce_by(z.rows, last, blocks, widths, items, w @ c)
         _, s, vt = np.linalg.svd(r)
         keep = s > DROP * value[0]
         left = s[keep, None] * vt[keep]
@@ -97,7 +98,7 @@ def _steps(a: ST.Ratings, k: int, tol: float, seed: int) -> tuple[list[DataFrame
         new = vt[keep].T / s[keep]
         if len(blocks) >= MAX_BASIS:
             # thick restart: the leading Ritz vectors become one block, joined to the rest by the residuals
-            size = min(d, max(2 * k, d // 2))
+            size = min(d, max(WIDTH * k, d // 2))
             kept = ST.combined(blocks, widths, items, w @ vec[:, :size])
             blocks, widths, smalls = [kept], [size], [np.eye(size)]
             h = np.diag(value[:size])
@@ -143,7 +144,7 @@ def svd_factors(pairs: DataFrame, users: DataFrame, items: DataFrame, k: int = D
     blocks, widths, m, _ = _steps(a, k_eff, tol, seed)
     if not blocks:
         return SvdResult("skipped: matrix has rank 0", [])
-    v = ST.combined(blocks, widths, a.side(False), m)
+    v = ST.combined(blocks, widths, a.side(False), m).rows
     width = m.shape[1]
     y, r = ST.reduce_by(ST.times(a, v, width, by_user=True), width, [], [], a.side(True), None)
     _, s, vt = np.linalg.svd(r)
@@ -153,7 +154,7 @@ def svd_factors(pairs: DataFrame, users: DataFrame, items: DataFrame, k: int = D
     s, turn = s[keep], vt[keep].T
     scale = turn if use_sigma else turn / s
     have = idx.select("u_idx").distinct()
-    uf = ST.vectors(y, width, a.u_rows, scale, "u_idx").join(have, "u_idx", "left_semi").join(users, "u_idx", "inner").select(
+    uf = ST.vectors(y.rows, width, a.u_rows, scale, "u_idx").join(have, "u_idx", "left_semi").join(users, "u_idx", "inner").select(
         "user_id", F.col("v").alias("factor"))
     vf = ST.vectors(v, width, a.i_rows, turn, "i_idx").join(items, "i_idx", "inner").select("item_id", F.col("v").alias("factor"))
     return SvdResult("ok", [float(x) for x in s], ST.saved(uf, "user-factors"), ST.saved(vf, "item-factors"), means, len(s))

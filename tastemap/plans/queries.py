@@ -523,7 +523,8 @@ _FLISTS = """flists AS (
 {metric_rows_sql('popular', 'ppu')}
 UNION ALL {metric_rows_sql('knn', 'kpu')}
 UNION ALL {metric_rows_sql('factor', 'fpu')}
-UNION ALL SELECT 'factor', 'rmse', sqrt(avg(pow(rating - least(5.0, greatest(1.0, prediction)), 2))) FROM ({_PRED_SQL}) p) m""",
+UNION ALL SELECT 'factor', 'rmse', sqrt(avg(pow(rating - least(5.0, greatest(1.0, prediction)), 2))) FROM ({_PRED_SQL}) p
+UNION ALL SELECT 'factor', 'n_scored', count(*) FROM ({_PRED_SQL}) p) m""",
     "lists", "knn", "truth", "idcg", "ufac", "tusers",
     extra=",\n".join([_FLISTS, ranking_sql("lists", 10, prefix="p"),
                       ranking_sql("knn", 10, list_users="SELECT user_id FROM tusers", prefix="k"),
@@ -688,6 +689,11 @@ def feature_table(spark, sf, n_top=TOP_N):
     return FE.build_features(enriched(spark, sf), n_top=n_top)
 
 
+def with_default_categories(sql: str) -> str:
+    """The text for the documented default of 200 categories."""
+    return sql.replace("ASC NULLS FIRST LIMIT 10)", f"ASC NULLS FIRST LIMIT {DEFAULTS.top_categories})")
+
+
 @register("one_hot", with_ctes("""SELECT c.user_id, c.item_id, c.rating, c.authors_kept, l.authors_kept_code,
   CAST(n.n_labels + 1 AS BIGINT) AS ohe_size, CAST(l.authors_kept_code + 1 AS BIGINT) AS ohe_hot_position
 FROM collapsed c JOIN lab l USING (authors_kept), (SELECT count(*) AS n_labels FROM lab) n""", "enriched",
@@ -754,6 +760,25 @@ def q_feature_table(spark, sf):
     return _vector_summary(feature_table(spark, sf), "features")
 
 
+@register("feature_table_default", with_default_categories(_FEATURE_TABLE_SQL))
+def q_feature_table_default(spark, sf):
+    return _vector_summary(feature_table(spark, sf, DEFAULTS.top_categories), "features")
+
+
+@register("feature_slots", with_ctes("""SELECT user_id, item_id, rating, CAST(slot AS BIGINT) AS slot, round(sum(value), 6) AS value FROM (
+""" + "\nUNION ALL ".join(f"SELECT user_id, item_id, rating, {j} AS slot, CASE WHEN s_{c} > 0 THEN {c} / s_{c} ELSE 0.0 END AS value FROM fe, sd"
+                          for j, c in enumerate(_SCALED)) + f"""
+UNION ALL SELECT user_id, item_id, rating, {len(_SCALED)} + l.nth, CASE WHEN s_lab > 0 THEN 1.0 / s_lab ELSE 0.0 END
+FROM fe JOIN labsd USING (authors_kept) JOIN (SELECT authors_kept, row_number() OVER (ORDER BY cnt DESC, authors_kept) - 1 AS nth FROM lab) l USING (authors_kept)) x
+WHERE value <> 0 GROUP BY user_id, item_id, rating, slot""", "enriched", "istats", "ustats", "items", extra=with_default_categories(_FEATURE_ROWS_SQL)))
+def q_feature_slots(spark, sf):
+    """Every slot of the scaled vector that is not zero, one row each, with the default 200 categories."""
+    from pyspark.ml.functions import vector_to_array
+    f = feature_table(spark, sf, DEFAULTS.top_categories)
+    slots = f.select("user_id", "item_id", "rating", F.posexplode(vector_to_array("features")).alias("slot", "value")).filter("value <> 0")
+    return slots.groupBy("user_id", "item_id", "rating", F.col("slot").cast("bigint").alias("slot")).agg(r6(F.sum("value")).alias("value"))
+
+
 @register("feature_table_roundtrip", _FEATURE_TABLE_SQL)
 def q_feature_table_roundtrip(spark, sf):
     path = scratch_path(spark, "features") + ".parquet"
@@ -783,12 +808,28 @@ def q_als_recommend(spark, sf):
 @register("als_recs_nested")
 def q_als_recs_nested(spark, sf):
     model, _, test = als_model(spark, sf)
-    recs = model.recommendForUserSubset(test.select("user_id").distinct(), DEFAULTS.top_k)
+    return nested_lists(spark, ALS.recommend(model, test.select("user_id").distinct(), DEFAULTS.top_k)).drop("scores")
+
+
+def nested_lists(spark, lists):
+    """Lists written in the nested form and read back."""
     path = scratch_path(spark, "als-recs") + ".parquet"
-    sinks.write_table(recs, path)
+    sinks.write_lists(lists, path)
     back = spark.read.parquet(path)
-    return back.select("user_id", F.size("recommendations").cast("bigint").alias("n"),
-                       F.transform("recommendations", lambda r: r["item_id"].cast("bigint")).alias("items"))
+    return back.select("user_id", F.size("items").cast("bigint").alias("n"), F.transform("items", lambda r: r["item_id"]).alias("items"),
+                       F.transform("items", lambda r: r["score"]).alias("scores"))
+
+
+@register("als_recs_nested_check", with_ctes("""SELECT user_id, least(10, n_items) AS n, least(10, n_items) AS n_distinct, true AS falling
+FROM (SELECT DISTINCT user_id FROM test) u, (SELECT count(DISTINCT item_id) AS n_items FROM train) i
+WHERE EXISTS (SELECT 1 FROM train t WHERE t.user_id = u.user_id)""", "test", "train"))
+def q_als_recs_nested_check(spark, sf):
+    """Nested lists with seen items: as long as asked, no item twice, scores falling."""
+    model, _, test = als_model(spark, sf)
+    n = nested_lists(spark, ALS.recommend(model, test.select("user_id").distinct(), DEFAULTS.top_k))
+    falling = F.forall(F.sequence(F.lit(1), F.greatest(F.size("scores") - 1, F.lit(1))),
+                       lambda i: F.coalesce(F.get("scores", i - 1) >= F.get("scores", i), F.lit(True)))
+    return n.select("user_id", "n", F.size(F.array_distinct("items")).cast("bigint").alias("n_distinct"), falling.alias("falling"))
 
 
 @register("als_save_load")
@@ -806,6 +847,25 @@ def q_als_cv_grid(spark, sf):
     return table
 
 
+def grid_sql(ranks, regs, iters, folds: int) -> str:
+    """Per setting the number of rows that all folds score: rows whose user and item another fold knows."""
+    values = ", ".join(f"({r}, {g}, {i})" for r in ranks for g in regs for i in iters)
+    return with_ctes(f"""SELECT g.rank, g.reg_param, g.max_iter, n.n_scored, true AS finite FROM (VALUES {values}) g(rank, reg_param, max_iter), (
+  SELECT count(*) AS n_scored FROM folded f
+  WHERE EXISTS (SELECT 1 FROM folded o WHERE o.user_id = f.user_id AND o.fold <> f.fold)
+    AND EXISTS (SELECT 1 FROM folded o WHERE o.item_id = f.item_id AND o.fold <> f.fold)) n""", "train", extra=f"""folded AS (
+  SELECT user_id, item_id, CAST(('0x' || substr(md5(concat_ws('|', 'fold', user_id, item_id, 42)), 1, 8)) AS BIGINT) % {folds} AS fold FROM train)""")
+
+
+@register("als_cv_grid_full", grid_sql(DEFAULTS.als_ranks, DEFAULTS.als_regs, DEFAULTS.als_iters, DEFAULTS.als_folds))
+def q_als_cv_grid_full(spark, sf):
+    """The full search: 8 settings x 3 folds and the refit."""
+    from tastemap.plans.pipeline import prepare
+    _, train, _ = prepare(FX.ratings(spark, sf))
+    _, table = ALS.cross_validate(train)
+    return table.select("rank", "reg_param", "max_iter", "n_scored", F.col("rmse").between(0.0, 10.0).alias("finite"))
+
+
 @register("als_predict_check", with_ctes("""SELECT user_id, item_id, rating, true AS finite FROM test t
 WHERE EXISTS (SELECT 1 FROM train r WHERE r.user_id = t.user_id) AND EXISTS (SELECT 1 FROM train r WHERE r.item_id = t.item_id)""",
                                                  "test", "train"))
@@ -892,6 +952,64 @@ def q_svd_recommend(spark, sf):
 
 
 
+_SVD_K = f"""least({DEFAULTS.svd_k}, (SELECT count(DISTINCT user_id) FROM clean) - 1, (SELECT count(DISTINCT item_id) FROM clean) - 1)"""
+
+
+@register("svd_singular_values_check", with_ctes(f"""SELECT i AS idx, true AS falling, true AS right_side, true AS left_side, true AS orthonormal
+FROM (SELECT unnest(range(CAST({_SVD_K} AS BIGINT))) AS i) t""", "clean"))
+def q_svd_singular_values_check(spark, sf):
+    """Each triplet (s, u, v) against the rating rows by plain joins and sums: A v = s u, A.T u = s v, unit and
+    orthogonal columns (two weighted sums of them have the length of the weights), values falling."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+    res, train, _ = svd_model(spark, sf, use_sigma=False)
+    entries = R.dedup_pairs(train).select("user_id", "item_id", "rating")
+    s = F.array(*[F.lit(x) for x in res.singular_values])
+
+    def gap(key, other, mine, theirs):
+        scaled = F.transform("factor", lambda x: x * F.col("rating"))
+        image = entries.join(theirs, other).groupBy(key).agg(Summarizer.sum(array_to_vector(scaled)).alias("image"))
+        both = mine.join(image, key).select(F.zip_with(vector_to_array("image"), F.zip_with("factor", s, lambda a, b: a * b), lambda a, b: (a - b) * (a - b)).alias("d"))
+        return both.agg(Summarizer.sum(array_to_vector("d")).alias("d")).select(F.posexplode(vector_to_array("d")).alias("idx", "gap"))
+
+    def unit(t):
+        weights = [[1.0 / (i + 1) for i in range(res.k)], [(-1.0) ** i for i in range(res.k)]]
+        dots = [F.aggregate(F.zip_with("factor", F.array(*map(F.lit, w)), lambda a, b: a * b), F.lit(0.0), lambda x, y: x + y) for w in weights]
+        ok = [F.abs(F.sum(d * d) - sum(x * x for x in w)) < 1e-5 for d, w in zip(dots, weights)]
+        return t.agg((ok[0] & ok[1]).alias("ok")).first()["ok"]
+
+    top = res.singular_values[0]
+    right = gap("user_id", "item_id", res.user_factors, res.item_factors).select("idx", (F.sqrt("gap") < 1e-6 * top).alias("right_side"))
+    left = gap("item_id", "user_id", res.item_factors, res.user_factors).select("idx", (F.sqrt("gap") < 1e-4 * top).alias("left_side"))
+    ok = unit(res.user_factors) and unit(res.item_factors)
+    falling = all(a >= b for a, b in zip(res.singular_values, res.singular_values[1:]))
+    return right.join(left, "idx").select(F.col("idx").cast("bigint").alias("idx"), F.lit(falling).alias("falling"), "right_side", "left_side", F.lit(ok).alias("orthonormal"))
+
+
+@register("item_factors_roundtrip_check", with_ctes(f"""SELECT i.item_id, CAST({_SVD_K} AS BIGINT) AS dims,
+  NOT EXISTS (SELECT 1 FROM train t WHERE t.item_id = i.item_id) AS zero FROM (SELECT DISTINCT item_id FROM clean) i""", "clean", "train"))
+def q_item_factors_roundtrip_check(spark, sf):
+    """Written and read item factors: one row per item, of full width, zero just for items without a training rating."""
+    from tastemap.functions.exprs import array_norm
+    back = q_item_factors_roundtrip(spark, sf)
+    return back.select("item_id", F.size("factor").cast("bigint").alias("dims"), (array_norm("factor") < 1e-12).alias("zero"))
+
+
+@register("svd_recommend_check", with_ctes("""SELECT user_id, least(10, n_items - n_seen) AS n, CAST(0 AS BIGINT) AS seen_hits, true AS scored
+FROM (SELECT user_id, count(DISTINCT item_id) AS n_seen FROM train GROUP BY user_id) s JOIN (SELECT DISTINCT user_id FROM test) u
+  USING (user_id), (SELECT count(DISTINCT item_id) AS n_items FROM clean) i WHERE n_items > n_seen""", "test", "train", "clean"))
+def q_svd_recommend_check(spark, sf):
+    """Per user: list length, seen items in it, score = dot product of the factors."""
+    from tastemap.functions.exprs import dot
+    res, train, test = svd_model(spark, sf)
+    recs = REC.factor_recommend(res.user_factors, res.item_factors, train, DEFAULTS.top_k, users=test.select("user_id").distinct())
+    full = (recs.join(res.user_factors.withColumnRenamed("factor", "uf"), "user_id").join(res.item_factors.withColumnRenamed("factor", "vf"), "item_id")
+            .join(train.select("user_id", "item_id", F.lit(1).alias("hit")).distinct(), ["user_id", "item_id"], "left"))
+    per = full.groupBy("user_id").agg(F.count("*").alias("n"), F.coalesce(F.sum("hit"), F.lit(0)).cast("bigint").alias("seen_hits"),
+                                      F.max(F.abs(F.col("score") - dot("uf", "vf"))).alias("gap"))
+    return per.select("user_id", "n", "seen_hits", (F.col("gap") < 1e-6).alias("scored"))
+
+
 # ---------------------------------------------------------------- end to end
 
 @register("end_to_end_metrics")
@@ -902,6 +1020,21 @@ def q_end_to_end_metrics(spark, sf):
     return res.metrics.select("model", "metric", r6("value").alias("value"), "status")
 
 
+@register("end_to_end_check", """SELECT model, metric, 'ok' AS status, true AS sane FROM (
+  SELECT unnest(['ALS', 'SVD', 'kNN']) AS model) m, (SELECT unnest(['precision_at_k', 'recall_at_k', 'ndcg_at_k', 'rmse', 'n_scored']) AS metric) n
+WHERE model <> 'kNN' OR metric NOT IN ('rmse', 'n_scored')""")
+def q_end_to_end_check(spark, sf):
+    """The whole run with the feature table: which metrics it reports, each in its range, and recall = K x precision (one
+    held-out row per user)."""
+    from tastemap.plans import pipeline as PL
+    m = PL.run(spark, FX.ratings(spark, sf), FX.items(spark, sf), PL.PipelineConfig(features=True)).metrics
+    k = DEFAULTS.top_k
+    by = m.groupBy("model").agg(*[F.max(F.when(F.col("metric") == f"{c}_at_k", F.col("value"))).alias(c) for c in ("precision", "recall")])
+    sane = (F.when(F.col("metric") == "rmse", F.col("value").between(0.0, 4.0)).when(F.col("metric") == "n_scored", F.col("value") > 0)
+            .otherwise(F.col("value").between(0.0, 1.0) & (F.abs(F.col("recall") - k * F.col("precision")) < 1e-9)))
+    return m.join(by, "model").select("model", "metric", "status", sane.alias("sane"))
+
+
 # ---------------------------------------------------------------- second ratings source
 
 @register("interactions_profile", with_ctes("""SELECT count(*) AS n_pairs, count(DISTINCT user_id) AS n_users,

@@ -161,10 +161,19 @@ def test_cross_validation_is_seeded(spark):
     _, b = ALS.cross_validate(df, small=True, parallelism=2, seed=7)
     ra = sorted(map(tuple, a.collect()))
     rb = sorted(map(tuple, b.collect()))
+    assert all(r[4] > 0 for r in ra)
     assert [r[:3] for r in ra] == [(20, 0.1, 6), (40, 0.1, 6)]
     assert all(x[3] == pytest.approx(y[3], rel=1e-9) for x, y in zip(ra, rb))
 
 
+def test_model_search_does_not_depend_on_partitioning(spark):
+    df, _ = planted(spark, 60, 30)
+    df = df.checkpoint()
+    one, many = (sorted(map(tuple, ALS.cross_validate(d, small=True, parallelism=2)[1].collect())) for d in (df.coalesce(1), df.repartition(8)))
+    assert [r[:3] + r[4:] for r in one] == [r[:3] + r[4:] for r in many]
+    assert all(x[3] == pytest.approx(y[3], rel=1e-4) for x, y in zip(one, many))
+
+
 def test_als_does_not_depend_on_partitioning(spark):
     """The block count is a parameter, so layout and parallelism leave the model as it is."""
     train = R.clean_ratings(FX.ratings(spark, SF_SMALL)).checkpoint()

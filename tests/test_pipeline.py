@@ -133,6 +133,40 @@ def test_median_with_hot_value(spark):
     assert med["x"] == vals[(len(vals) - 1) // 2]
 
 
+@pytest.mark.parametrize("rows, accuracy", [(20_000, 10_000), (5, 100), (50, 20)])
+def test_medians_by_narrowing_equal_the_sorted_middle(spark, monkeypatch, rows, accuracy):
+    import random
+    monkeypatch.setattr(FE, "_BRACKET_ROWS", rows)
+    monkeypatch.setattr(FE, "_ACCURACY", accuracy)
+    r = random.Random(rows)
+    data = [(r.choice([None, 3, r.randrange(10**6)]), float("nan") if i % 9 == 0 else r.gauss(0, 1e6), 5, None, 2**60 + i % 700) for i in range(3000)]
+    df = spark.createDataFrame(data, "a long, b double, c int, d double, e long").repartition(5)
+    got = FE.exact_medians(df, ["a", "b", "c", "d", "e"])
+    for j, c in enumerate("abcde"):
+        v = sorted(x[j] for x in data if x[j] is not None and x[j] == x[j])
+        assert got[c] == (v[(len(v) - 1) // 2] if v else None), c
+    assert set(FE.exact_medians(df.filter("a < 0"), ["a", "b"]).values()) == {None}
+
+
+def test_caps_keep_the_same_rows_as_a_full_order(spark):
+    from tastemap.functions.exprs import hash_key
+    from tastemap.operators import split as S
+    df = spark.range(0, 5000).selectExpr("id % 700 as user_id", "id % 37 as item_id", "1.0 + id % 5 as rating").repartition(6)
+    key = [hash_key("user_id", "item_id", seed=3), F.col("user_id"), F.col("item_id"), F.col("rating")]
+    for n in (0, 1, 999, 4999, 5000, 9000):
+        want = [tuple(r) for r in df.orderBy(*key).limit(n).collect()]
+        assert sorted(map(tuple, S.capped_rows(df, n, seed=3).collect())) == sorted(want)
+    assert S.capped_users(df, 50).count() == 50
+
+
+def test_profile_counts_of_nulls_and_empty_tables(spark):
+    df = spark.createDataFrame([(1, 2, 3.0), (1, 2, 4.0), (1, 3, 5.0), (2, 2, 1.0), (None, 2, 2.0), (3, None, 2.0)], "user_id long, item_id long, rating double")
+    p = R.dataset_profile(df).first().asDict()
+    assert (p["n_ratings"], p["n_users"], p["n_items"], p["n_pairs"], p["rating_min"], p["rating_max"]) == (6, 3, 2, 3, 1.0, 5.0)
+    e = R.dataset_profile(df.filter("rating > 9")).first()
+    assert (e["n_ratings"], e["n_users"], e["n_pairs"], e["density"]) == (0, 0, 0, None)
+
+
 def test_bucketed_split_same_rows_and_no_user_shuffle(spark):
     import contextlib, io
     a = PL.prepare(FX.ratings(spark, SF_SMALL))

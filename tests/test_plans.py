@@ -11,7 +11,8 @@ from tastemap.plans import queries as Q
 
 HEAVY = {"end_to_end_metrics", "als_cv_grid", "svd_singular_values", "svd_factors", "item_factors_roundtrip",
          "svd_recommend", "als_predict", "als_recommend", "als_recs_nested", "als_save_load", "stage_raw_tables",
-         "als_predict_check", "als_recommend_check", "als_save_load_check",
+         "svd_singular_values_check", "item_factors_roundtrip_check", "svd_recommend_check", "end_to_end_check", "als_cv_grid_full",
+         "als_recs_nested_check", "als_predict_check", "als_recommend_check", "als_save_load_check",
          "model_comparison", "metrics_long"}
 
 
@@ -29,6 +30,24 @@ def test_no_pair_products_or_row_udfs(spark, name):
         assert bad not in p, bad
 
 
+def test_profile_has_no_expand_and_medians_no_sort(spark):
+    assert "Expand" not in plan(E.queries()["dataset_profile"](spark, SF_SMALL))
+    from tastemap.operators import features as FE
+    t = Q.enriched(spark, SF_SMALL)
+    seen = []
+    agg = type(t).agg
+    try:
+        type(t).agg = lambda self, *a: seen.append(agg(self, *a)) or seen[-1]
+        FE.exact_medians(t, ["item_id", "average_rating"] if "item_id" in FE.feature_inputs(t)[0] else ["average_rating"])
+    finally:
+        type(t).agg = agg
+    assert seen and all("Sort " not in plan(s) and "rangepartitioning" not in plan(s) for s in seen)
+
+
+def test_lists_without_exclusion_have_no_cartesian_product(spark):
+    assert "CartesianProduct" not in plan(E.queries()["als_recs_nested"](spark, SF_SMALL))
+
+
 def test_topk_limits_before_shuffle(spark):
     p = plan(E.queries()["topk_per_user"](spark, SF_SMALL))
     # a partial limit on the map side, a final one after the exchange
