@@ -816,8 +816,8 @@ def nested_lists(spark, lists):
     path = scratch_path(spark, "als-recs") + ".parquet"
     sinks.write_lists(lists, path)
     back = spark.read.parquet(path)
-    return back.select("user_id", F.size("items").cast("bigint").alias("n"), F.transform("items", lambda r: r["item_id"]).alias("items"),
-                       F.transform("items", lambda r: r["score"]).alias("scores"))
+    return back.select("user_id", F.size("items").cast("bigint").alias("n"), "items",
+                       F.transform("recommendations", lambda r: r["score"]).alias("scores"))
 
 
 @register("als_recs_nested_check", with_ctes("""SELECT user_id, least(10, n_items) AS n, least(10, n_items) AS n_distinct, true AS falling
@@ -850,7 +850,7 @@ def q_als_cv_grid(spark, sf):
 def grid_sql(ranks, regs, iters, folds: int) -> str:
     """Per setting the number of rows that all folds score: rows whose user and item another fold knows."""
     values = ", ".join(f"({r}, {g}, {i})" for r in ranks for g in regs for i in iters)
-    return with_ctes(f"""SELECT g.rank, g.reg_param, g.max_iter, n.n_scored, true AS finite FROM (VALUES {values}) g(rank, reg_param, max_iter), (
+    return with_ctes(f"""SELECT g.rank, CAST(g.reg_param AS DOUBLE) AS reg_param, g.max_iter, n.n_scored, true AS finite FROM (VALUES {values}) g(rank, reg_param, max_iter), (
   SELECT count(*) AS n_scored FROM folded f
   WHERE EXISTS (SELECT 1 FROM folded o WHERE o.user_id = f.user_id AND o.fold <> f.fold)
     AND EXISTS (SELECT 1 FROM folded o WHERE o.item_id = f.item_id AND o.fold <> f.fold)) n""", "train", extra=f"""folded AS (
