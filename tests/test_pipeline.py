@@ -197,7 +197,7 @@ def test_cli_end_to_end_with_reference_column_names(spark):
     FX.items(spark, SF_SMALL).withColumnRenamed("item_id", "book_id").write.option("header", "true") \
         .csv(f"{data}/books.csv")
     out = scratch_path(spark, "cli-out")
-    res = cli.main(["--data", data, "--out", out, "--svd-method", "auto"], spark=spark)
+    res = cli.main(["--data", data, "--out", out], spark=spark)
     assert res.metrics.filter("status = 'ok'").count() >= 8
     assert spark.read.parquet(f"{data}/ratings.parquet").count() == r.count()
     assert spark.read.parquet(f"{out}/features.parquet").count() > 0
