@@ -13,8 +13,8 @@ CLASSES, CLASS_WORDS, RARE = 16, 64, 48
 FREQ = CLASSES * CLASS_WORDS
 START = FREQ + RARE  # input before the first token
 WIDTH, HIDDEN = 16, 24
-STREAMS, WINDOW = 64, 32
-SCORE_WINDOW = 64
+STREAMS, WINDOW, UPDATES = 128, 32, 256  # as many streams as leave about UPDATES updates a pass, at most STREAMS
+SCORE_WINDOW = 16
 
 
 def new(counts: np.ndarray, rare_mass: np.ndarray, seed: int = 5) -> dict:
@@ -45,58 +45,93 @@ def unpack(flat: np.ndarray, like: dict) -> dict:
 def _cell(h, xz, wh):
     """One step: new state and what its gradient needs."""
     hz = h @ wh
-    s = 1.0 / (1.0 + np.exp(-(xz[:, :2 * HIDDEN] + hz[:, :2 * HIDDEN])))
+    s = hz[:, :2 * HIDDEN] + xz[:, :2 * HIDDEN]
+    np.negative(s, out=s)
+    np.exp(s, out=s)
+    s += 1
+    np.reciprocal(s, out=s)
     r, z = s[:, :HIDDEN], s[:, HIDDEN:]
-    n = np.tanh(xz[:, 2 * HIDDEN:] + r * hz[:, 2 * HIDDEN:])
-    return n + z * (h - n), r, z, n, hz[:, 2 * HIDDEN:]
+    hn = hz[:, 2 * HIDDEN:]
+    n = r * hn
+    n += xz[:, 2 * HIDDEN:]
+    np.tanh(n, out=n)
+    new = h - n
+    new *= z
+    new += n
+    return new, r, z, n, hn
 
 
-def _log_softmax(x):
-    x = x - x.max(1, keepdims=True)
-    return x - np.log(np.exp(x).sum(1, keepdims=True))
+def _softmax(x, at):
+    """Turns the scores ``x`` (one column a token) into exponentials in place.
+
+    Returns their sums and the log probability of row ``at[i]`` of column i.
+    """
+    x -= x.max(0)
+    got = x[at, np.arange(x.shape[1])]
+    np.exp(x, out=x)
+    total = x.sum(0)
+    return total, got - np.log(total)
+
+
+def _by_class(cls):
+    """The frequent tokens sorted by class: their places, and (class, first, end) of each class that occurs."""
+    order = np.argsort(cls.astype(np.int16), kind="stable")
+    bound = np.searchsorted(cls[order], np.arange(CLASSES + 1))
+    return order[:bound[-1]], [(c, bound[c], bound[c + 1]) for c in range(CLASSES) if bound[c] < bound[c + 1]]
 
 
 def _update(p, m, v, step, ids, target, fresh, h, rate):
     """One truncated-backpropagation update over a (streams, window) block; returns the state after it."""
     n, length = ids.shape
-    x = p["E"][ids]
-    xz = x @ p["Wx"] + p["bx"]
-    prev, saved_, hs = [], [], np.empty((length, n, HIDDEN), np.float32)
+    ids, goal, fresh = ids.T, target.T.ravel(), fresh.T  # time first, so that a step's rows lie together
+    xz = (p["E"] @ p["Wx"] + p["bx"])[ids]
+    anew = fresh.any(1)
+    prev, saved_, hs = [], [], np.empty((length, n, HIDDEN), xz.dtype)
     for t in range(length):
-        h = np.where(fresh[:, t, None], np.float32(0), h)
+        if anew[t]:
+            h = np.where(fresh[t, :, None], xz.dtype.type(0), h)
         prev.append(h)
-        h, *rest = _cell(h, xz[:, t], p["Wh"])
+        h, *rest = _cell(h, xz[t], p["Wh"])
         saved_.append(rest)
         hs[t] = h
-    flat, goal = hs.reshape(-1, HIDDEN), target.T.ravel()
+    flat = hs.reshape(-1, HIDDEN)
     cls = np.where(goal < FREQ, goal // CLASS_WORDS, goal - FREQ + CLASSES)
     total = len(goal)
-    d = np.exp(_log_softmax(flat @ p["Wc"] + p["bc"]))
-    d[np.arange(total), cls] -= 1
-    grad = {"Wc": flat.T @ d, "bc": d.sum(0), "Ww": np.zeros_like(p["Ww"]), "bw": np.zeros_like(p["bw"])}
-    dh_all = d @ p["Wc"].T
-    for c in np.unique(cls[goal < FREQ]):
-        at = np.flatnonzero(cls == c)
-        e = np.exp(_log_softmax(flat[at] @ p["Ww"][c] + p["bw"][c]))
-        e[np.arange(len(at)), goal[at] % CLASS_WORDS] -= 1
-        grad["Ww"][c], grad["bw"][c] = flat[at].T @ e, e.sum(0)
-        dh_all[at] += e @ p["Ww"][c].T
+    d = p["Wc"].T @ flat.T + p["bc"][:, None]
+    d /= _softmax(d, cls)[0]
+    d[cls, np.arange(total)] -= 1
+    grad = {"Wc": (d @ flat).T, "bc": d.sum(1), "Ww": np.zeros_like(p["Ww"]), "bw": np.zeros_like(p["bw"])}
+    dh_all = d.T @ p["Wc"].T
+    order, parts = _by_class(cls)
+    mine, slot, back = flat[order], goal[order] % CLASS_WORDS, np.empty((len(order), HIDDEN), xz.dtype)
+    for c, i, j in parts:
+        e = p["Ww"][c].T @ mine[i:j].T + p["bw"][c][:, None]
+        e /= _softmax(e, slot[i:j])[0]
+        e[slot[i:j], np.arange(j - i)] -= 1
+        grad["Ww"][c], grad["bw"][c] = (e @ mine[i:j]).T, e.sum(1)
+        back[i:j] = e.T @ p["Ww"][c].T
+    dh_all[order] += back
     dh_all = dh_all.reshape(length, n, HIDDEN)
-    dxz, dwh = np.empty_like(xz), np.zeros_like(p["Wh"])
-    dh = np.zeros((n, HIDDEN), np.float32)
+    dxz, dhz = np.empty_like(xz), np.empty_like(xz)
+    dh = np.zeros((n, HIDDEN), xz.dtype)
+    back_h = np.ascontiguousarray(p["Wh"].T)
     for t in range(length - 1, -1, -1):
         r, z, cand, hn = saved_[t]
         dh = dh + dh_all[t]
         dn = dh * (1 - z) * (1 - cand * cand)
-        dz = dh * (prev[t] - cand) * z * (1 - z)
-        dr = dn * hn * r * (1 - r)
-        dxz[:, t] = np.concatenate([dr, dz, dn], 1)
-        dhz = np.concatenate([dr, dz, dn * r], 1)
-        dwh += prev[t].T @ dhz
-        dh = np.where(fresh[:, t, None], np.float32(0), dh * z + dhz @ p["Wh"].T)
+        out, hid = dxz[t], dhz[t]
+        out[:, :HIDDEN] = dn * hn * r * (1 - r)
+        out[:, HIDDEN:2 * HIDDEN] = dh * (prev[t] - cand) * z * (1 - z)
+        out[:, 2 * HIDDEN:] = dn
+        hid[:, :2 * HIDDEN] = out[:, :2 * HIDDEN]
+        hid[:, 2 * HIDDEN:] = dn * r
+        dh = dh * z + hid @ back_h
+        if anew[t]:
+            dh = np.where(fresh[t, :, None], xz.dtype.type(0), dh)
     flat_dxz = dxz.reshape(-1, 3 * HIDDEN)
-    grad |= {"Wh": dwh, "Wx": x.reshape(-1, WIDTH).T @ flat_dxz, "bx": flat_dxz.sum(0), "E": np.zeros_like(p["E"])}
-    np.add.at(grad["E"], ids.ravel(), flat_dxz @ p["Wx"].T)
+    dx, ids = flat_dxz @ p["Wx"].T, ids.ravel()
+    grad |= {"Wh": np.concatenate(prev).T @ dhz.reshape(-1, 3 * HIDDEN), "Wx": p["E"][ids].T @ flat_dxz, "bx": flat_dxz.sum(0),
+             "E": np.stack([np.bincount(ids, dx[:, k], minlength=START + 1) for k in range(WIDTH)], 1)}
     lr = rate * np.sqrt(1 - 0.999 ** step) / (1 - 0.9 ** step)
     for k, g in grad.items():
         g = g / total
@@ -110,7 +145,7 @@ def train(p: dict, ids: np.ndarray, first: np.ndarray, rate: float) -> dict:
     """``p`` after one pass over the tokens ``ids`` (``first`` marks a document's first), dealt to parallel streams."""
     p = dict(p)
     n = len(ids)
-    streams = max(1, min(STREAMS, n // (2 * WINDOW)))
+    streams = max(1, min(STREAMS, n // (UPDATES * WINDOW)))
     length = -(-n // streams)
     pad = streams * length - n
     goal = np.append(ids, ids[:pad]).reshape(streams, length)
@@ -158,22 +193,14 @@ def log_likelihood(p: dict, ids: np.ndarray, bound: np.ndarray) -> np.ndarray:
         flat, goal = hs[ok], goal.T[ok]
         doc = np.broadcast_to(np.arange(live), (width, live))[ok]
         cls = np.where(goal < FREQ, goal // CLASS_WORDS, goal - FREQ + CLASSES)
-        x = flat @ p["Wc"]
-        x += p["bc"]
-        top = x.max(1)
-        got = x[np.arange(len(goal)), cls] - top
-        x -= top[:, None]
-        np.exp(x, out=x)
-        got -= np.log(x.sum(1))
-        for c in range(CLASSES):
-            mine = np.flatnonzero(cls == c)
-            if len(mine):
-                w = flat[mine] @ p["Ww"][c]
-                w += p["bw"][c]
-                top = w.max(1)
-                pick = w[np.arange(len(mine)), goal[mine] % CLASS_WORDS] - top
-                w -= top[:, None]
-                np.exp(w, out=w)
-                got[mine] += pick - np.log(w.sum(1))
+        x = p["Wc"].T @ flat.T
+        x += p["bc"][:, None]
+        got = _softmax(x, cls)[1]
+        mine, parts = _by_class(cls)
+        within, slot = flat[mine], goal[mine] % CLASS_WORDS
+        for c, i, j in parts:
+            w = p["Ww"][c].T @ within[i:j].T
+            w += p["bw"][c][:, None]
+            got[mine[i:j]] += _softmax(w, slot[i:j])[1]
         out[rows] += np.bincount(doc, got.astype(float), minlength=live)
     return out

@@ -8,13 +8,18 @@ counts; only the others, the tail, are shuffled.
 The model is a gated recurrent network. Its output is factored into classes: the
 most frequent words fill 16 classes of 64, every other word belongs to one of
 48 classes by its last two bytes and gets the add-one share of its count in
-that class. Before training the biases equal the unigram shares; training is data-parallel:
-in each of ``ROUNDS`` rounds every partition runs truncated backpropagation over its share
-of a part of the training documents from the common parameters, and the results are
-averaged, weighted by tokens, in a grouped sum on the executors. The parts are dealt by a
-hash of id and text and there are as many as rounds, so every training document, also one
-without an id, is trained on once. Scoring carries the state across windows, so a
-document's likelihood is that of its whole token sequence.
+that class. Every text is turned into token ids (two bytes each) once and written; training
+and scoring read those.
+
+Before training the biases equal the unigram shares; training is data-parallel. The training
+documents are dealt by a hash of id and text to shards of about ``SHARD_TOKENS`` tokens, whose
+number follows the number of training tokens alone. In each of ``ROUNDS`` rounds truncated
+backpropagation runs over every shard of the round from the common parameters, a shard's
+documents in the order of their hash, and the results are averaged, weighted by tokens, on the
+executors. So the parameters follow the rows and not their partitions, and every training
+document, also one without an id, is trained on once. Equal rows are counted first and dealt
+evenly over all shards, so no group of copies fills one. Scoring carries the state across
+windows, so a document's likelihood is that of its whole token sequence.
 
 Defined results: a null text is empty and has the end token only; null ids are carried and count as
 remainder 0; repeated rows are scored one by one and all count in training; only the
@@ -33,10 +38,13 @@ from .frames import arrow_map, crc_mod, saved, table
 
 COMMON = 65_536
 ROUNDS = 2
-RATE = 0.02
+RATE = 0.03
+SHARD_TOKENS = 1 << 20  # training tokens of a shard, about
+MAX_TASKS = 8192  # tasks of a round; each takes its shards one by one
 PASS_TOKENS = 2 << 20  # tokens a task trains on at a time
 END = 1 << 40  # the end token's number among the word hashes
 CHUNK = 8 << 20
+SCORE_TOKENS = 1 << 20  # tokens scored side by side, a whole document at least
 _U = np.uint64
 
 
@@ -130,94 +138,166 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     return Vocabulary([tuple(r) for r in rows], int(total[0] or 0), int(total[1]), class_n, class_v)
 
 
-def fit(docs: DataFrame, vocab: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> dict:
-    """Network parameters after ``ROUNDS`` rounds of training on the executors, which pass over all of ``docs`` once."""
-    sc = docs.sparkSession.sparkContext
-    params = gru.new(vocab.counts, vocab.class_n + vocab.class_v + 1)
-    shared_vocab = sc.broadcast(vocab)
-    part = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(ROUNDS))
-    for k in range(ROUNDS):
-        shared = sc.broadcast(params)
-        rate = RATE / (1 + k)
-
-        def run(batches, shared=shared, rate=rate):
-            p, weight, ids, first, held = shared.value, 0, [], [], 0
-            for batch in batches:
-                for _, _, words, h in _blocks(batch.column(0)):
-                    token, bound, _, _ = shared_vocab.value.tokens(words, h)
-                    ids.append(token)
-                    begin = np.zeros(len(token), bool)
-                    begin[bound[:-1]] = True
-                    first.append(begin)
-                    held += len(token)
-                    if held >= PASS_TOKENS:
-                        p = gru.train(p, np.concatenate(ids), np.concatenate(first), rate)
-                        weight, ids, first, held = weight + held, [], [], 0
-            if held:
-                p = gru.train(p, np.concatenate(ids), np.concatenate(first), rate)
-                weight += held
-            if weight:
-                yield pa.RecordBatch.from_arrays([pa.array([weight], pa.int64()), pa.array([gru.pack(p).tolist()], pa.list_(pa.float32()))],
-                                                 names=["weight", "p"])
-
-        rows = arrow_map(docs.filter(part == k).select(F.col(text_col).cast("string")), run, "weight long, p array<float>")
-        mean = rows.select("weight", F.posexplode("p").alias("i", "v")).groupBy("i").agg(
-            (F.sum(F.col("v").cast("double") * F.col("weight")) / F.sum("weight")).alias("v")).collect()
-        if mean:
-            flat = np.zeros(len(mean), np.float32)
-            flat[[r[0] for r in mean]] = [r[1] for r in mean]
-            params = gru.unpack(flat, params)
-        shared.unpersist()
-    return params
-
-
-def score(docs: DataFrame, counts: DataFrame, vocab: Vocabulary, params: dict, id_col: str = "doc_id",
-          text_col: str = "text") -> DataFrame:
-    """``id_col``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score`` of every whole text."""
-    sc = docs.sparkSession.sparkContext
-    shared = sc.broadcast((vocab, params))
+def encode(docs: DataFrame, vocab: Vocabulary, id_col: str = "doc_id", text_col: str = "text", learn=None) -> DataFrame:
+    """A written row per document: ``id``, ``rid`` (its number), ``key`` (hash of id and text), ``learn``, token ids, known
+    tokens, base score, fixed part of the model's score, and the words that are not in ``vocab``."""
+    shared = docs.sparkSession.sparkContext.broadcast(vocab)
 
     def run(batches):
-        v, p = shared.value
+        v = shared.value
         rid = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 36
         log_n = np.log10(v.n + 1.0)
+        end_at, end_found = v.look_up(np.array([END]))
         for batch in batches:
-            for i, j, words, h in _blocks(batch.column(1), CHUNK):
+            for i, j, words, h in _blocks(batch.column(3), CHUNK):
                 m = j - i
                 token, bound, at, found = v.tokens(words, h)
-                ll = gru.log_likelihood(p, token, bound) / np.log(10.0)
                 add = lambda x, w=words.row: np.bincount(w, x, minlength=m)
-                end_at, end_found = v.look_up(np.array([END]))
                 known = add((found & (v.n[at] > 0)).astype(float)) + float(v.n[end_at[0]] > 0)
                 common = np.where(found, log_n[at], 0.0)
-                rare = token[np.arange(len(h)) + words.row] >= gru.FREQ
-                rare_class = np.where(rare, token[np.arange(len(h)) + words.row] - gru.FREQ, 0)
+                mine = token[np.arange(len(h)) + words.row]
+                rare = mine >= gru.FREQ
                 base = add(common) + log_n[end_at[0]] - (words.per_row + 1) * v.base_cost
-                model = ll + add(np.where(rare, common - v.rare_cost[rare_class], 0.0))
+                fixed = add(np.where(rare, common - v.rare_cost[np.where(rare, mine - gru.FREQ, 0)], 0.0))
                 tail = ~found
                 ends = np.append(0, np.cumsum(np.bincount(words.row[tail], minlength=m)))
+                ids = pa.Array.from_buffers(pa.binary(), m, [None, pa.py_buffer((bound * 2).astype(np.int32).tobytes()),
+                                                             pa.py_buffer(token.astype("<i2").tobytes())])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, m), pa.array(rid + np.arange(m)), pa.array(words.per_row + 1), pa.array(known.astype(np.int64)),
-                     pa.array(base), pa.array(model), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(h[tail]))],
-                    names=["id", "rid", "n_tokens", "known", "base", "model", "tail"])
+                    [*(batch.column(k).slice(i, m) for k in range(3)), pa.array(rid + np.arange(m)), pa.array(known.astype(np.int64)),
+                     pa.array(base), pa.array(fixed), ids, pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(h[tail]))],
+                    names=["id", "key", "learn", "rid", "known", "base", "fixed", "ids", "tail"])
                 rid += m
 
     kind = docs.schema[id_col].dataType.simpleString()
-    parts = saved(arrow_map(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string")), run,
-                            f"id {kind}, rid long, n_tokens long, known long, base double, model double, tail array<long>"), "lm-parts")
-    tail = parts.select("rid", F.explode("tail").alias("word")).join(counts.select("word", "n"), "word").groupBy("rid").agg(
+    text = F.col(text_col).cast("string")
+    src = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), text).alias("key"),
+                      (F.lit(True) if learn is None else learn).alias("learn"), text.alias("text"))
+    return saved(arrow_map(src, run, f"id {kind}, key long, learn boolean, rid long, known long, base double, fixed double, "
+                                     "ids binary, tail array<long>"), "lm-tokens")
+
+
+def _token_rows(column) -> tuple[np.ndarray, np.ndarray]:
+    """All token ids of a binary column and the rows' bounds in them."""
+    data, off = tk.text_buffers(column)
+    return np.frombuffer(data.tobytes(), "<i2").astype(np.int64), off // 2
+
+
+def train(encoded: DataFrame, vocab: Vocabulary) -> dict:
+    """Network parameters after ``ROUNDS`` rounds over the shards of ``encoded``'s learning rows (see the module)."""
+    spark = encoded.sparkSession
+    params = gru.new(vocab.counts, vocab.class_n + vocab.class_v + 1)
+    each = max(1, -(-vocab.total // (ROUNDS * SHARD_TOKENS)))  # shards of a round
+    slots = each * ROUNDS
+    # equal rows are one row with a number, spread over at most all slots
+    same = encoded.filter("learn").groupBy("key", "ids").agg(F.count("*").alias("n"))
+    dealt = saved(same.select("key", "ids", "n", F.explode(F.sequence(F.lit(0), F.least(F.col("n"), F.lit(slots)).cast("int") - 1)).alias("s"))
+                  .select("key", "ids", F.pmod(F.pmod(F.col("key"), F.lit(slots)) + F.col("s"), F.lit(slots)).cast("long").alias("slot"),
+                          (F.floor(F.col("n") / slots) + (F.col("s") < F.col("n") % slots).cast("long")).cast("long").alias("times")), "lm-dealt")
+    tasks = min(each, MAX_TASKS)
+    for k in range(ROUNDS):
+        shared = spark.sparkContext.broadcast(params)
+        rate = RATE / (1 + k)
+
+        def run(batches, shared=shared, rate=rate):
+            state = {"p": shared.value, "held": 0, "weight": 0, "ids": [], "first": []}
+            total, weight = np.zeros(len(gru.pack(shared.value))), 0
+
+            def learn():
+                if state["held"]:
+                    state["p"] = gru.train(state["p"], np.concatenate(state["ids"]), np.concatenate(state["first"]), rate)
+                    state.update(held=0, weight=state["weight"] + state["held"], ids=[], first=[])
+
+            now = None
+            for batch in batches:
+                slot, times = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+                token, bound = _token_rows(batch.column(1))
+                for i in range(len(slot)):
+                    if slot[i] != now:
+                        learn()
+                        total += state["weight"] * gru.pack(state["p"]).astype(float)
+                        weight += state["weight"]
+                        now = slot[i]
+                        state.update(p=shared.value, weight=0)
+                    one = token[bound[i]:bound[i + 1]]
+                    begin = np.zeros(len(one), bool)
+                    begin[:1] = True
+                    for _ in range(times[i]):
+                        state["ids"].append(one)
+                        state["first"].append(begin)
+                        state["held"] += len(one)
+                        if state["held"] >= PASS_TOKENS:
+                            learn()
+            learn()
+            total += state["weight"] * gru.pack(state["p"]).astype(float)
+            weight += state["weight"]
+            if weight:
+                yield pa.RecordBatch.from_arrays([pa.array([weight], pa.int64()), pa.array([total], pa.list_(pa.float64()))], names=["weight", "p"])
+
+        def add(batches):
+            weight, total = 0, 0.0
+            for batch in batches:
+                for w, p in zip(batch.column(0).to_pylist(), batch.column(1)):
+                    weight, total = weight + w, total + p.values.to_numpy()
+            if weight:
+                yield pa.RecordBatch.from_arrays([pa.array([weight], pa.int64()), pa.array([total], pa.list_(pa.float64()))], names=["weight", "p"])
+
+        kind = "weight long, p array<double>"
+        mine = dealt.filter(F.col("slot") % ROUNDS == k).select(
+            F.expr(f"slot div {ROUNDS}").alias("shard"), "ids", "times", "key").repartitionById(tasks, (F.col("shard") % tasks).cast("int"))
+        rows = arrow_map(mine.sortWithinPartitions("shard", "key", "ids").select("shard", "ids", "times"), run, kind)
+        rows = arrow_map(rows.repartition(int(np.ceil(np.sqrt(tasks)))), add, kind)
+        sums = rows.select("weight", F.posexplode("p").alias("i", "v")).groupBy("i").agg((F.sum("v") / F.sum("weight")).alias("v")).collect()
+        if sums:
+            flat = np.zeros(len(sums), np.float32)
+            flat[[r[0] for r in sums]] = [r[1] for r in sums]
+            params = gru.unpack(flat, params)
+        shared.unpersist()
+    return params
+
+
+def fit(docs: DataFrame, vocab: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> dict:
+    """Network parameters after training on all of ``docs``."""
+    return train(encode(docs, vocab, id_col, text_col), vocab)
+
+
+def rate_encoded(encoded: DataFrame, counts: DataFrame, vocab: Vocabulary, params: dict, id_col: str = "doc_id") -> DataFrame:
+    """``id_col``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score`` of every encoded text."""
+    shared = encoded.sparkSession.sparkContext.broadcast(params)
+
+    def run(batches):
+        for batch in batches:
+            token, bound = _token_rows(batch.column(5))
+            got = np.empty(batch.num_rows)
+            for i, j in tk.blocks(bound, SCORE_TOKENS):
+                got[i:j] = gru.log_likelihood(shared.value, token[bound[i]:bound[j]], bound[i:j + 1] - bound[i]) / np.log(10.0)
+            model = got + batch.column(4).to_numpy()
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(4)), pa.array(model), pa.array(np.diff(bound))],
+                                             names=["id", "rid", "known", "base", "model", "n_tokens"])
+
+    kind = encoded.schema["id"].dataType.simpleString()
+    parts = arrow_map(encoded.select("id", "rid", "known", "base", "fixed", "ids"), run,
+                      f"id {kind}, rid long, known long, base double, model double, n_tokens long")
+    tail = encoded.select("rid", F.explode("tail").alias("word")).join(counts.select("word", "n"), "word").groupBy("rid").agg(
         F.sum(F.log10(F.col("n") + 1.0)).alias("more"), F.count("*").alias("seen"))
-    both = parts.drop("tail").join(tail, "rid", "left")
+    both = parts.join(tail, "rid", "left")
     more = F.coalesce("more", F.lit(0.0))
     return both.select(F.col("id").alias(id_col), "n_tokens", (F.col("known") + F.coalesce("seen", F.lit(0))).cast("long").alias("n_known"),
                        F.lit(vocab.total).cast("long").alias("train_tokens"), (F.col("base") + more).alias("base_score"),
                        (F.col("model") + more).alias("score"))
 
 
+def score(docs: DataFrame, counts: DataFrame, vocab: Vocabulary, params: dict, id_col: str = "doc_id",
+          text_col: str = "text") -> DataFrame:
+    """``rate_encoded`` of every whole text of ``docs``."""
+    return rate_encoded(encode(docs, vocab, id_col, text_col), counts, vocab, params, id_col)
+
+
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    learn = docs.filter(crc_mod("doc_id", 7) != 2)
-    counts = saved(word_counts(learn), "lm-counts")
+    learn = crc_mod("doc_id", 7) != 2
+    counts = saved(word_counts(docs.filter(learn)), "lm-counts")
     vocab = vocabulary(counts)
-    out = score(docs, counts, vocab, fit(learn, vocab))
+    encoded = encode(docs, vocab, learn=learn)
+    out = rate_encoded(encoded, counts, vocab, train(encoded, vocab))
     return out.select("doc_id", (crc_mod("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -136,3 +136,32 @@ def test_every_training_document_is_trained_on_once(spark, monkeypatch, tmp_path
     seen = [tuple(map(int, f.read_text().split())) for f in tmp_path.iterdir()]
     assert sum(n for n, _ in seen) == vocab.total
     assert sum(d for _, d in seen) == docs.count()
+
+
+@pytest.mark.parametrize("shard", [lmscore.SHARD_TOKENS, 2000])
+def test_scores_do_not_follow_the_partitions(spark, monkeypatch, shard):
+    """The same rows in 1, 4 and 9 partitions, with copies and rows without an id, give the same scores."""
+    monkeypatch.setattr(lmscore, "SHARD_TOKENS", shard)
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet").select("doc_id", "text").filter("doc_id < 120")
+    docs = docs.union(spark.createDataFrame([(None, "the same few words again")] * 70 + [(5000, "a copy of a row")] * 9, docs.schema))
+    seen = []
+    for n in (1, 4, 9):
+        got, _ = score(spark, docs.repartition(n))
+        seen.append(sorted((str(r.doc_id), r.n_tokens, round(r.base_score, 6), r.score) for r in got))
+    for other in seen[1:]:
+        assert [r[:3] for r in other] == [r[:3] for r in seen[0]]
+        assert np.allclose([r[3] for r in other], [r[3] for r in seen[0]], rtol=1e-4)
+
+
+def test_copies_are_dealt_over_all_shards(spark, monkeypatch):
+    """No shard takes more than its share of a group of equal rows, and none is lost."""
+    monkeypatch.setattr(lmscore, "SHARD_TOKENS", 100)
+    kept, real = [], lmscore.saved
+    monkeypatch.setattr(lmscore, "saved", lambda df, name: kept.append((name, real(df, name))) or kept[-1][1])
+    docs = spark.createDataFrame([(None, "one two three")] * 301 + [(i, f"text {i}") for i in range(50)], "doc_id long, text string")
+    lmscore.fit(docs, lmscore.vocabulary(lmscore.word_counts(docs)))
+    dealt = next(d for n, d in kept if n == "lm-dealt")
+    rows = dealt.groupBy("key", "slot").agg({"times": "sum"}).collect()
+    hot = [r[2] for r in rows if r.key == max(rows, key=lambda x: x[2]).key]
+    assert sum(r[2] for r in rows) == 351
+    assert sum(hot) == 301 and max(hot) - min(hot) <= 1 and len(hot) > 10
