@@ -42,23 +42,21 @@ def unpack(flat: np.ndarray, like: dict) -> dict:
     return out
 
 
-def _cell(h, xz, wh):
-    """One step: new state and what its gradient needs."""
-    hz = h @ wh
-    s = hz[:, :2 * HIDDEN] + xz[:, :2 * HIDDEN]
+def _cell(h, xz, wh, hz=None, gates=None, cand=None):
+    """New state after one step; the hidden products, gates and candidate are left in the given arrays."""
+    hz = np.matmul(h, wh, out=hz)
+    s = np.add(hz[:, :2 * HIDDEN], xz[:, :2 * HIDDEN], out=gates)
     np.negative(s, out=s)
     np.exp(s, out=s)
     s += 1
     np.reciprocal(s, out=s)
-    r, z = s[:, :HIDDEN], s[:, HIDDEN:]
-    hn = hz[:, 2 * HIDDEN:]
-    n = r * hn
+    n = np.multiply(s[:, :HIDDEN], hz[:, 2 * HIDDEN:], out=cand)
     n += xz[:, 2 * HIDDEN:]
     np.tanh(n, out=n)
     new = h - n
-    new *= z
+    new *= s[:, HIDDEN:]
     new += n
-    return new, r, z, n, hn
+    return new
 
 
 def _softmax(x, at):
@@ -86,14 +84,13 @@ def _update(p, m, v, step, ids, target, fresh, h, rate):
     ids, goal, fresh = ids.T, target.T.ravel(), fresh.T  # time first, so that a step's rows lie together
     xz = (p["E"] @ p["Wx"] + p["bx"])[ids]
     anew = fresh.any(1)
-    prev, saved_, hs = [], [], np.empty((length, n, HIDDEN), xz.dtype)
+    room = lambda k: np.empty((length, n, k), xz.dtype)
+    prev, hs, hz, gates, cand = room(HIDDEN), room(HIDDEN), room(3 * HIDDEN), room(2 * HIDDEN), room(HIDDEN)
     for t in range(length):
         if anew[t]:
             h = np.where(fresh[t, :, None], xz.dtype.type(0), h)
-        prev.append(h)
-        h, *rest = _cell(h, xz[t], p["Wh"])
-        saved_.append(rest)
-        hs[t] = h
+        prev[t] = h
+        hs[t] = h = _cell(h, xz[t], p["Wh"], hz[t], gates[t], cand[t])
     flat = hs.reshape(-1, HIDDEN)
     cls = np.where(goal < FREQ, goal // CLASS_WORDS, goal - FREQ + CLASSES)
     total = len(goal)
@@ -112,26 +109,30 @@ def _update(p, m, v, step, ids, target, fresh, h, rate):
         back[i:j] = e.T @ p["Ww"][c].T
     dh_all[order] += back
     dh_all = dh_all.reshape(length, n, HIDDEN)
-    dxz, dhz = np.empty_like(xz), np.empty_like(xz)
+    r, z = gates[..., :HIDDEN], gates[..., HIDDEN:]
+    # a step's gradients are products with these, whatever the step after it gives
+    to_cand = (1 - z) * (1 - cand * cand)
+    to_r = hz[..., 2 * HIDDEN:] * r * (1 - r)
+    to_z = (prev - cand) * z * (1 - z)
+    dn, dhz = room(HIDDEN), room(3 * HIDDEN)
     dh = np.zeros((n, HIDDEN), xz.dtype)
     back_h = np.ascontiguousarray(p["Wh"].T)
     for t in range(length - 1, -1, -1):
-        r, z, cand, hn = saved_[t]
-        dh = dh + dh_all[t]
-        dn = dh * (1 - z) * (1 - cand * cand)
-        out, hid = dxz[t], dhz[t]
-        out[:, :HIDDEN] = dn * hn * r * (1 - r)
-        out[:, HIDDEN:2 * HIDDEN] = dh * (prev[t] - cand) * z * (1 - z)
-        out[:, 2 * HIDDEN:] = dn
-        hid[:, :2 * HIDDEN] = out[:, :2 * HIDDEN]
-        hid[:, 2 * HIDDEN:] = dn * r
-        dh = dh * z + hid @ back_h
+        dh += dh_all[t]
+        one, hid = np.multiply(dh, to_cand[t], out=dn[t]), dhz[t]
+        np.multiply(one, to_r[t], out=hid[:, :HIDDEN])
+        np.multiply(dh, to_z[t], out=hid[:, HIDDEN:2 * HIDDEN])
+        np.multiply(one, r[t], out=hid[:, 2 * HIDDEN:])
+        dh *= z[t]
+        dh += hid @ back_h
         if anew[t]:
             dh = np.where(fresh[t, :, None], xz.dtype.type(0), dh)
-    flat_dxz = dxz.reshape(-1, 3 * HIDDEN)
-    dx, ids = flat_dxz @ p["Wx"].T, ids.ravel()
-    grad |= {"Wh": np.concatenate(prev).T @ dhz.reshape(-1, 3 * HIDDEN), "Wx": p["E"][ids].T @ flat_dxz, "bx": flat_dxz.sum(0),
-             "E": np.stack([np.bincount(ids, dx[:, k], minlength=START + 1) for k in range(WIDTH)], 1)}
+    flat_dhz, ids = dhz.reshape(-1, 3 * HIDDEN), ids.ravel()
+    dxz = flat_dhz.copy()
+    dxz[:, 2 * HIDDEN:] = dn.reshape(-1, HIDDEN)
+    dx = p["Wx"] @ dxz.T
+    grad |= {"Wh": prev.reshape(-1, HIDDEN).T @ flat_dhz, "Wx": p["E"][ids].T @ dxz, "bx": dxz.sum(0),
+             "E": np.stack([np.bincount(ids, x, minlength=START + 1) for x in dx], 1).astype(xz.dtype)}
     lr = rate * np.sqrt(1 - 0.999 ** step) / (1 - 0.9 ** step)
     for k, g in grad.items():
         g = g / total
@@ -187,7 +188,7 @@ def log_likelihood(p: dict, ids: np.ndarray, bound: np.ndarray) -> np.ndarray:
         h = h[:live]
         hs = np.empty((width, live, HIDDEN), np.float32)
         for t in range(width):
-            h = _cell(h, table[before[:, t]], p["Wh"])[0]
+            h = _cell(h, table[before[:, t]], p["Wh"])
             hs[t] = h
         ok = valid.T
         flat, goal = hs[ok], goal.T[ok]

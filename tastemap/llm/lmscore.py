@@ -43,9 +43,9 @@ SHARD_TOKENS = 1 << 20  # training tokens of a shard, about
 MAX_TASKS = 8192  # tasks of a round; each takes its shards one by one
 PASS_TOKENS = 2 << 20  # tokens a task trains on at a time
 END = 1 << 40  # the end token's number among the word hashes
-CHUNK = 8 << 20
-SCORE_TOKENS = 1 << 20  # tokens scored side by side, a whole document at least
+SCORE_TOKENS = 1 << 19  # tokens scored side by side, a whole document at least
 _U = np.uint64
+_CLASS = np.int64(63)
 
 
 def _word_class(words: tk.Words) -> np.ndarray:
@@ -55,28 +55,30 @@ def _word_class(words: tk.Words) -> np.ndarray:
     return (tk.mix(last * _U(257) + before + _U(1)) % _U(gru.RARE)).astype(np.int64)
 
 
-def _blocks(column, size: int = tk.BLOCK):
-    """(first row, rows, words, hashes) of the blocks of a text column."""
+def _blocks(column):
+    """(first row, rows, words, word numbers) of the blocks of a text column."""
     data, off = tk.text_buffers(column)
-    for i, j in tk.blocks(off, size):
+    for i, j in tk.blocks(off):
         words = tk.Words(tk.LOWER[data[off[i]:off[j]]], off[i:j + 1] - off[i])
-        yield i, j, words, words.hashes().view(np.int64)
+        # the low six bits are the class, so that a word's number tells it
+        yield i, j, words, (words.hashes().view(np.int64) & ~_CLASS) | _word_class(words)
 
 
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(word hash, rare class, count) over all tokens, the end included."""
     def run(batches):
         for batch in batches:
-            h, c, ends = [], [], 0
+            found, times, ends = [np.array([END])], [np.array([0])], 0
             for i, j, words, hashes in _blocks(batch.column(0)):
-                word, first, n = np.unique(hashes, return_index=True, return_counts=True)
-                h.append(np.stack([word, _word_class(words)[first], n]))
+                word, n = np.unique(hashes, return_counts=True)
+                found.append(word)
+                times.append(n)
                 ends += j - i
-            h.append(np.array([[END], [-1], [ends]]))
-            h = np.concatenate(h, 1)
-            word, first, at = np.unique(h[0], return_index=True, return_inverse=True)
-            n = np.bincount(at, h[2]).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(h[1][first]), pa.array(n)], names=["word", "class", "n"])
+            times[0][0] = ends
+            word, at = np.unique(np.concatenate(found), return_inverse=True)
+            n = np.bincount(at, np.concatenate(times)).astype(np.int64)
+            cls = np.where(word == END, -1, word & _CLASS)
+            yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(cls), pa.array(n)], names=["word", "class", "n"])
 
     part = arrow_map(docs.select(F.col(text_col).cast("string")), run, "word long, class long, n long")
     return part.groupBy("word").agg(F.min("class").alias("class"), F.sum("n").alias("n")).filter("n > 0")
@@ -113,7 +115,7 @@ class Vocabulary:
     def tokens(self, words: tk.Words, h: np.ndarray):
         """Token ids with an end after each row, the ids' row bounds, table places and what was found."""
         at, found = self.look_up(h)
-        ident = np.where(found, self.ident[at], gru.FREQ + _word_class(words))
+        ident = np.where(found, self.ident[at], gru.FREQ + (h & _CLASS))
         bound = words.bound + np.arange(len(words.bound))
         out = np.zeros(bound[-1], np.int64)  # id 0 is the end
         out[np.arange(len(h)) + words.row] = ident
@@ -149,7 +151,7 @@ def encode(docs: DataFrame, vocab: Vocabulary, id_col: str = "doc_id", text_col:
         log_n = np.log10(v.n + 1.0)
         end_at, end_found = v.look_up(np.array([END]))
         for batch in batches:
-            for i, j, words, h in _blocks(batch.column(3), CHUNK):
+            for i, j, words, h in _blocks(batch.column(3)):
                 m = j - i
                 token, bound, at, found = v.tokens(words, h)
                 add = lambda x, w=words.row: np.bincount(w, x, minlength=m)
