@@ -8,10 +8,10 @@
 * :func:`knn_votes` / :func:`knn_recommend` - unweighted votes of the
   neighbours of a user's training items, seen items removed, top-K.
 
-Each step is a join, an aggregate or a per-group top-K. Neighbour
-expansion makes at most N rows per training row, so its size is linear in
-the data; votes are grouped on (user, item), which spreads a heavy user
-over many keys.
+Each step is a join, an aggregate or a per-group top-K. Neighbours travel
+packed, at most N to a training row, and are expanded only after the user's
+rows are together; votes are grouped on (user, item), which spreads a heavy
+user over many keys.
 """
 
 from __future__ import annotations
@@ -75,15 +75,43 @@ def knn_expansion(train: DataFrame, neighbors: DataFrame, min_rating: float | No
             .select("user_id", F.col("neighbor_id").alias("item_id")))
 
 
+HEAVY_ROWS = 1_000_000   # rows of one key that go to a task
+
+
+def _parts(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """Keys with more than ``HEAVY_ROWS`` rows and the number of parts to deal them in; at most rows / HEAVY_ROWS keys."""
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > HEAVY_ROWS)
+    return counts.select(key, F.ceil(F.col("_n") / HEAVY_ROWS).cast("int").alias(name))
+
+
+def _part_of(other: str, parts: str):
+    return F.pmod(F.xxhash64(other), F.coalesce(F.col(parts), F.lit(1))).cast("int")
+
+
 def knn_votes(train: DataFrame, neighbors: DataFrame, min_rating: float | None = None) -> DataFrame:
-    """``(user_id, item_id, votes)`` (A10). Votes are counted before seen
-    items are removed: the partial aggregate shrinks the expansion (up to
-    N rows per training row) before its shuffle, and the anti-join then
-    runs on the same (user, item) partitioning."""
-    seen = train.select("user_id", "item_id").distinct()
-    votes = (knn_expansion(train, neighbors, min_rating)
-             .groupBy("user_id", "item_id").agg(F.count(F.lit(1)).alias("votes")))
-    return votes.join(seen, ["user_id", "item_id"], "left_anti")
+    """``(user_id, item_id, votes)`` of unseen items (A10).
+
+    The neighbours of an item are one array row. Training rows meet them in one shuffle by item, in which equal pairs
+    also become one, and go to their user with the array still packed: |train| rows, not N times as many. There the
+    arrays are expanded and counted; the row's own item is counted along as seen, so seen items leave without a join.
+    Items and users of more than ``HEAVY_ROWS`` rows are dealt in parts by a hash of the other id."""
+    liked = F.lit(True) if min_rating is None else F.coalesce(F.col("rating") >= min_rating, F.lit(False))
+    rows = train.select("user_id", "item_id", liked.alias("_liked")).filter("user_id is not null and item_id is not null")
+    items, users = _parts(rows, "item_id", "_ip"), _parts(rows, "user_id", "_up")
+    near = (neighbors.groupBy("item_id").agg(F.collect_list("neighbor_id").alias("_near"))
+            .join(items, "item_id", "left")
+            .select("item_id", "_near", F.explode(F.sequence(F.lit(0), F.coalesce("_ip", F.lit(1)) - 1)).alias("_i")))
+    pairs = (rows.join(items, "item_id", "left").withColumn("_i", _part_of("user_id", "_ip"))
+             .repartition("item_id", "_i").groupBy("item_id", "_i", "user_id").agg(F.max("_liked").alias("_liked")))
+    packed = (pairs.join(near, ["item_id", "_i"], "left").join(users, "user_id", "left")
+              .select("user_id", _part_of("item_id", "_up").alias("_u"), "item_id",
+                      F.when(F.col("_liked"), F.col("_near")).alias("_near"))
+              .repartition("user_id", "_u"))
+    own = F.array("item_id")
+    own_first = F.when(F.col("_near").isNull(), own).otherwise(F.concat(own, "_near"))
+    votes = (packed.select("user_id", F.posexplode(own_first).alias("_place", "item_id")).groupBy("user_id", "item_id")
+             .agg(F.count_if(F.col("_place") > 0).alias("votes"), F.count_if(F.col("_place") == 0).alias("_seen")))
+    return votes.filter("_seen = 0").select("user_id", "item_id", "votes")
 
 
 def knn_recommend(votes: DataFrame, users: DataFrame | None = None, k: int = DEFAULTS.top_k) -> DataFrame:

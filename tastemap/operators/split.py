@@ -5,9 +5,10 @@ Every random choice is a hash of the row's key and the seed
 task order or retries, and a recomputed partition after an executor loss
 gives the same rows.
 
-The leave-one-out pick is a per-user aggregate, ``min(struct(hash, item,
-rating))`` with ``count(*)``, not a window: an aggregate has a map-side
-partial step, so a user with a third of all rows is not sorted in one task.
+The leave-one-out pick is a per-user aggregate with ``count(*)``, not a
+window: an aggregate has a map-side partial step, so a user with a third of
+all rows is not sorted in one task. Its order is one number of fixed width
+(:func:`pick_order`), so both steps are hash aggregates without a sort.
 """
 
 from __future__ import annotations
@@ -21,15 +22,27 @@ from tastemap.functions.exprs import hash_key, hash_number
 TRIPLE = ["user_id", "item_id", "rating"]
 
 
+_RATING_DIGITS = 18   # of the order below: +-10^5 in steps of 10^-12
+
+
+def pick_order(seed: int = DEFAULTS.seed):
+    """The order of the pick as a ``decimal(38, 0)``: 60 bits of ``md5(user|item|seed)``, then the rating (in steps of
+    10^-12, held to +-10^5). A decimal fits the fixed-width buffer of hash aggregation, a string or struct does not.
+    Within a user, rows of equal order are ratings of one pair closer than a step; nulls come last."""
+    half = F.lit(10.0 ** 5)
+    rating = F.coalesce(F.least(F.greatest(F.col("rating").cast("double"), -half), half), half)
+    steps = F.floor((rating + half) * 1e12).cast("decimal(18,0)")
+    high = F.conv(F.substring(hash_key("user_id", "item_id", seed=seed), 1, 15), 16, 10).cast("decimal(19,0)")
+    return (high * F.lit(10 ** _RATING_DIGITS).cast("decimal(19,0)") + steps).cast("decimal(38,0)")
+
+
 def holdout_picks(ratings: DataFrame, seed: int = DEFAULTS.seed) -> DataFrame:
     """The held-out row of each user with at least two rows (P8/W1):
-    smallest ``md5(user|item|seed)``, ties by item id, then rating."""
-    pick = F.struct(hash_key("user_id", "item_id", seed=seed).alias("h"),
-                    F.col("item_id"), F.col("rating"))
-    per_user = (ratings.groupBy("user_id")
-                .agg(F.count(F.lit(1)).alias("_n"), F.min(pick).alias("_pick")))
-    return per_user.filter(F.col("_n") >= 2).select(
-        "user_id", F.col("_pick.item_id").alias("item_id"), F.col("_pick.rating").alias("rating"))
+    smallest ``md5(user|item|seed)``, then rating (:func:`pick_order`)."""
+    per_user = (ratings.withColumn("_order", pick_order(seed)).groupBy("user_id")
+                .agg(F.count(F.lit(1)).alias("_n"), F.min_by("item_id", "_order").alias("item_id"),
+                     F.min_by("rating", "_order").alias("rating")))
+    return per_user.filter(F.col("_n") >= 2).select("user_id", "item_id", "rating")
 
 
 def holdout_flagged(ratings: DataFrame, seed: int = DEFAULTS.seed) -> DataFrame:

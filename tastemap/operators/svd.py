@@ -48,6 +48,15 @@ def sparse_rows(pairs: DataFrame, users: DataFrame, items: DataFrame) -> DataFra
                  .alias("entries")))
 
 
+def sparse_row_chunks(pairs: DataFrame, users: DataFrame, items: DataFrame, width: int = 32_768) -> DataFrame:
+    """:func:`sparse_rows` cut at every ``width`` item indices: ``(u_idx, chunk, entries)``. No row holds more than
+    ``width`` entries and a user's chunks go to different tasks, so a user who rated most items is no large row."""
+    idx = pairs.join(users, "user_id", "inner").join(items, "item_id", "inner")
+    return (idx.groupBy("u_idx", F.floor(F.col("i_idx") / width).cast("bigint").alias("chunk"))
+            .agg(F.array_sort(F.collect_list(F.struct(F.col("i_idx"), F.col("rating").alias("value"))))
+                 .alias("entries")))
+
+
 @dataclass
 class SvdResult:
     status: str

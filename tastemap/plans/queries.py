@@ -350,6 +350,21 @@ def q_index_ratings(spark, sf):
     return out.select("user_id", "item_id", "rating", "u_idx", "i_idx")
 
 
+@register("sparse_row_chunks", with_ctes("""SELECT u.u_idx, i.i_idx // 64 AS chunk, count(*) AS nnz,
+  string_agg(CAST(i.i_idx AS VARCHAR), ',' ORDER BY i.i_idx) AS indices, round(sum(p.rating), 6) AS value_sum
+FROM (SELECT user_id, item_id, avg(rating) AS rating FROM train GROUP BY user_id, item_id) p
+JOIN uidx u USING (user_id) JOIN iidx i USING (item_id) GROUP BY u.u_idx, i.i_idx // 64""", "train", "uidx", "iidx"))
+def q_sparse_row_chunks(spark, sf):
+    from tastemap.operators.svd import sparse_row_chunks
+    c = clean(spark, sf)
+    train, _ = S.holdout_per_user(c)
+    rows = sparse_row_chunks(R.dedup_pairs(train), R.dense_index(c, "user_id", "u_idx"), R.dense_index(c, "item_id", "i_idx"), 64)
+    return rows.select(
+        "u_idx", "chunk", F.size("entries").cast("bigint").alias("nnz"),
+        F.array_join(F.transform("entries", lambda e: e["i_idx"].cast("string")), ",").alias("indices"),
+        r6(F.aggregate("entries", F.lit(0.0), lambda s, e: s + e["value"])).alias("value_sum"))
+
+
 @register("sparse_rows", with_ctes("""SELECT u.u_idx, count(*) AS nnz,
   string_agg(CAST(i.i_idx AS VARCHAR), ',' ORDER BY i.i_idx) AS indices, round(sum(p.rating), 6) AS value_sum
 FROM (SELECT user_id, item_id, avg(rating) AS rating FROM train GROUP BY user_id, item_id) p

@@ -118,6 +118,27 @@ def test_knn_votes_and_empty_lists(spark):
     assert {(r[0], r[1]) for r in recs} == {(1, 3), (2, 4)}
 
 
+def test_knn_votes_brute_force_with_heavy_keys(spark, monkeypatch):
+    """Repeated pairs, one user and one item with a third of the rows, dealt in parts; every count by hand."""
+    monkeypatch.setattr(REC, "HEAVY_ROWS", 20)
+    rng = np.random.default_rng(8)
+    rows = [(int(u), int(i), float(r)) for u, i, r in zip(rng.integers(0, 30, 300), rng.integers(0, 60, 300), rng.integers(1, 6, 300))]
+    rows += [(7, i, 4.0) for i in range(60)] + [(u, 5, 4.0) for u in range(100, 200)] + rows[:40]
+    near = [(i, int(n)) for i in range(55) for n in rng.choice(70, 6, replace=False)]
+    train = spark.createDataFrame(rows, "user_id bigint, item_id bigint, rating double")
+    nb = spark.createDataFrame(near, "item_id bigint, neighbor_id bigint")
+    seen = {(u, i) for u, i, _ in rows}
+    for least in (None, 3.0):
+        want = {}
+        for u, i in {(u, i) for u, i, r in rows if least is None or r >= least}:
+            for a, b in near:
+                if a == i and (u, b) not in seen:
+                    want[u, b] = want.get((u, b), 0) + 1
+        got = REC.knn_votes(train.repartition(5), nb, least).collect()
+        assert len(got) == len(want) and {(r[0], r[1]): r[2] for r in got} == want
+    assert REC.knn_votes(train.limit(0), nb).count() == 0 and REC.knn_votes(train, nb.limit(0)).count() == 0
+
+
 def test_popular_unseen_brute_force(spark):
     rng = np.random.default_rng(5)
     rows = {(int(u), int(i)): float(rng.integers(1, 6)) for u, i in zip(rng.integers(0, 40, 600), rng.integers(0, 50, 600))}

@@ -1,5 +1,7 @@
 """Properties of the hash split and hold-out."""
 
+import hashlib
+
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -34,6 +36,23 @@ def test_holdout_independent_of_layout(spark):
     assert a == b
 
 
+def test_pick_order_is_that_of_the_whole_hash(spark):
+    """Smallest (md5, item, rating) of each user, pairs rated twice included; also far-out ratings."""
+    rows = [(u, i, float(r)) for u in range(40) for i in range(u % 7 + 1) for r in {1 + (u * i) % 5, 5 - i % 3}] + [(99, 1, 1e9), (99, 1, -1e9)]
+    df = spark.createDataFrame(rows, "user_id bigint, item_id bigint, rating double")
+    by_user = {}
+    for u, i, r in rows:
+        by_user.setdefault(u, []).append((hashlib.md5(f"{u}|{i}|42".encode()).hexdigest(), i, r))
+    want = {(u, *min(v)[1:]) for u, v in by_user.items() if len(v) > 1}
+    assert _set(S.holdout_picks(df.repartition(4), seed=42)) == want
+
+
+def test_pick_is_a_hash_aggregate(spark):
+    df = spark.createDataFrame([(1, 1, 3.0)], "user_id bigint, item_id bigint, rating double")
+    plan = S.holdout_picks(df)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "ObjectHash" not in plan
+
+
 def test_single_rating_user_stays_in_train(spark):
     df = spark.createDataFrame([(1, 1, 3.0), (2, 1, 4.0), (2, 2, 5.0)], "user_id bigint, item_id bigint, rating double")
     train, test = S.holdout_per_user(df)
