@@ -21,10 +21,11 @@ bucket's smallest and largest id (a star, linear in the bucket). The verified
 links are contracted to components. What is left are pairs whose members share a
 bucket but not a component. Of these, the members outside their bucket's largest
 component are paired with all others that share one of the shingles that are rarest
-among such documents (two sets at the threshold share one of their rarest
-fifth, early enough to leave room for the overlap) and whose sketches do not agree in
+among such documents (two sets at the threshold share one of the larger set's rarest
+fifth and the smaller set's rarest ninth, early enough to leave room for the overlap) and whose sketches do not agree in
 fewer coordinates than a pair at the threshold would by six standard deviations. Every
-link is confirmed on the full sets.
+link is confirmed on the full sets. Texts of one form that are all just too unlike (each with
+a ninth or more of its own shingles) have no common shingle in those ninths and never meet.
 
 Defined results: rows with a null id are returned with a null component and
 ``kept`` true; rows sharing an id are one node of the graph; extra columns are ignored.
@@ -201,17 +202,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.max(F.col("c") != F.col("main")).alias("outside"))
     low = reps.select(*SET_KEY, "n", "planes").dropDuplicates(SET_KEY)
     rare = _rarest(saved(open_.join(low, "id").join(sets, SET_KEY), "open"), percent)
-    x, y = rare.filter("outside").alias("x"), rare.alias("y")
-    differ = sum((F.bit_count(_any_differs(w)) for w in range(PLANE_WORDS)), F.lit(0))
-    pairs = x.join(y, F.col("x.g") == F.col("y.g")).filter(
-        (F.col("x.c") != F.col("y.c"))
-        & (~F.col("y.outside") | (F.col("x.id") < F.col("y.id")))
-        & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
-        # at their first common shingle no more than it and what follows can be shared
-        & ((F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place")) + 1) * (100 + percent)
-           >= (F.col("x.n") + F.col("y.n")) * percent)
-        & (differ <= threshold_disagreements(percent)))
-    rest = pairs.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+    rest = saved(residual_pairs(rare, percent).distinct(), "residual")
     later = verified(rest, sets, percent)
     la, lb = (first.select(F.col("id").alias(v), F.col("c").alias("c" + v)) for v in "ab")
     later = later.join(la, "a", "left").join(lb, "b", "left").select(
@@ -229,6 +220,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             F.col("id") == F.coalesce("component", "id")).alias("kept"))
 
 
+def residual_pairs(rare: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of :func:`_rarest` rows in different components, one of them ``outside``, that may reach the threshold.
+
+    The smaller set (ties: smaller id) needs a common shingle among its n - ceil(2 n percent / (100 + percent)) + 1
+    rarest, for the overlap is that part of both sizes together at least; its other rows are left out before the join."""
+    short = F.col("n") - F.ceil(F.col("n") * 2 * percent / (100 + percent)) + 1
+    small = rare.filter(F.col("place") <= short)
+    x, y = F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place")
+    differ = sum((F.bit_count(_any_differs(w)) for w in range(PLANE_WORDS)), F.lit(0))
+    fits = ((F.col("x.g") == F.col("y.g")) & (F.col("x.c") != F.col("y.c"))
+            & ((F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.id") < F.col("y.id"))))
+            & (F.col("x.n") * 100 >= F.col("y.n") * percent)
+            # at their first common shingle no more than it and what follows can be shared
+            & ((F.least(x, y) + 1) * (100 + percent) >= (F.col("x.n") + F.col("y.n")) * percent)
+            & (differ <= threshold_disagreements(percent)))
+    pair = lambda a, b: a.alias("x").join(b.alias("y"), fits).select(
+        F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
+    return pair(small.filter("outside"), rare).unionByName(pair(small.filter("not outside"), rare.filter("outside")))
+
+
 def _rarest(docs: DataFrame, percent: int) -> DataFrame:
     """``docs`` (one row per id and set, with full sets ``grams``) as one row (g, place) for each of its rarest shingles.
 

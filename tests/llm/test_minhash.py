@@ -114,6 +114,39 @@ def test_chains_with_every_row_given_twice(spark):
     check(spark, rows + rows, 4)
 
 
+def forms(n, words=110, own=16):
+    """Texts of one form with own words in the middle: every pair just below the threshold."""
+    return [(i, " ".join([f"f{j}" for j in range(words // 2)] + [f"o{i}x{j}" for j in range(own - 4)] + [f"f{j}" for j in range(words // 2, words)]))
+            for i in range(n)]
+
+
+def test_forms_just_below_the_threshold_do_not_meet(spark):
+    rows = forms(60) + [(1000 + i, t + " end") for i, t in forms(20)]
+    check(spark, rows, 4)
+    docs = spark.createDataFrame(forms(1200), "id long, text string")
+    sets = minhash.set_table(docs, "id", "text", 4, docs.select("id")).withColumn("n", F.size("grams"))
+    sk = minhash.sketch_table(docs, "id", "text", 4).select("id", "planes")
+    rare = minhash._rarest(sets.join(sk, "id").withColumn("c", F.col("id")).withColumn("outside", F.lit(True)), 80).checkpoint()
+    small = rare.filter(F.col("place") <= F.col("n") - F.ceil(F.col("n") * 160 / 180) + 1)
+    assert rare.join(rare.select("g"), "g").count() > 1_000_000 and small.join(rare.select("g"), "g").count() < 100_000
+    assert minhash.residual_pairs(rare, 80).count() == 0
+
+
+@pytest.mark.parametrize("percent", [60, 80, 90])
+def test_residual_pairs_lose_no_link(spark, percent):
+    """Every linked pair of different components with one side outside is among the pairs, without any banding before."""
+    rows = list(dict(chains(5)).items())
+    docs = spark.createDataFrame(rows, "id long, text string")
+    sets = minhash.set_table(docs, "id", "text", 4, docs.select("id")).withColumn("n", F.size("grams"))
+    sk = minhash.sketch_table(docs, "id", "text", 4).select("id", "planes")
+    rare = minhash._rarest(sets.join(sk, "id").withColumn("c", F.col("id") % 50).withColumn("outside", F.col("id") % 3 == 0), percent)
+    got = {tuple(x) for x in minhash.residual_pairs(rare, percent).distinct().collect()}
+    full = {r.id: set(r.grams) for r in sets.collect()}
+    want = {(a, b) for a in full for b in full if a < b and (a % 50 != b % 50) and (a % 3 == 0 or b % 3 == 0)
+            and 100 * len(full[a] & full[b]) >= percent * len(full[a] | full[b])}
+    assert len(want) > 5 and want <= got
+
+
 def test_small_table_against_all_pairs(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()]
     check(spark, rows, 4)
