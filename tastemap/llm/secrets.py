@@ -54,21 +54,38 @@ ALPHABETS = {     # encoding: (pattern, symbols)
     "upper36": ("^[A-Z0-9]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"),
     "base64": ("", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_"),
 }
+WALK = 128        # matches of a block
 SPAN = "array<struct<s:int,e:int,m:string>>"
 
 
+def bound(value, use):
+    """``use(value)``, with ``value`` computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
 def places(text, pattern: str):
-    """Array of (s, e, m) of all matches of ``pattern`` in the column ``text``."""
+    """Array of (s, e, m) of all matches of ``pattern`` in the column ``text``.
+
+    Matches are walked in blocks of ``WALK``, each from its own start, so that the work does not grow with the square of their number."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pieces = F.zip_with(F.split(text, pattern), found, lambda p, m: F.struct(F.length(p).alias("p"), m.alias("m")))
-    walk = F.aggregate(
-        pieces, F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out")),
-        lambda a, x: F.struct(
-            (a["at"] + F.coalesce(x["p"], F.lit(0)) + F.coalesce(F.length(x["m"]), F.lit(0))).alias("at"),
-            F.when(x["m"].isNull(), a["out"]).otherwise(F.concat(a["out"], F.array(F.struct(
-                (a["at"] + x["p"]).alias("s"), (a["at"] + x["p"] + F.length(x["m"])).alias("e"), x["m"].alias("m"))))).alias("out")),
-        lambda a: a["out"])
-    return walk
+    pieces = F.zip_with(F.split(text, pattern), found, lambda p, m: F.struct(
+        F.coalesce(F.length(p), F.lit(0)).alias("p"), F.coalesce(F.length(m), F.lit(0)).alias("n"), m.alias("m")))
+
+    def walk(ps):
+        block = lambda i: F.slice(ps, i * WALK + 1, WALK)
+        starts = F.aggregate(
+            F.sequence(F.lit(0), F.floor(F.size(ps) / WALK).cast("int")),
+            F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
+            lambda a, i: F.struct(F.aggregate(block(i), a["at"], lambda n, x: n + x["p"] + x["n"]).alias("at"),
+                                  F.concat(a["out"], F.array(a["at"])).alias("out")), lambda a: a["out"])
+        spans = lambda at, i: F.aggregate(
+            block(i), F.struct(at.alias("at"), F.array().cast(SPAN).alias("out")),
+            lambda a, x: F.struct((a["at"] + x["p"] + x["n"]).alias("at"), F.when(x["m"].isNull(), a["out"]).otherwise(
+                F.concat(a["out"], F.array(F.struct((a["at"] + x["p"]).alias("s"), (a["at"] + x["p"] + x["n"]).alias("e"), x["m"].alias("m"))))).alias("out")),
+            lambda a: a["out"])
+        return F.flatten(F.transform(starts, spans))
+
+    return bound(pieces, walk)
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -95,7 +112,7 @@ def normal(x):
         tail = F.exp(-z * z / 2) * (poly * 0.3989422804014327)
         return F.when(v < 0, tail).otherwise(1 - tail)
 
-    return F.transform(F.array(x), share)[0]  # ``x`` stands in the plan once
+    return bound(x, share)
 
 
 def battery(tokens: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ import math
 import random
 import re
 import string
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -113,6 +114,21 @@ def test_recall_per_length_without_words_of_that_length(spark, n):
     assert sum(i < 60 for i in hit) >= (54 if n >= 32 else 40) and not any(i >= 60 for i in hit)
 
 
+def test_places_of_very_many_matches(spark):
+    """Blocks of the walk: numbers of matches around their width, and 20,000 in one text."""
+    r = random.Random(9)
+    hexes = ["".join(r.choices("0123456789abcdef", k=r.randrange(24, 40))) for _ in range(20_000)]
+    n = secrets.WALK
+    rows = [(i, ("" if i % 2 else "ü ") + " -😀".join(hexes[:k]) + ("" if i % 3 else " end"), "en", "s")
+            for i, k in enumerate([0, 1, n - 1, n, n + 1, 2 * n, 3 * n - 1, 20_000])]
+    docs = spark.createDataFrame(rows, messy.SCHEMA)
+    t = time.time()
+    got = docs.select("doc_id", secrets.places(F.col("text"), secrets.HEX).alias("x")).collect()
+    assert time.time() - t < 15
+    for x in got:
+        assert [(s.s, s.e, s.m) for s in x.x] == [(m.start(), m.end(), m[0]) for m in re.finditer(r"[0-9a-f]{24,}", rows[x.doc_id][1])]
+
+
 def test_one_document_alone(spark):
     key = "q7Zt0LxV9bKd3RmWc5YhTn8JpEu2GsAf"
     got = secrets.find_secrets(spark.createDataFrame([(1, f"see {key}", "en", "s")], messy.SCHEMA)).first()
