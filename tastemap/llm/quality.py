@@ -5,10 +5,11 @@ Each document gets counts over its whole text. Documents that pass the base rule
 mergeable quantile sketches of four measures, one per language and source: values
 fall into buckets of 1 % relative width, so a sketch is a table of counts that adds
 up in any order and gives the same thresholds on every run. Sketches of a
-language's sources merge into the language's, those into the corpus'. A group of
-fewer than ``MIN_GROUP`` documents takes its language's thresholds, a smaller
-language the corpus'. A measure is out of range beyond the quartiles plus
-``FENCE`` quartile distances plus a slack (``SLACK``); such documents are rejected.
+language's sources merge into the language's, those into the corpus'. A threshold lies
+beyond the quartiles by ``FENCE`` quartile distances plus a slack (``SLACK``). A group's
+thresholds are the mean of its own, weighted by its documents, and its language's, weighted
+by ``PRIOR`` documents; the language's are blended with the corpus' alike. So they move
+smoothly with a group's size. Documents with a measure out of range are rejected.
 
 Defined results: null and empty texts have zero counts and fail the base rule; a
 null language or source is a group of its own (shared with the empty name);
@@ -28,7 +29,7 @@ ACCURACY = 0.01
 GAMMA = (1 + ACCURACY) / (1 - ACCURACY)
 ZERO_BUCKET = -100000
 FENCE = 3.0
-MIN_GROUP = 100
+PRIOR = 100  # documents for which the next larger group's thresholds count
 # measure: (slack, lower side too)
 SLACK = {"symbol_ratio": (0.05, False), "repeat_ratio": (0.25, False),
          "dup_ratio": (0.5, False), "word_length": (0.75, True)}
@@ -110,15 +111,15 @@ LIMITS = [f"hi_{m}" for m in SLACK] + [f"lo_{m}" for m, (_, both) in SLACK.items
 
 
 def group_limits(counted: DataFrame) -> DataFrame:
-    """(lang, source, limits): own sketch, or the language's or the corpus' where the group is small."""
+    """(lang, source, limits): the group's own blended with the language's, those with the corpus'."""
     fine = saved(sketches(counted), "quality-sketch")
     own = limits(fine, "lang", "source")
     lang = limits(merged(fine, "lang"), "lang").select("lang", F.col("size").alias("lsize"), *[F.col(c).alias("l_" + c) for c in LIMITS])
     corpus = limits(merged(fine.withColumn("g", F.lit(0)), "g"), "g").select("g", *[F.col(c).alias("c_" + c) for c in LIMITS])
     both = own.join(lang, "lang").withColumn("g", F.lit(0)).join(corpus, "g")
+    blend = lambda n, a, b: (F.col(n) * a + F.lit(float(PRIOR)) * b) / (F.col(n) + F.lit(float(PRIOR)))
     return both.select("lang", "source", *[
-        F.when(F.col("size") >= MIN_GROUP, F.col(c)).when(F.col("lsize") >= MIN_GROUP, F.col("l_" + c)).otherwise(F.col("c_" + c)).alias(c)
-        for c in LIMITS])
+        blend("size", F.col(c), blend("lsize", F.col("l_" + c), F.col("c_" + c))).alias(c) for c in LIMITS])
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -148,7 +149,9 @@ def _sql() -> str:
     hi = lambda m: f"max(q3 + (q3 - q1) * {FENCE} + {SLACK[m][0]}) filter (where measure = '{m}') as hi_{m}"
     lo = lambda m: f"max(q1 - (q3 - q1) * {FENCE} - {SLACK[m][0]}) filter (where measure = '{m}') as lo_{m}"
     lims = ", ".join([hi(m) for m in SLACK] + [lo(m) for m in SLACK if SLACK[m][1]])
-    pick = ", ".join(f"case when o.size >= {MIN_GROUP} then o.{c} when l.size >= {MIN_GROUP} then l.{c} else c.{c} end as {c}" for c in LIMITS)
+    prior = f"{float(PRIOR)}::double"
+    pick = ", ".join(f"(o.size * o.{c} + {prior} * ((l.size * l.{c} + {prior} * c.{c}) / (l.size + {prior}))) / (o.size + {prior}) as {c}"
+                     for c in LIMITS)
     level = lambda name, keys, by: f"""
 {name}_n as (select {keys}, measure, bucket, sum(n) as n from sketch group by {by}, measure, bucket),
 {name}_c as (select *, sum(n) over (partition by {by}, measure order by bucket) as cum, sum(n) over (partition by {by}, measure) as total,

@@ -1,6 +1,8 @@
 import contextlib
 import io
 
+from pyspark.sql import functions as F
+
 import duck
 import messy
 from conftest import SF_MID
@@ -31,7 +33,7 @@ def test_counts_by_hand(spark):
 
 
 def test_one_group_many_sizes(spark):
-    """Groups above and below the least size take their own, their language's and the corpus' limits."""
+    """Large and small groups blend their own, their language's and the corpus' limits."""
     rows = []
     for i in range(700):
         lang, source = ("en", "big") if i < 400 else ("en", f"s{i % 9}") if i < 560 else ("xx", "few")
@@ -41,6 +43,25 @@ def test_one_group_many_sizes(spark):
     assert 0 < sum(not r.kept for r in got) < 200
 
 
+def test_limits_move_smoothly_with_the_group(spark):
+    """One more document moves a group's limit little, also at PRIOR documents; by hand: the blend of three levels."""
+    def limit(n):
+        rows = [(i, 0, 0, 0, 100, 400 + 8 * i % 97, "en", "a") for i in range(n)] + [(i, 0, 0, 0, 100, 700 + 5 * i % 83, "en", "b") for i in range(500)]
+        rows += [(i, 0, 0, 0, 100, 900, "xx", "c") for i in range(50)]
+        d = spark.createDataFrame(rows, "id long, n_symbols long, n_dup_lines long, n_repeat_words long, n_words long, word_chars long, lang string, source string")
+        d = d.withColumn("n_lines", F.lit(1).cast("long"))
+        sk = quality.sketches(d)
+        own, lang, corpus = (quality.limits(quality.merged(x, *k), *k) for x, k in (
+            (sk, ("lang", "source")), (sk, ("lang",)), (sk.withColumn("g", F.lit(0)), ("g",))))
+        o, e, c = (x.first() for x in (own.filter("source = 'a'"), lang.filter("lang = 'en'"), corpus))
+        got = quality.group_limits(d).filter("source = 'a'").first().hi_word_length
+        p = quality.PRIOR
+        want = (o.size * o.hi_word_length + p * (e.size * e.hi_word_length + p * c.hi_word_length) / (e.size + p)) / (o.size + p)
+        assert abs(got - want) < 1e-9 and min(o.hi_word_length, e.hi_word_length, c.hi_word_length) < got
+        return got
+    assert abs(limit(100) - limit(99)) < 0.1
+
+
 def test_labels_agree(spark):
     docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
     labels = spark.read.parquet(f"{SF_MID}/labels.parquet")
