@@ -187,3 +187,68 @@ def test_popular_and_metrics_on_empty_inputs(spark):
     truth = spark.createDataFrame([(1, 3)], "user_id bigint, item_id bigint")
     m = M.ranking_metrics(lists, truth, 10, list_users=users).first()
     assert m["users"] == 1 and m["precision_at_k"] == 0.0 and m["ndcg_at_k"] == 0.0
+
+
+def test_unseen_lists_need_no_room_for_seen_items(spark, monkeypatch):
+    """Seen pairs go to the task of their query block: no more than k rows leave a query and segment, however much it has seen."""
+    from pyspark.sql import functions as F
+    from tastemap.operators import scoring
+    monkeypatch.setattr(scoring, "_SEEN", 7)
+    monkeypatch.setattr(scoring, "_CELLS", 50)
+    vf, V = _factors(spark, 90, 4, 31)
+    uf, U = _factors(spark, 40, 4, 32, col="query_id")
+    seen = {u: {(u * 5 + 3 * j) % 90 for j in range((u * 11) % 80)} for u in range(40)}
+    pairs = [(u, i) for u, s in seen.items() for i in s] + [(3, 1000), (None, 4), (77, 5), (5, None)]
+    seen_df = spark.createDataFrame(pairs, "query_id bigint, item_id bigint").repartition(3)
+    uf = uf.withColumn("n", F.udf(lambda u: len(seen[u]), "long")("query_id"))
+    for segment in (1 << 18, 40):
+        monkeypatch.setattr(scoring, "SEGMENT", segment)
+        got = scoring.unseen_topk(uf, vf.repartition(3), seen_df, 4, "n", max_block_bytes=10 * 32).toPandas()
+        assert got.groupby("query_id").size().max() <= 4 * (3 if segment == 40 else 1)
+        want = _brute(U, V, 4, seen)
+        for u in range(40):
+            mine = got[got.query_id == u].sort_values(["score", "item_id"], ascending=[False, True])
+            assert mine.item_id.tolist()[:4] == want[u], u
+
+
+def test_kept_items_of_ties_and_unequal_room():
+    from tastemap.operators import scoring
+    rng = np.random.default_rng(3)
+    s = np.round(rng.normal(size=(30, 500)), 1)
+    keep = np.where(np.arange(30) % 4 == 0, 0, np.arange(30) % 9)
+    ids = rng.permutation(500)
+    for turned in (False, True):
+        kept = scoring._Kept(keep)
+        for a in range(0, 500, 70):
+            part = np.ascontiguousarray(s[:, a:a + 70])
+            for r in (np.arange(0, 30, 2), np.arange(1, 30, 2)):
+                kept.offer(r, np.ascontiguousarray(part[r].T) if turned else part[r], ids[a:a + 70], turned)
+        got = kept.batch(np.arange(30)).to_pandas()
+        for i in range(30):
+            want = sorted(zip(-s[i], ids))[:keep[i]]
+            mine = got[got.query_id == i]
+            assert list(zip(-mine.score, mine.item_id)) == want
+
+
+def test_pair_scores_carry_no_factor_with_a_pair(spark, monkeypatch):
+    """Scores of given pairs equal the plain join's, with repeated, null and unknown keys and other columns, and no factor
+    crosses an exchange in a row with its pair."""
+    from tastemap.operators import scoring, svd as SVD
+    monkeypatch.setattr(scoring, "BLOCK_BYTES", 1 << 13)
+    rng = np.random.default_rng(4)
+    vf, _ = _factors(spark, 2500, 4, 41)
+    uf, _ = _factors(spark, 1500, 4, 42, col="user_id")
+    vf, uf = vf.union(vf.filter("item_id < 9")), uf.union(uf.filter("user_id = 7"))
+    rows = [(int(u), f"r{n}" if n % 3 else None, int(i)) for n, (u, i) in enumerate(zip(rng.integers(0, 1600, 4000), rng.integers(0, 2600, 4000)))]
+    rows += [(7, "many", i) for i in range(300)] + [(None, "x", 3), (3, "x", None)]
+    pairs = spark.createDataFrame(rows, "user_id bigint, note string, item_id bigint")
+    want = SVD.predict_with_factors(pairs, uf, vf).select("user_id", "item_id", "note", "prediction")
+    got = SVD.predict_with_factors(pairs.repartition(5), uf, vf, many=True)
+    assert got.columns == ["user_id", "note", "item_id", "prediction"]
+
+    def key(r):
+        return r[0], r[1], r[2] or "", round(r[3], 9)
+    mine = sorted(map(key, got.select("user_id", "item_id", "note", "prediction").collect()))
+    assert len(mine) > 4000 and mine == sorted(map(key, want.collect()))
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
+    assert SVD.predict_with_factors(pairs, uf.limit(0), vf, many=True).count() == 0
