@@ -194,3 +194,19 @@ def test_svd_centring(spark, center):
     res = SVD.svd_factors(*_indexed(pairs), k=4, center=center)
     assert res.status == "ok" and len(res.singular_values) == 4 and res.item_factors.count() > 0
     assert (res.user_means is None) == (center is None)
+
+
+def test_als_drops_shuffles_while_it_runs(spark):
+    """Every setting has a checkpoint before its last iteration, and the interval does not touch the model."""
+    from dataclasses import replace
+    import numpy as np
+    from tastemap.operators import als as ALS
+    rng = np.random.default_rng(6)
+    rows = [(int(u), int(i), float(r)) for u, i, r in zip(rng.integers(0, 60, 900), rng.integers(0, 40, 900), rng.integers(1, 6, 900))]
+    df = spark.createDataFrame(rows, "user_id int, item_id int, rating double").checkpoint(eager=True)
+    for p in ALS.param_grid() + ALS.param_grid(small=True) + [ALS.AlsParams()]:
+        assert 2 * ALS.estimator(p).getCheckpointInterval() <= p.iters
+    p = ALS.AlsParams(rank=4, iters=5)
+    one, two = (sorted(map(tuple, ALS.factor_tables(ALS.fit(df, q))[1].collect())) for q in (p, replace(p, checkpoint_interval=10)))
+    assert [r[0] for r in one] == [r[0] for r in two]
+    assert np.allclose([r[1] for r in one], [r[1] for r in two], atol=1e-6)
