@@ -69,3 +69,20 @@ def test_clean_filter_pushed_to_scan(spark):
 def test_knn_uses_vectorised_python_only(spark):
     p = plan(E.queries()["knn_recommend"](spark, SF_SMALL))
     assert "MapInArrow" in p and "BatchEvalPython" not in p
+
+
+@pytest.mark.parametrize("name", ["recall_at_k", "ndcg_at_k", "precision_at_k"])
+def test_split_is_written_once_where_read_several_times(spark, name):
+    plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "l_orderkey" not in plan and "Scan ExistingRDD" in plan
+
+
+def test_feature_slots_are_grouped_by_bounded_tasks(spark, monkeypatch):
+    """Tasks grow in number with the rows, and slots are grouped only where their rows have met."""
+    from tastemap.plans import queries as Q
+    monkeypatch.setattr(Q, "SLOT_ROWS", 400)
+    df = Q.QUERIES["feature_slots"](spark, SF_SMALL)
+    above, found, _ = df._jdf.queryExecution().executedPlan().toString().partition("REPARTITION_BY_NUM")
+    assert found and above.count("HashAggregate") == 2 and above.count("Exchange") == 1
+    parts = -(-Q.clean(spark, SF_SMALL).count() // 400)
+    assert parts > 4 and f", {parts})" in above
