@@ -43,7 +43,8 @@ SHARD_TOKENS = 1 << 20  # training tokens of a shard, about
 MAX_TASKS = 8192  # tasks of a round; each takes its shards one by one
 PASS_TOKENS = 2 << 20  # tokens a task trains on at a time
 END = 1 << 40  # the end token's number among the word hashes
-SCORE_TOKENS = 1 << 19  # tokens scored side by side, a whole document at least
+SCORE_TOKENS = 1 << 21  # tokens scored side by side, a whole document at least
+SCORE_ROWS = 1 << 13  # documents of them at most
 _U = np.uint64
 _CLASS = np.int64(63)
 
@@ -271,7 +272,7 @@ def rate_encoded(encoded: DataFrame, counts: DataFrame, vocab: Vocabulary, param
         for batch in batches:
             token, bound = _token_rows(batch.column(5))
             got = np.empty(batch.num_rows)
-            for i, j in tk.blocks(bound, SCORE_TOKENS):
+            for i, j in tk.blocks(bound, SCORE_TOKENS, SCORE_ROWS):
                 got[i:j] = gru.log_likelihood(shared.value, token[bound[i]:bound[j]], bound[i:j + 1] - bound[i]) / np.log(10.0)
             model = got + batch.column(4).to_numpy()
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(4)), pa.array(model), pa.array(np.diff(bound))],

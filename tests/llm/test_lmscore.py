@@ -165,3 +165,36 @@ def test_copies_are_dealt_over_all_shards(spark, monkeypatch):
     hot = [r[2] for r in rows if r.key == max(rows, key=lambda x: x[2]).key]
     assert sum(r[2] for r in rows) == 351
     assert sum(hot) == 301 and max(hot) - min(hot) <= 1 and len(hot) > 10
+
+
+def test_long_documents_share_their_softmax(monkeypatch):
+    """The windows of a few long documents wait for one another: few calls, whatever the number of windows."""
+    r = np.random.default_rng(0)
+    p = gru.new(np.arange(gru.FREQ, 0, -1), np.ones(gru.RARE))
+    ids, calls, plain = r.integers(0, gru.FREQ + gru.RARE, 20_000), [], gru._softmax
+    monkeypatch.setattr(gru, "_softmax", lambda *a: calls.append(1) or plain(*a))
+    assert np.isfinite(gru.log_likelihood(p, ids, np.array([0, 19_000, 20_000]))).all()
+    assert len(calls) < 200
+
+
+@pytest.mark.parametrize("scale", [1, 2000])
+def test_scores_beyond_the_range_of_exp(scale):
+    """Scores that could overflow are moved by their largest; others give the same without it."""
+    r = np.random.default_rng(1)
+    p = gru.new(np.arange(gru.FREQ, 0, -1), np.ones(gru.RARE))
+    p["Wc"] = (r.standard_normal(p["Wc"].shape) * 0.2 * scale).astype(np.float32)
+    p["Ww"] = (r.standard_normal(p["Ww"].shape) * 0.2 * scale).astype(np.float32)
+    assert gru._small(gru._join(p["Wc"], p["bc"])) == gru._small(gru._join(p["Ww"], p["bw"])) == (scale == 1)
+    ids = r.integers(0, gru.FREQ + gru.RARE, 40)
+    h, before, want = np.zeros(gru.HIDDEN), gru.START, 0.0
+    share = lambda x, i: x[i] - x.max() - np.log(np.exp(x - x.max()).sum())
+    for i in ids:
+        x, y = p["E"][before].astype(float) @ p["Wx"] + p["bx"], h @ p["Wh"]
+        g = 1 / (1 + np.exp(-(x + y)[:2 * gru.HIDDEN]))
+        cand = np.tanh(x[2 * gru.HIDDEN:] + g[:gru.HIDDEN] * y[2 * gru.HIDDEN:])
+        h, before = (h - cand) * g[gru.HIDDEN:] + cand, i
+        c = i // gru.CLASS_WORDS if i < gru.FREQ else i - gru.FREQ + gru.CLASSES
+        want += share(h @ p["Wc"] + p["bc"], c)
+        if i < gru.FREQ:
+            want += share(h @ p["Ww"][c] + p["bw"][c], i % gru.CLASS_WORDS)
+    assert np.allclose(gru.log_likelihood(p, ids, np.array([0, 40])), want, rtol=1e-4)
