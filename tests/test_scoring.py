@@ -252,3 +252,20 @@ def test_pair_scores_carry_no_factor_with_a_pair(spark, monkeypatch):
     assert len(mine) > 4000 and mine == sorted(map(key, want.collect()))
     assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
     assert SVD.predict_with_factors(pairs, uf.limit(0), vf, many=True).count() == 0
+
+
+def test_rows_that_cannot_vote_leave_before_the_users_meet(spark):
+    """Only items with neighbours, or that are neighbours (2: seen, takes a vote away), go to their user."""
+    train = spark.createDataFrame([(1, 1, 4.0), (1, 2, 5.0), (1, 9, 5.0), (2, 8, 1.0), (None, 1, 1.0)], "user_id long, item_id long, rating double")
+    nb = spark.createDataFrame([(1, 2), (1, 5), (5, 1), (6, None)], "item_id long, neighbor_id long")
+    packed = {(r.user_id, r.item_id): sorted(r._near) for r in REC.packed_neighbors(train, nb).collect()}
+    assert packed == {(1, 1): [2, 5], (1, 2): []}
+    assert [tuple(r) for r in REC.knn_votes(train, nb).collect()] == [(1, 5, 1)]
+
+
+@pytest.mark.parametrize("name", ["unseen_candidates", "knn_votes", "knn_recommend"])
+def test_neighbour_queries_write_the_split_once(spark, name):
+    from conftest import SF_SMALL
+    import __spark_entry__ as E
+    plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "l_orderkey" not in plan and "Scan ExistingRDD" in plan
