@@ -229,3 +229,16 @@ def test_als_drops_shuffles_while_it_runs(spark):
     one, two = (sorted(map(tuple, ALS.factor_tables(ALS.fit(df, q))[1].collect())) for q in (p, replace(p, checkpoint_interval=10)))
     assert [r[0] for r in one] == [r[0] for r in two]
     assert np.allclose([r[1] for r in one], [r[1] for r in two], atol=1e-6)
+
+
+def test_als_cv_grid_runs_the_whole_search(spark, monkeypatch):
+    """All 8 settings on 3 folds and the refit (each fit here of one iteration)."""
+    from collections import Counter
+    from dataclasses import replace
+    from tastemap.plans import queries as Q
+    fits, estimator = [], ALS.estimator
+    monkeypatch.setattr(ALS, "estimator", lambda p: fits.append((p.rank, p.reg, p.iters)) or estimator(replace(p, rank=2, iters=1)))
+    table = Q.q_als_cv_grid(spark, SF_SMALL).collect()
+    grid = [(p.rank, p.reg, p.iters) for p in ALS.param_grid()]
+    assert [(r["rank"], r["reg_param"], r["max_iter"]) for r in table] == grid
+    assert all(r["rmse"] > 0 for r in table) and len(fits) == 25 and set(Counter(fits[:24]).values()) == {3}
