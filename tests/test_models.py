@@ -242,3 +242,35 @@ def test_als_cv_grid_runs_the_whole_search(spark, monkeypatch):
     grid = [(p.rank, p.reg, p.iters) for p in ALS.param_grid()]
     assert [(r["rank"], r["reg_param"], r["max_iter"]) for r in table] == grid
     assert all(r["rmse"] > 0 for r in table) and len(fits) == 25 and set(Counter(fits[:24]).values()) == {3}
+
+
+def _flat(spark):
+    """One large singular value and a flat rest, which needs many steps."""
+    rng = np.random.default_rng(12)
+    M = np.round(rng.uniform(1, 5, (260, 200)) * (rng.uniform(size=(260, 200)) < 0.3))
+    pairs = spark.createDataFrame([(int(u), int(i), float(M[u, i])) for u, i in zip(*np.nonzero(M))], "user_id long, item_id long, rating double")
+    return M, _indexed(pairs.checkpoint())
+
+
+def test_svd_steps_do_not_read_the_whole_basis(spark, monkeypatch):
+    """A step meets the last two blocks and the locked vectors, however many blocks there are."""
+    from tastemap.operators import strips as ST
+    met, project = [], ST.project
+    monkeypatch.setattr(ST, "project", lambda z, width, blocks, *more: met.append(len(blocks)) or project(z, width, blocks, *more))
+    M, data = _flat(spark)
+    res = SVD.svd_factors(*data, k=4)
+    assert np.allclose(res.singular_values, np.linalg.svd(M, compute_uv=False)[:4], rtol=1e-6)
+    assert len(met) > 6 and max(met) <= 3
+
+
+def test_svd_begins_again_when_the_basis_is_not_orthogonal(spark, monkeypatch):
+    """Nothing is locked: the largest vector comes back, which the Gram matrix of the final vectors shows."""
+    runs, steps = [], SVD._steps
+    monkeypatch.setattr(SVD, "LOCK", 0.0)
+    monkeypatch.setattr(SVD, "_steps", lambda *a: runs.append(a[-1]) or steps(*a))
+    M, data = _flat(spark)
+    res = SVD.svd_factors(*data, k=4, tol=1e-8)
+    assert runs == [False, True]
+    assert np.allclose(res.singular_values, np.linalg.svd(M, compute_uv=False)[:4], rtol=1e-6)
+    V = np.array([r["factor"] for r in res.item_factors.collect()])
+    assert np.allclose(V.T @ V, np.eye(4), atol=1e-8)
