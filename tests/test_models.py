@@ -274,3 +274,21 @@ def test_svd_begins_again_when_the_basis_is_not_orthogonal(spark, monkeypatch):
     assert np.allclose(res.singular_values, np.linalg.svd(M, compute_uv=False)[:4], rtol=1e-6)
     V = np.array([r["factor"] for r in res.item_factors.collect()])
     assert np.allclose(V.T @ V, np.eye(4), atol=1e-8)
+
+
+@pytest.mark.parametrize("group, parts", [(4, 32), (1, 64)])
+def test_products_are_added_up_before_they_are_moved(spark, monkeypatch, group, parts):
+    """64 cells in tiles of 2 x 4 strips: each tile sends one part of each of its strips; heavy tiles are dealt over tasks."""
+    from tastemap.operators import strips as ST
+    for name, value in (("STRIP", 8), ("CELL", 40), ("GROUP", group)):
+        monkeypatch.setattr(ST, name, value)
+    rng = np.random.default_rng(5)
+    M = rng.uniform(1, 5, (64, 64)) * (rng.uniform(size=(64, 64)) < 0.3)
+    a = ST.pack(spark.createDataFrame([(int(u), int(i), float(M[u, i])) for u, i in zip(*np.nonzero(M))], "u_idx int, i_idx int, rating double"), 64, 64)
+    x = rng.normal(size=(64, 3))
+    tall = spark.createDataFrame([(s, x[s * 8:s * 8 + 8].tobytes()) for s in range(8)], "strip int, mat binary")
+    for by_user, want in ((True, M @ x), (False, M.T @ x)):
+        z = ST.times(a, tall, 3, by_user).checkpoint()
+        got = {r["strip"]: np.frombuffer(bytes(r["mat"])).reshape(8, 3) for r in ST.summed(z, 3, a.side(by_user)).collect()}
+        assert np.allclose(np.vstack([got[s] for s in range(8)]), want, atol=1e-12)
+        assert z.count() <= parts and (group > 1 or a.groups["ib" if by_user else "ub"][1] > 8)
